@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, functions as F
 
@@ -31,6 +31,15 @@ _EMAIL = rf"(?U)(?<!{_NON_SPACE}){_NON_SPACE}+@{_NON_SPACE}+\.{_NON_SPACE}+"
 _URL = rf"(?U)https?://{_NON_SPACE}+|www\.{_NON_SPACE}+"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` applied to ``value``, which is computed once per row.
+
+    A plain expression that is used several times, above all inside a lambda, may be
+    recomputed for each use when projections are merged; a lambda variable is not.
+    """
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def _letters_only(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, "[^a-zA-Z]+", " "))
 
@@ -52,7 +61,7 @@ def clean_query(text: Column) -> Column:
 
 def or_placeholder(cleaned: Column) -> Column:
     """Replace a text that is too short to describe anything."""
-    return F.when(F.length(cleaned) > SHORT_TEXT_CHARS, cleaned).otherwise(F.lit(SHORT_TEXT))
+    return let(cleaned, lambda c: F.when(F.length(c) > SHORT_TEXT_CHARS, c).otherwise(F.lit(SHORT_TEXT)))
 
 
 def tokens(cleaned: Column, stop_words: Sequence[str] = ENGLISH) -> Column:
@@ -65,7 +74,36 @@ def tokens(cleaned: Column, stop_words: Sequence[str] = ENGLISH) -> Column:
 
 
 def with_bigrams(words: Column) -> Column:
-    """The words followed by each pair of neighbours; pass a plain column."""
-    firsts = F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0)))
-    pairs = F.transform(firsts, lambda w, i: F.concat_ws(" ", w, F.get(words, i + 1)))
-    return F.concat(words, pairs)
+    """The words followed by each pair of neighbours."""
+
+    def extend(w: Column) -> Column:
+        firsts = F.slice(w, F.lit(1), F.greatest(F.size(w) - 1, F.lit(0)))
+        return F.concat(w, F.transform(firsts, lambda x, i: F.concat_ws(" ", x, F.get(w, i + 1))))
+
+    return let(words, extend)
+
+
+def run_lengths(values: Column) -> Column:
+    """Distinct entries of an array as (term, tf), in sorted order.
+
+    Sorting brings equal entries together; the distance between the positions at
+    which runs begin is their length.
+    """
+
+    def counts(ordered: Column) -> Column:
+        starts = F.filter(
+            F.transform(ordered, lambda t, i: F.when((i == 0) | (t != F.get(ordered, i - 1)), i)),
+            lambda i: i.isNotNull(),
+        )
+        return let(
+            starts,
+            lambda at: F.transform(
+                at,
+                lambda first, j: F.struct(
+                    F.get(ordered, first).alias("term"),
+                    (F.coalesce(F.get(at, j + 1), F.size(ordered)) - first).alias("tf"),
+                ),
+            ),
+        )
+
+    return let(F.sort_array(values), counts)

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+
+from .batches import add_columns
 
 # Similarities that agree to this many decimals count as equal, so that ties are
 # settled by id or arrival and not by the order in which a sum was added up.
@@ -47,27 +49,30 @@ def unit_rows(matrix: np.ndarray) -> np.ndarray:
     return matrix / norms
 
 
-def l2_normalise(vector: Column) -> Column:
-    """Scale a vector to length one; the zero vector stays zero."""
-
-    @F.arrow_udf(VECTOR)
-    def normalise(v: pa.Array) -> pa.Array:
-        return from_matrix(unit_rows(to_matrix(v)))
-
-    return normalise(as_vector(vector))
+def l2_normalise(df: DataFrame, vector: str = "vector", out: str = "vector") -> DataFrame:
+    """Scale vectors to length one; the zero vector stays zero."""
+    return add_columns(
+        df,
+        [vector],
+        [T.StructField(out, VECTOR)],
+        lambda v: [from_matrix(unit_rows(to_matrix(v)))],
+    )
 
 
-def affine(vector: Column, matrix: np.ndarray, shift: np.ndarray | None = None) -> Column:
+def affine(
+    df: DataFrame,
+    matrix: np.ndarray,
+    shift: np.ndarray | None = None,
+    vector: str = "vector",
+    out: str = "vector",
+) -> DataFrame:
     """``(v - shift) · matrix`` for a small, driver-known matrix."""
 
-    @F.arrow_udf(VECTOR)
-    def apply(v: pa.Array) -> pa.Array:
+    def apply(v: pa.Array) -> list[pa.Array]:
         rows = to_matrix(v)
-        if rows.size == 0:
-            return from_matrix(np.zeros((len(rows), matrix.shape[1])))
-        return from_matrix((rows if shift is None else rows - shift) @ matrix)
+        return [from_matrix((rows if shift is None else rows - shift) @ matrix)]
 
-    return apply(as_vector(vector))
+    return add_columns(df, [vector], [T.StructField(out, VECTOR)], apply)
 
 
 def argmax(values: Column) -> Column:
