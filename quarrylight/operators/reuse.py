@@ -75,6 +75,7 @@ def seed_entries(answered: DataFrame, cap: int = BUCKET_CAP) -> DataFrame:
 _FOUND = (
     T.StructField("best_similarity", T.DoubleType()),
     T.StructField("best_position", T.LongType()),
+    T.StructField("best_id", T.LongType()),
 )
 
 
@@ -99,6 +100,7 @@ def _search_part(queries: DataFrame, part: pa.Table, exclude_self: bool) -> Data
         ids_of = query_id.to_numpy(zero_copy_only=False)
         best = np.full(len(rows), NOTHING)
         place = np.full(len(rows), -1, dtype=np.int64)
+        name = np.zeros(len(rows), dtype=np.int64)
         for c in np.unique(clusters):
             if int(c) not in shared.value:
                 continue
@@ -113,59 +115,70 @@ def _search_part(queries: DataFrame, part: pa.Table, exclude_self: bool) -> Data
             found = value > NOTHING
             best[mine[found]] = value[found]
             place[mine[found]] = positions[top[found]]
-        return [pa.array(best), pa.array(place, mask=place < 0)]
+            name[mine[found]] = entry_ids[top[found]]
+        return [pa.array(best), pa.array(place, mask=place < 0), pa.array(name, mask=place < 0)]
 
     return add_columns(queries, ["query_id", "cluster", "vector"], _FOUND, find)
 
 
+def _parts(entries: DataFrame) -> int:
+    """Parts of bounded size the entry table is searched in; a capped one needs one."""
+    size = F.sum(8 * F.size("vector") + 8 + F.length("query"))
+    return max(1, math.ceil((entries.agg(size).first()[0] or 0) / ENTRY_BLOCK_BYTES))
+
+
 def best_entries(queries: DataFrame, entries: DataFrame, exclude_self: bool = False) -> DataFrame:
-    """Add best_similarity and best_position of the most similar entry of the bucket.
+    """Add the most similar entry of the bucket: best_similarity, best_position, best_id.
 
     ``queries`` needs query_id, cluster and vector. With ``exclude_self`` an entry
     does not match the query that has its id.
     """
+    return _best_entries(queries, entries, exclude_self, _parts(entries))
+
+
+def _best_entries(queries: DataFrame, entries: DataFrame, exclude_self: bool, parts: int) -> DataFrame:
     stored = entries.select("entry_id", "cluster", "position", as_vector("vector").alias("vector"))
-    total = stored.agg(F.sum(8 * F.size("vector") + 24)).first()[0] or 0
-    parts = max(1, math.ceil(total / ENTRY_BLOCK_BYTES))
     incoming = queries.withColumn("vector", as_vector("vector"))
     if parts == 1:
         return _search_part(incoming, stored.toArrow(), exclude_self)
-    target = scratch_path(queries.sparkSession, "lookup")
+    spark = queries.sparkSession
+    target = scratch_path(spark, "lookup")
+    names = [f.name for f in _FOUND]
     for number in range(parts):
         part = stored.filter(F.pmod(F.xxhash64("entry_id"), F.lit(parts)) == number).toArrow()
         found = _search_part(incoming, part, exclude_self)
-        found.select("query_id", *[f.name for f in _FOUND]).write.mode("append").parquet(target)
+        found.select("query_id", *names).write.mode("append").parquet(target)
+    first_best = F.struct("best_similarity", (-F.col("best_position")).alias("order"))
     merged = (
-        queries.sparkSession.read.parquet(target)
+        spark.read.parquet(target)
         .groupBy("query_id")
-        .agg(F.max_by(F.struct("best_similarity", "best_position"), F.struct("best_similarity", -F.col("best_position"))).alias("b"))
-        .select("query_id", "b.*")
+        .agg(F.max_by(F.struct(*names), first_best).alias("best"))
+        .select("query_id", "best.*")
     )
     return queries.join(merged, "query_id")
 
 
-def decide(found: DataFrame, entries: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Turn best entries into hits: adds hit, matched_id, matched_query, similarity.
+def decide(found: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Turn best entries into hits: adds hit, matched_id and similarity.
 
     A miss has no match but keeps the best similarity.
     """
-    stored = entries.select(
-        "cluster",
-        F.col("position").alias("best_position"),
-        F.col("entry_id").alias("matched_id"),
-        F.col("query").alias("matched_query"),
-    )
     hit = F.col("best_similarity") >= threshold
-    # The position of a miss is blanked, so its row matches no entry.
-    flagged = found.withColumn("hit", hit).withColumn("best_position", F.when(hit, F.col("best_position")))
-    return flagged.join(stored, ["cluster", "best_position"], "left").withColumnRenamed(
-        "best_similarity", "similarity"
-    ).drop("best_position")
+    return (
+        found.withColumn("hit", hit)
+        .withColumn("matched_id", F.when(hit, F.col("best_id")))
+        .withColumnRenamed("best_similarity", "similarity")
+        .drop("best_position", "best_id")
+    )
 
 
 def lookup(queries: DataFrame, entries: DataFrame, threshold: float = THRESHOLD, exclude_self: bool = False) -> DataFrame:
-    """Look each query up in a fixed entry table."""
-    return decide(best_entries(queries, entries, exclude_self), entries, threshold)
+    """Look each query up in a fixed entry table; adds matched_query to :func:`decide`."""
+    parts = _parts(entries)
+    decided = decide(_best_entries(queries, entries, exclude_self, parts), threshold)
+    texts = entries.select(F.col("entry_id").alias("matched_id"), F.col("query").alias("matched_query"))
+    # One part is a proven bound on the texts as well; beyond it AQE picks the join.
+    return decided.join(F.broadcast(texts) if parts == 1 else texts, "matched_id", "left")
 
 
 def sweep_band(theta: Column) -> Column:
