@@ -1,4 +1,4 @@
-"""Adding columns that are computed on Arrow batches."""
+"""Work on Arrow batches inside tasks."""
 
 from __future__ import annotations
 
@@ -7,6 +7,18 @@ from collections.abc import Callable, Iterator, Sequence
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
+from ..session import ship
+
+
+def map_batches(
+    df: DataFrame,
+    run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+    schema: T.StructType,
+) -> DataFrame:
+    """``mapInArrow`` with this package at hand in the tasks."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
 
 def add_columns(
     df: DataFrame,
@@ -33,4 +45,4 @@ def add_columns(
                 added = compute(*(batch.column(i) for i in positions))
                 yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in passed), *added], names=names)
 
-    return kept.mapInArrow(run, schema)
+    return map_batches(kept, run, schema)

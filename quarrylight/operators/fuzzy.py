@@ -16,7 +16,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..functions.batches import add_columns
+from ..functions.batches import add_columns, map_batches
 from ..functions.vectors import VECTOR, as_vector, from_matrix, to_matrix
 
 # Smallest distance, and the term that keeps sums away from zero.
@@ -81,51 +81,71 @@ class Step:
     delta: float
 
 
-def step(df: DataFrame, centers: np.ndarray, m: float = 2.0, previous: np.ndarray | None = None) -> Step:
-    """New centres, the objective of the given ones and the change in membership.
+@dataclass(frozen=True)
+class Candidate:
+    """Centres to evaluate, and those before them."""
+
+    centers: np.ndarray
+    m: float
+    previous: np.ndarray | None = None
+
 
-    ``previous`` are the centres before the given ones; without them the change is
-    infinite. Per-task sums are merged by Spark and k × d numbers come back.
+def steps(df: DataFrame, candidates: Sequence[Candidate]) -> list[Step]:
+    """Evaluate several sets of centres in one scan of (vector).
+
+    Per-task sums are merged by Spark, and k × d numbers per candidate come back.
+    The change in membership is infinite for a candidate without previous centres.
     """
-    k, d = centers.shape
-    schema = T.StructType([T.StructField("sums", VECTOR), T.StructField("delta", T.DoubleType())])
+    candidates = list(candidates)
+    schema = T.StructType([T.StructField("sums", VECTOR), T.StructField("deltas", VECTOR)])
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weighted, weight, objective, delta, seen = np.zeros((k, d)), np.zeros(k), 0.0, 0.0, False
+        totals = [np.zeros(c.centers.size + len(c.centers) + 1) for c in candidates]
+        deltas = np.zeros(len(candidates))
+        seen = False
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = to_matrix(batch.column(0))
-            gaps = distances(rows, centers)
-            u = membership_rows(gaps, m)
-            um = u**m
-            weighted += um.T @ rows
-            weight += um.sum(axis=0)
-            objective += float((um * gaps**2).sum())
-            if previous is not None:
-                delta = max(delta, float(np.abs(u - membership_rows(distances(rows, previous), m)).max()))
             seen = True
+            rows = to_matrix(batch.column(0))
+            for i, c in enumerate(candidates):
+                gaps = distances(rows, c.centers)
+                u = membership_rows(gaps, c.m)
+                um = u**c.m
+                totals[i] += np.concatenate([(um.T @ rows).ravel(), um.sum(axis=0), [(um * gaps**2).sum()]])
+                if c.previous is not None:
+                    before = membership_rows(distances(rows, c.previous), c.m)
+                    deltas[i] = max(deltas[i], np.abs(u - before).max())
         if seen:
-            sums = np.concatenate([weighted.ravel(), weight, [objective]])
             yield pa.RecordBatch.from_arrays(
-                [from_matrix(sums[None, :]), pa.array([delta])], names=["sums", "delta"]
+                [from_matrix(np.concatenate(totals)[None, :]), from_matrix(deltas[None, :])],
+                names=["sums", "deltas"],
             )
 
     merged = (
-        df.select(as_vector("vector").alias("vector"))
-        .mapInArrow(partial, schema)
-        .agg(vector_to_array(Summarizer.sum(array_to_vector("sums"))).alias("sums"), F.max("delta").alias("delta"))
+        map_batches(df.select(as_vector("vector").alias("vector")), partial, schema)
+        .agg(
+            Summarizer.sum(array_to_vector("sums")).alias("sums"),
+            Summarizer.max(array_to_vector("deltas")).alias("deltas"),
+        )
         .first()
     )
-    if merged["delta"] is None:
+    if merged["sums"] is None or not len(merged["sums"]):
         raise ValueError("no vectors to cluster")
-    sums = np.array(merged["sums"])
-    weighted, weight = sums[: k * d].reshape(k, d), sums[k * d : k * d + k]
-    return Step(
-        weighted / (weight[:, None] + EPSILON),
-        float(sums[-1]),
-        float(merged["delta"]) if previous is not None else float("inf"),
-    )
+    sums, deltas = merged["sums"].toArray(), merged["deltas"].toArray()
+    out, at = [], 0
+    for c, delta in zip(candidates, deltas):
+        k, d = c.centers.shape
+        weighted, weight = sums[at:at + k * d].reshape(k, d), sums[at + k * d:at + k * d + k]
+        change = float(delta) if c.previous is not None else float("inf")
+        out.append(Step(weighted / (weight[:, None] + EPSILON), float(sums[at + k * d + k]), change))
+        at += k * d + k + 1
+    return out
+
+
+def step(df: DataFrame, centers: np.ndarray, m: float = 2.0, previous: np.ndarray | None = None) -> Step:
+    """New centres, the objective of the given ones and the change in membership."""
+    return steps(df, [Candidate(centers, m, previous)])[0]
 
 
 @dataclass(frozen=True)
@@ -170,25 +190,46 @@ def fit(
     """Iterate until no membership changes by ``tol``; persist ``df`` beforehand.
 
     Pass t evaluates the centres of iteration t and sums up those of t + 1, so one
-    iteration costs one scan.
+    iteration costs one scan. Without ``init_centers`` rows are drawn as seeds.
     """
     if init_centers is None:
         init_centers = distance_seeding(df, n_clusters, seed, id_col)
     if init_centers.shape[0] != n_clusters:
         raise ValueError("one starting centre per cluster is needed")
-    objectives: list[float] = []
-    deltas: list[float] = []
-    current = np.asarray(init_centers, dtype=np.float64)
-    ahead = step(df, current, m).centers
+    return fit_many(df, [(init_centers, m)], max_iter, tol)[0]
+
+
+def fit_many(
+    df: DataFrame,
+    starts: Sequence[tuple[np.ndarray, float]],
+    max_iter: int = 300,
+    tol: float = 1e-5,
+) -> list[FuzzyModel]:
+    """Fit several (starting centres, m) side by side, sharing each scan.
+
+    A fit that has converged drops out of the scans that follow.
+    """
+    size = len(starts)
+    current = [np.asarray(c, dtype=np.float64) for c, _ in starts]
+    fuzziness = [m for _, m in starts]
+    objectives: list[list[float]] = [[] for _ in starts]
+    deltas: list[list[float]] = [[] for _ in starts]
+    first = steps(df, [Candidate(c, m) for c, m in zip(current, fuzziness)])
+    ahead = [s.centers for s in first]
+    active = list(range(size))
     for _ in range(max_iter):
-        previous, current = current, ahead
-        result = step(df, current, m, previous)
-        objectives.append(result.objective)
-        deltas.append(result.delta)
-        ahead = result.centers
-        if result.delta < tol:
+        if not active:
             break
-    return FuzzyModel(current, m, tuple(objectives), tuple(deltas))
+        results = steps(df, [Candidate(ahead[i], fuzziness[i], current[i]) for i in active])
+        for i, result in zip(list(active), results):
+            current[i], ahead[i] = ahead[i], result.centers
+            objectives[i].append(result.objective)
+            deltas[i].append(result.delta)
+            if result.delta < tol:
+                active.remove(i)
+    return [
+        FuzzyModel(current[i], fuzziness[i], tuple(objectives[i]), tuple(deltas[i])) for i in range(size)
+    ]
 
 
 def distance_seeding(df: DataFrame, k: int, seed: int = 42, id_col: str = "id") -> np.ndarray:

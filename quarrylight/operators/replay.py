@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from ..functions.batches import map_batches
 from ..functions.vectors import SIMILARITY_DIGITS, as_vector, to_matrix
 from .reuse import BUCKET_CAP, NOTHING, THRESHOLD
 
@@ -132,7 +133,7 @@ def replay(
                 names=LOG.fieldNames(),
             )
 
-    return ordered.mapInArrow(run, LOG)
+    return map_batches(ordered, run, LOG)
 
 
 def surviving_entries(log: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _tidy(df: DataFrame) -> DataFrame:
-    """Integers as BIGINT and doubles rounded, the form both engines are compared in."""
+    """Integers as BIGINT, doubles rounded and absent ids as -1, as compared."""
     columns = []
     for f in df.schema.fields:
         c = F.col(f.name)
@@ -34,6 +34,8 @@ def _tidy(df: DataFrame) -> DataFrame:
             c = c.cast("bigint")
         elif isinstance(f.dataType, T.DoubleType):
             c = F.round(c, DIGITS) + F.lit(0.0)
+        if f.name in ("matched_id", "source_id", "evicted_id"):
+            c = F.coalesce(c, F.lit(-1))
         columns.append(c.alias(f.name))
     return df.select(*columns)
 
@@ -544,7 +546,8 @@ def stream_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def staged_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "build")
     small = build.Settings(
-        components=16, svd_passes=3, pca_dims=8, clusters=8, restarts=1, max_iter=5, k_grid=(8, 10), m_grid=(1.5, 2.0)
+        components=16, svd_passes=3, pca_dims=8, clusters=8, restarts=1, max_iter=5,
+        k_sweep_iter=5, m_sweep_iter=5, k_grid=(8, 10), m_grid=(1.5, 2.0),
     )
     docs = _documents(spark, sf_dir)
     build.staged_build(spark, docs, out, small)

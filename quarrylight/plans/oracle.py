@@ -273,7 +273,8 @@ _BY_LABEL = "WITH RECURSIVE " + ",\n".join(
     [_E, "src AS (SELECT id, CAST(label AS BIGINT) AS cluster, v FROM e)", _replay("src", REPLAY_CAP)]
 ) + "\n"
 _LOG_SELECT = (
-    f"SELECT query_id, cluster, hit, source_id, {_r('similarity', 'similarity')}, evicted_id FROM log"
+    "SELECT query_id, cluster, hit, coalesce(source_id, -1) AS source_id, "
+    f"{_r('similarity', 'similarity')}, coalesce(evicted_id, -1) AS evicted_id FROM log"
 )
 
 
@@ -410,15 +411,15 @@ JOIN (SELECT cluster, count(*) AS n_soft FROM sr WHERE rank <= 5 GROUP BY 1) w O
     + "SELECT entry_id, CAST(cluster AS BIGINT) AS cluster, 'query ' || entry_id AS query, "
     "CAST(0 AS BIGINT) AS hit_count, position FROM entries",
     "reuse_lookup": _LOOKED_UP
-    + f"SELECT query_id, CAST(cluster AS BIGINT) AS cluster, hit, CASE WHEN hit THEN entry_id END AS matched_id, "
+    + f"SELECT query_id, CAST(cluster AS BIGINT) AS cluster, hit, CASE WHEN hit THEN entry_id ELSE -1 END AS matched_id, "
     f"CASE WHEN hit THEN 'query ' || entry_id END AS matched_query, {_r('s', 'similarity')} FROM found",
     "threshold_sweep": _LOOKED_UP
-    + f"""SELECT theta, count_if(s >= theta) AS hits, {_r('count_if(s >= theta) / count(*)', 'hit_rate')},
+    + f"""SELECT theta, count(*) FILTER (WHERE s >= theta) AS hits, {_r('count(*) FILTER (WHERE s >= theta) / count(*)', 'hit_rate')},
   {_r('coalesce(avg(CASE WHEN s >= theta THEN s END), 0.0)', 'avg_similarity')}, {_band('theta')} AS description
 FROM found CROSS JOIN (SELECT CAST(unnest([{', '.join(map(str, THETA_GRID))}]) AS DOUBLE) AS theta) GROUP BY theta""",
     "reuse_stats": _LOOKED_UP
-    + f"""SELECT (SELECT count(*) FROM entries) AS total_entries, count_if(hit) AS hit_count,
-  count_if(NOT hit) AS miss_count, {_r('count_if(hit) / count(*)', 'hit_rate', 4)} FROM found""",
+    + f"""SELECT (SELECT count(*) FROM entries) AS total_entries, count(*) FILTER (WHERE hit) AS hit_count,
+  count(*) FILTER (WHERE NOT hit) AS miss_count, {_r('count(*) FILTER (WHERE hit) / count(*)', 'hit_rate', 4)} FROM found""",
     "bucket_sizes": _with(_ROUTE, _SEEDED)
     + "SELECT CAST(cluster AS BIGINT) AS cluster, count(*) AS n_entries FROM entries GROUP BY 1",
     "reuse_flush": "SELECT CAST(0 AS BIGINT) AS total_entries, CAST(0 AS BIGINT) AS hit_count, "
@@ -460,7 +461,7 @@ WHERE NOT s.hit AND s.query_id NOT IN (SELECT evicted_id FROM log WHERE evicted_
         "best AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, entry_id) AS r FROM pairs)",
     )
     + f"SELECT query_id, CAST(label AS BIGINT) AS cluster, s >= {THETA} AS hit, "
-    f"CASE WHEN s >= {THETA} THEN entry_id END AS matched_id, {_r('s', 'similarity')} "
+    f"CASE WHEN s >= {THETA} THEN entry_id ELSE -1 END AS matched_id, {_r('s', 'similarity')} "
     "FROM best JOIN e ON e.id = query_id WHERE r = 1",
     "answer_queries": "WITH RECURSIVE "
     + _PROFILE.removeprefix("WITH ").rstrip()

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -34,6 +36,19 @@ def build_session(app_name: str = "quarrylight", master: str | None = None, **co
     return builder.getOrCreate()
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).resolve().parent
+        archive = os.path.join(tempfile.mkdtemp(prefix="quarrylight-"), package.name)
+        context.addPyFile(shutil.make_archive(archive, "zip", package.parent, package.name))
+        _shipped.add(context.applicationId)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for cut lineage and intermediate tables.
 

@@ -14,6 +14,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from ..functions.vectors import as_vector
 from ..operators.replay import LOG, Bucket
 from ..operators.reuse import BUCKET_CAP, THRESHOLD, best_entries, decide
+from ..session import ship
 
 _STATE = "entries binary"
 
@@ -64,6 +65,7 @@ def stream_replay(queries: DataFrame, threshold: float = THRESHOLD, cap: int = B
                 }
             )
 
+    ship(queries.sparkSession)
     keyed = queries.select(
         F.col("query_id").cast("bigint").alias("query_id"),
         F.col("arrival").cast("bigint").alias("arrival"),
