@@ -25,14 +25,17 @@ def add_columns(
     inputs: Sequence[str],
     fields: Sequence[T.StructField],
     compute: Callable[..., Sequence[pa.Array]],
+    drop: Sequence[str] = (),
 ) -> DataFrame:
     """Append ``fields`` computed from the ``inputs`` columns, batch by batch.
 
+    Columns in ``drop`` are not sent back from the Python worker.
+
     An operator of its own and not a UDF column: the optimiser can neither copy it
     into a filter below nor merge it into an array lambda, so it runs once per row.
     """
     fields = list(fields)
-    taken = {f.name for f in fields}
+    taken = {f.name for f in fields} | set(drop)
     kept = df.select(*[c for c in df.columns if c not in taken or c in inputs])
     positions = [kept.columns.index(c) for c in inputs]
     passed = [i for i, c in enumerate(kept.columns) if c not in taken]

@@ -66,7 +66,7 @@ def affine(
     vector: str = "vector",
     out: str = "vector",
 ) -> DataFrame:
-    """``(v - shift) · matrix`` for a small, driver-known matrix."""
+    """Set ``out`` to ``(v - shift) · matrix`` for a small, driver-known matrix."""
 
     def apply(v: pa.Array) -> list[pa.Array]:
         rows = to_matrix(v)

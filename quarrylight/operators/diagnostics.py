@@ -127,40 +127,57 @@ def _cluster_range(df: DataFrame, k: int) -> DataFrame:
     return df.sparkSession.range(k).select(F.col("id").cast("int").alias("cluster"))
 
 
-def hard_profile(assigned: DataFrame, k: int, top: int = 5, id_col: str = "id", label: str = "label") -> DataFrame:
-    """Categories per cluster, most frequent first: cluster, rank, category, n.
+def _category_counts(assigned: DataFrame, id_col: str, label: str) -> DataFrame:
+    """Ranked categories per cluster with the size of the cluster, from one pass.
 
-    Ties go to the category that comes first by id.
+    Windows run over the counts (clusters × categories), not over the documents.
     """
     counts = assigned.groupBy("cluster", F.col(label).alias("category")).agg(
         F.count("*").alias("n"), F.min(id_col).alias("first_id")
     )
-    order = Window.partitionBy("cluster").orderBy(F.desc("n"), F.asc("first_id"), F.asc("category"))
-    return (
-        counts.withColumn("rank", F.row_number().over(order))
-        .filter(F.col("rank") <= top)
-        .select("cluster", "rank", "category", "n")
-    )
+    cluster = Window.partitionBy("cluster")
+    order = cluster.orderBy(F.desc("n"), F.asc("first_id"), F.asc("category"))
+    return counts.withColumn("rank", F.row_number().over(order)).withColumn("size", F.sum("n").over(cluster))
+
 
+def hard_profile(assigned: DataFrame, top: int = 5, id_col: str = "id", label: str = "label") -> DataFrame:
+    """Categories per cluster, most frequent first: cluster, rank, category, n.
 
-def hard_summary(assigned: DataFrame, k: int, id_col: str = "id", label: str = "label") -> DataFrame:
+    Ties go to the category that comes first by id.
+    """
+    ranked = _category_counts(assigned, id_col, label).filter(F.col("rank") <= top)
+    return ranked.select("cluster", "rank", "category", "n")
+
+
+def hard_summary(
+    assigned: DataFrame, k: int, id_col: str = "id", label: str = "label", top: int | None = None
+) -> DataFrame:
     """One row per cluster 0..k-1: size, dominant category and purity.
 
-    An empty cluster has dominant category ``unknown`` and purity 0.
+    An empty cluster has dominant category ``unknown`` and purity 0. With ``top`` a
+    map of the most frequent categories, ``hard_cat_dist``, is added.
     """
-    sizes = assigned.groupBy("cluster").agg(F.count("*").alias("size"))
-    dominant = hard_profile(assigned, k, 1, id_col, label).select(
-        "cluster", F.col("category").alias("dominant"), F.col("n").alias("dominant_n")
-    )
+    ranked = _category_counts(assigned, id_col, label)
+    stats = [
+        F.max("size").alias("size"),
+        F.max(F.when(F.col("rank") == 1, F.col("category"))).alias("dominant"),
+        F.max("n").alias("dominant_n"),
+    ]
+    if top is not None:
+        ranked = ranked.filter(F.col("rank") <= top)
+        entries = F.sort_array(F.collect_list(F.struct("rank", "category", "n")))
+        pairs = F.transform(entries, lambda e: F.struct(e["category"], e["n"]))
+        stats.append(F.map_from_entries(pairs).alias("hard_cat_dist"))
+    per_cluster = ranked.groupBy("cluster").agg(*stats)
     return (
         _cluster_range(assigned, k)
-        .join(sizes, "cluster", "left")
-        .join(dominant, "cluster", "left")
+        .join(per_cluster, "cluster", "left")
         .select(
             "cluster",
             F.coalesce("size", F.lit(0)).alias("n_hard_members"),
             F.coalesce("dominant", F.lit("unknown")).alias("dominant_category"),
             F.coalesce(F.round(F.try_divide(F.col("dominant_n"), F.col("size")), 3), F.lit(0.0)).alias("purity"),
+            *(["hard_cat_dist"] if top is not None else []),
         )
     )
 
@@ -197,16 +214,11 @@ def last_part(name: Column) -> Column:
 def cluster_labels(df: DataFrame, k: int, id_col: str = "id", label: str = "label") -> DataFrame:
     """Per cluster: dominant category, size, purity, category counts and soft weights."""
 
-    def as_map(profile: DataFrame, value: str, name: str) -> DataFrame:
-        ranked = profile.groupBy("cluster").agg(
-            F.sort_array(F.collect_list(F.struct("rank", "category", value))).alias("top")
-        )
-        entries = F.transform("top", lambda e: F.struct(e["category"], e[value]))
-        return ranked.select("cluster", F.map_from_entries(entries).alias(name))
-
-    hard = as_map(hard_profile(df, k, 5, id_col, label), "n", "hard_cat_dist")
-    soft = as_map(soft_profile(df, k, id_col=id_col, label=label), "weight", "soft_cat_weights")
-    return hard_summary(df, k, id_col, label).join(hard, "cluster", "left").join(soft, "cluster", "left")
+    ranked = soft_profile(df, k, id_col=id_col, label=label)
+    entries = F.sort_array(F.collect_list(F.struct("rank", "category", "weight")))
+    pairs = F.transform(entries, lambda e: F.struct(e["category"], e["weight"]))
+    soft = ranked.groupBy("cluster").agg(F.map_from_entries(pairs).alias("soft_cat_weights"))
+    return hard_summary(df, k, id_col, label, top=5).join(soft, "cluster", "left")
 
 
 def cluster_report(df: DataFrame, k: int, id_col: str = "id", label: str = "label") -> DataFrame:

@@ -62,13 +62,15 @@ def memberships(
     m: float = 2.0,
     vector: str = "vector",
     query_epsilon: bool = False,
+    keep_vector: bool = True,
 ) -> DataFrame:
     """Add ``membership``, the array of memberships for given centres."""
     return add_columns(
-        df,
+        df.withColumn(vector, as_vector(vector)),
         [vector],
         [_MEMBERSHIP],
         lambda v: [from_matrix(membership_rows(distances(to_matrix(v), centers), m, query_epsilon))],
+        drop=() if keep_vector else [vector],
     )
 
 
@@ -165,9 +167,11 @@ class FuzzyModel:
     def n_iter(self) -> int:
         return len(self.objective_trace)
 
-    def predict(self, df: DataFrame, vector: str = "vector", query_epsilon: bool = False) -> DataFrame:
+    def predict(
+        self, df: DataFrame, vector: str = "vector", query_epsilon: bool = False, keep_vector: bool = True
+    ) -> DataFrame:
         """Memberships of new rows in the fitted clusters."""
-        return memberships(df, self.centers, self.m, vector, query_epsilon)
+        return memberships(df, self.centers, self.m, vector, query_epsilon, keep_vector)
 
     def trace(self, spark: SparkSession) -> DataFrame:
         """iteration, objective, delta of the fit."""
@@ -263,8 +267,8 @@ def distance_seeding(df: DataFrame, k: int, seed: int = 42, id_col: str = "id")
 
 def centers_table(spark: SparkSession, centers: np.ndarray) -> DataFrame:
     """cluster, center."""
-    rows = [(i, [float(x) for x in c]) for i, c in enumerate(centers)]
-    return spark.createDataFrame(rows, "cluster int, center array<double>")
+    ids = pa.array(np.arange(len(centers), dtype=np.int32))
+    return spark.createDataFrame(pa.table({"cluster": ids, "center": from_matrix(np.asarray(centers))}))
 
 
 def centers_from(df: DataFrame, cluster: str = "cluster", center: str = "center") -> np.ndarray:

@@ -41,7 +41,7 @@ class Router:
         if self.pca is None:
             return hard_assignment(self.clusters.predict(queries, query_epsilon=True))
         reduced = self.pca.project(queries, out="reduced")
-        return hard_assignment(self.clusters.predict(reduced, "reduced", query_epsilon=True)).drop("reduced")
+        return hard_assignment(self.clusters.predict(reduced, "reduced", query_epsilon=True, keep_vector=False))
 
 
 def prepare(queries: DataFrame, encoder: Encoder, router: Router) -> tuple[DataFrame, DataFrame]:

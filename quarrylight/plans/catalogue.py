@@ -92,14 +92,15 @@ def _described(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
 
 
 def _scored(spark: SparkSession, sf_dir: str, m: float) -> DataFrame:
-    return fuzzy.memberships(_vectors(spark, sf_dir), _centers(spark, sf_dir), m)
+    rows = _vectors(spark, sf_dir).select("id", "label", "vector")
+    return fuzzy.memberships(rows, _centers(spark, sf_dir), m, keep_vector=False)
 
 
 def _profiled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clustered vectors with a dotted category name."""
     table = _described(spark, sf_dir, "source").withColumn("label", F.concat(F.lit("feed."), F.col("label")))
-    scored = fuzzy.memberships(table.select(F.col("doc_idx").alias("id"), "label", "vector"), _centers(spark, sf_dir), PROFILE_M)
-    return diagnostics.hard_assignment(scored).drop("vector")
+    scored = fuzzy.memberships(table.select(F.col("doc_idx").alias("id"), "label", "vector"), _centers(spark, sf_dir), PROFILE_M, keep_vector=False)
+    return diagnostics.hard_assignment(scored)
 
 
 def _routed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -276,7 +277,8 @@ def retrieve_formatted(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- clustering -------------------------------------------------------------------
 
 def _memberships_long(spark: SparkSession, sf_dir: str, query_epsilon: bool) -> DataFrame:
-    scored = fuzzy.memberships(_vectors(spark, sf_dir), _centers(spark, sf_dir), 2.0, query_epsilon=query_epsilon)
+    rows = _vectors(spark, sf_dir).select("id", "vector")
+    scored = fuzzy.memberships(rows, _centers(spark, sf_dir), 2.0, query_epsilon=query_epsilon, keep_vector=False)
     return _tidy(fuzzy.flatten(scored, ["id"], "membership", ("cluster", "u")))
 
 
@@ -330,8 +332,7 @@ def silhouette_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cluster_profile_hard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _profiled(spark, sf_dir)
-    return _tidy(diagnostics.hard_profile(rows, len(_centers(spark, sf_dir))))
+    return _tidy(diagnostics.hard_profile(_profiled(spark, sf_dir)))
 
 
 def cluster_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -427,8 +428,10 @@ def bucket_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reuse_flush(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found, entries = _found(spark, sf_dir)
-    return _tidy(reuse.reuse_stats(reuse.decide(found, THETA).filter(F.lit(False)), reuse.flush(entries)))
+    # The table is emptied and then filled from the first five labels only.
+    routed = _routed(spark, sf_dir)
+    refilled = reuse.flush(_entries(routed)).unionByName(_entries(routed.filter(F.col("label") < 5)))
+    return _tidy(reuse.bucket_sizes(refilled))
 
 
 def hit_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,6 +24,7 @@ def build_session(app_name: str = "quarrylight", master: str | None = None, **co
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",
+        "spark.sql.execution.arrow.maxBytesPerBatch": "67108864",
         "spark.ui.enabled": "false",
     }
     for name in _SINGLE_THREADED_BLAS:
