@@ -10,13 +10,25 @@ from pyspark.sql import DataFrame, types as T
 from ..session import ship
 
 
+# Tasks per core of a pass in which every task returns a summary of a fixed size.
+_SUMMARY_TASKS_PER_CORE = 4
+
+
 def map_batches(
     df: DataFrame,
     run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
     schema: T.StructType,
+    summary: bool = False,
 ) -> DataFrame:
-    """``mapInArrow`` with this package at hand in the tasks."""
+    """``mapInArrow`` with this package at hand in the tasks.
+
+    With ``summary`` each task returns about the same amount however much it read, so
+    neighbouring input partitions are read by one task: what is shuffled afterwards
+    grows with the cores and not with the data. Batches stream through either way.
+    """
     ship(df.sparkSession)
+    if summary:
+        df = df.coalesce(_SUMMARY_TASKS_PER_CORE * df.sparkSession.sparkContext.defaultParallelism)
     return df.mapInArrow(run, schema)
 
 

@@ -44,13 +44,25 @@ def _letters_only(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, "[^a-zA-Z]+", " "))
 
 
+def _replace_where(text: Column, needles: Sequence[str], pattern: str, by: str) -> Column:
+    """Replace the pattern in texts that hold one of the fixed strings it needs."""
+
+    def replace(t: Column) -> Column:
+        present = F.lit(False)
+        for needle in needles:
+            present = present | F.contains(t, F.lit(needle))
+        return F.when(present, F.regexp_replace(t, pattern, by)).otherwise(t)
+
+    return let(text, replace)
+
+
 def clean_document(text: Column) -> Column:
     """Drop headers, quoted lines, e-mails and URLs; keep lower-case letters."""
     text = F.coalesce(text, F.lit(""))
-    text = F.regexp_replace(text, _HEADER_LINE, "")
-    text = F.regexp_replace(text, _QUOTED_LINE, "")
-    text = F.regexp_replace(text, _EMAIL, " ")
-    text = F.regexp_replace(text, _URL, " ")
+    text = _replace_where(text, [":"], _HEADER_LINE, "")
+    text = _replace_where(text, [">"], _QUOTED_LINE, "")
+    text = _replace_where(text, ["@"], _EMAIL, " ")
+    text = _replace_where(text, ["://", "www."], _URL, " ")
     return F.lower(_letters_only(text))
 
 

@@ -125,7 +125,7 @@ def steps(df: DataFrame, candidates: Sequence[Candidate]) -> list[Step]:
             )
 
     merged = (
-        map_batches(df.select(as_vector("vector").alias("vector")), partial, schema)
+        map_batches(df.select(as_vector("vector").alias("vector")), partial, schema, summary=True)
         .agg(
             Summarizer.sum(array_to_vector("sums")).alias("sums"),
             Summarizer.max(array_to_vector("deltas")).alias("deltas"),
