@@ -16,11 +16,12 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..functions.batches import add_columns
 from ..functions.vectors import SIMILARITY_DIGITS, as_vector, to_matrix
 from ..session import scratch_path
+from ..sources.schemas import ENTRIES
 from .diagnostics import top_memberships
 
 # Similarity needed for reuse, and entries per bucket.
@@ -72,6 +73,16 @@ def seed_entries(answered: DataFrame, cap: int = BUCKET_CAP) -> DataFrame:
     return kept.withColumn("position", position.cast("bigint")).drop("place", "_offered")
 
 
+def save_entries(entries: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Write the table by bucket, so a lookup for some clusters reads only those."""
+    entries.write.mode(mode).partitionBy("cluster").parquet(path)
+
+
+def load_entries(spark: SparkSession, path: str) -> DataFrame:
+    """Read a saved table; also an empty one, whose files hold no bucket."""
+    return spark.read.schema(ENTRIES).parquet(path)
+
+
 _FOUND = (
     T.StructField("best_similarity", T.DoubleType()),
     T.StructField("best_position", T.LongType()),

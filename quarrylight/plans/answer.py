@@ -10,11 +10,14 @@ from ..operators.diagnostics import hard_assignment
 from ..operators.fuzzy import FuzzyModel
 from ..operators.reduction import LsaModel, PcaModel
 from ..operators.replay import replay
-from ..operators.reuse import BUCKET_CAP, THRESHOLD, membership_map, split_blank, with_cluster_label
+from ..operators.reuse import (
+    BUCKET_CAP, THRESHOLD, membership_map, seed_entries, split_blank, with_cluster_label,
+)
 from ..operators.search import as_results, retrieve
 from ..operators.tfidf import TfidfModel
 from ..session import checkpoint_root
 from ..sources.corpus import clean_queries
+from ..sources.schemas import ENTRIES, RESULT
 
 
 @dataclass(frozen=True)
@@ -50,6 +53,13 @@ def prepare(queries: DataFrame, encoder: Encoder, router: Router) -> tuple[DataF
     return router.route(encoder.encode(valid)), rejected
 
 
+def seed_table(answered: DataFrame, encoder: Encoder, router: Router, cap: int = BUCKET_CAP) -> DataFrame:
+    """Entry table for answered queries (query_id, query, result, arrival)."""
+    routed, _ = prepare(answered.withColumn("result", F.col("result").cast(RESULT)), encoder, router)
+    entries = seed_entries(routed.withColumnRenamed("query_id", "entry_id"), cap)
+    return entries.select(*ENTRIES.fieldNames())
+
+
 def answer_log(
     routed: DataFrame,
     vector_table: DataFrame,

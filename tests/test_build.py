@@ -1,7 +1,10 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from quarrylight.operators import reuse
 from quarrylight.plans import answer, build
+from quarrylight.sources.schemas import ENTRIES
 
 TOPICS = {
     "sci.space": "rocket orbit moon launch satellite mission",
@@ -68,3 +71,27 @@ def test_full_cleaning_drops_what_the_served_one_keeps(spark, built):
     full = encoder.encode(query, full=True).first()["vector"]
     assert not np.allclose(served, full)
     assert np.linalg.norm(full) == pytest.approx(1.0)
+
+
+def test_seeded_table_and_expectations(spark, built, tmp_path):
+    _, out, _, _ = built
+    encoder, router = build.load_encoder(spark, out), build.load_router(spark, out)
+    known = [(0, "rocket orbit launch", None, 0), (1, "engine torque clutch", None, 1), (2, "psalm gospel mercy", None, 2)]
+    answered = spark.createDataFrame(known, "query_id long, query string, result string, arrival long")
+    answered = answered.withColumn("result", F.array(F.struct(F.lit("d").alias("id"), F.lit(0.5).alias("similarity"),
+                                                              F.lit("l").alias("label"), F.lit("p").alias("preview"))))
+    entries = answer.seed_table(answered, encoder, router)
+    assert entries.columns == ENTRIES.fieldNames()
+    reuse.save_entries(entries, str(tmp_path / "entries"))
+    entries = reuse.load_entries(spark, str(tmp_path / "entries"))
+    assert entries.count() == 3 and entries.first()["result"][0]["id"] == "d"
+    asked = [(10, 10, "launch a rocket into orbit", True), (11, 11, "torque, engine; clutch", True), (12, 12, "zebra", False)]
+    tests = spark.createDataFrame(asked, "query_id long, arrival long, query string, expected_hit boolean")
+    routed, _ = answer.prepare(tests, encoder, router)
+    looked_up = reuse.lookup(routed, entries, 0.85)
+    matched = {r["query_id"]: r["matched_query"] for r in looked_up.collect()}
+    assert matched == {10: known[0][1], 11: known[1][1], 12: None}
+    counts = {(r["expected_hit"], r["hit"]): r["n"] for r in reuse.hit_evaluation(looked_up).collect()}
+    assert counts == {(True, True): 2, (False, False): 1}
+    reuse.save_entries(reuse.flush(entries), str(tmp_path / "entries"), "overwrite")
+    assert reuse.load_entries(spark, str(tmp_path / "entries")).count() == 0
