@@ -96,16 +96,16 @@ def _scored(spark: SparkSession, sf_dir: str, m: float) -> DataFrame:
     return fuzzy.memberships(rows, _centers(spark, sf_dir), m, keep_vector=False)
 
 
-def _profiled(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _profiled(spark: SparkSession, sf_dir: str, centers: np.ndarray) -> DataFrame:
     """Clustered vectors with a dotted category name."""
     table = _described(spark, sf_dir, "source").withColumn("label", F.concat(F.lit("feed."), F.col("label")))
-    scored = fuzzy.memberships(table.select(F.col("doc_idx").alias("id"), "label", "vector"), _centers(spark, sf_dir), PROFILE_M, keep_vector=False)
-    return diagnostics.hard_assignment(scored)
+    rows = table.select(F.col("doc_idx").alias("id"), "label", "vector")
+    return diagnostics.hard_assignment(fuzzy.memberships(rows, centers, PROFILE_M, keep_vector=False))
 
 
-def _routed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _routed(spark: SparkSession, sf_dir: str, centers: np.ndarray) -> DataFrame:
     """The vectors as a log of routed queries, in id order."""
-    scored = fuzzy.memberships(_vectors(spark, sf_dir), _centers(spark, sf_dir), PROFILE_M, query_epsilon=True)
+    scored = fuzzy.memberships(_vectors(spark, sf_dir), centers, PROFILE_M, query_epsilon=True)
     return diagnostics.hard_assignment(scored).select(
         F.col("id").alias("query_id"),
         F.col("id").alias("arrival"),
@@ -124,7 +124,7 @@ def _entries(routed: DataFrame) -> DataFrame:
 
 def _found(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(lookups, entries): every query against the entries of its bucket but itself."""
-    routed = _routed(spark, sf_dir)
+    routed = _routed(spark, sf_dir, _centers(spark, sf_dir))
     entries = _entries(routed)
     return reuse.best_entries(routed.select("query_id", "cluster", "vector", "label"), entries, exclude_self=True), entries
 
@@ -332,26 +332,28 @@ def silhouette_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cluster_profile_hard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tidy(diagnostics.hard_profile(_profiled(spark, sf_dir)))
+    return _tidy(diagnostics.hard_profile(_profiled(spark, sf_dir, _centers(spark, sf_dir))))
 
 
 def cluster_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     # One cluster beyond the fitted ones, which therefore stays empty.
-    rows = _profiled(spark, sf_dir)
-    return _tidy(diagnostics.hard_summary(rows, len(_centers(spark, sf_dir)) + 1))
+    centers = _centers(spark, sf_dir)
+    return _tidy(diagnostics.hard_summary(_profiled(spark, sf_dir, centers), len(centers) + 1))
 
 
 def cluster_profile_soft(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _profiled(spark, sf_dir)
-    return _tidy(diagnostics.soft_profile(rows, len(_centers(spark, sf_dir))))
+    centers = _centers(spark, sf_dir)
+    return _tidy(diagnostics.soft_profile(_profiled(spark, sf_dir, centers), len(centers)))
 
 
 def cluster_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tidy(diagnostics.cluster_report(_profiled(spark, sf_dir), len(_centers(spark, sf_dir))))
+    centers = _centers(spark, sf_dir)
+    return _tidy(diagnostics.cluster_report(_profiled(spark, sf_dir, centers), len(centers)))
 
 
 def cluster_label_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = diagnostics.cluster_labels(_profiled(spark, sf_dir), len(_centers(spark, sf_dir)))
+    centers = _centers(spark, sf_dir)
+    labels = diagnostics.cluster_labels(_profiled(spark, sf_dir, centers), len(centers))
     as_text = F.concat_ws(",", F.transform(F.map_entries("hard_cat_dist"), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))))
     return _tidy(
         labels.select(
@@ -403,12 +405,12 @@ def fuzziness_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- query reuse ------------------------------------------------------------------
 
 def reuse_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entries = _entries(_routed(spark, sf_dir))
+    entries = _entries(_routed(spark, sf_dir, _centers(spark, sf_dir)))
     return _tidy(entries.select("entry_id", "cluster", "query", "hit_count", "position"))
 
 
 def reuse_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    routed = _routed(spark, sf_dir)
+    routed = _routed(spark, sf_dir, _centers(spark, sf_dir))
     log = reuse.lookup(routed.select("query_id", "cluster", "vector"), _entries(routed), THETA, exclude_self=True)
     return _tidy(log.select("query_id", "cluster", "hit", "matched_id", "matched_query", "similarity"))
 
@@ -424,12 +426,12 @@ def reuse_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bucket_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tidy(reuse.bucket_sizes(_entries(_routed(spark, sf_dir))))
+    return _tidy(reuse.bucket_sizes(_entries(_routed(spark, sf_dir, _centers(spark, sf_dir)))))
 
 
 def reuse_flush(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The table is emptied and then filled from the first five labels only.
-    routed = _routed(spark, sf_dir)
+    routed = _routed(spark, sf_dir, _centers(spark, sf_dir))
     refilled = reuse.flush(_entries(routed)).unionByName(_entries(routed.filter(F.col("label") < 5)))
     return _tidy(reuse.bucket_sizes(refilled))
 
@@ -452,16 +454,17 @@ def bucket_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def membership_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    top = _routed(spark, sf_dir).select(
+    top = _routed(spark, sf_dir, _centers(spark, sf_dir)).select(
         "query_id", F.posexplode(F.map_entries(reuse.membership_map(F.col("membership")))).alias("place", "e")
     )
     return _tidy(top.select("query_id", "place", F.col("e.key").alias("cluster"), F.col("e.value").alias("u")))
 
 
 def cluster_label_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = diagnostics.hard_summary(_profiled(spark, sf_dir), len(_centers(spark, sf_dir)))
+    centers = _centers(spark, sf_dir)
+    labels = diagnostics.hard_summary(_profiled(spark, sf_dir, centers), len(centers))
     known = labels.filter(F.col("n_hard_members") >= 50)
-    named = reuse.with_cluster_label(_routed(spark, sf_dir), known)
+    named = reuse.with_cluster_label(_routed(spark, sf_dir, centers), known)
     return _tidy(named.select("query_id", "cluster", "cluster_label"))
 
 
@@ -491,8 +494,9 @@ def replay_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def answer_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = diagnostics.hard_summary(_profiled(spark, sf_dir), len(_centers(spark, sf_dir)))
-    routed = _routed(spark, sf_dir).persist()
+    centers = _centers(spark, sf_dir)
+    labels = diagnostics.hard_summary(_profiled(spark, sf_dir, centers), len(centers))
+    routed = _routed(spark, sf_dir, centers).persist()
     answers = answer.answer_log(routed, _described(spark, sf_dir, "lang"), labels, THETA, REPLAY_CAP)
     return _tidy(
         answers.select(
