@@ -23,51 +23,83 @@ from .reuse import BUCKET_CAP, NOTHING, THRESHOLD
 _CHUNK = 256
 
 
+def _no_numbers() -> np.ndarray:
+    return np.empty(0, dtype=np.int64)
+
+
 @dataclass
 class Bucket:
-    """Entries of one bucket in list order."""
+    """Entries of one bucket, each in a slot of its own.
+
+    A full bucket drops the entry with the fewest hits, among those the oldest, the
+    new one included; dropping also puts the entries in order of (hits, age), both
+    descending, which decides between equal similarities until the next drop.
+    ``ranked`` holds the hits at the last drop, ``stored`` the order of storing.
+    """
 
-    ids: np.ndarray = field(default_factory=lambda: np.empty(0, dtype=np.int64))
-    arrivals: np.ndarray = field(default_factory=lambda: np.empty(0, dtype=np.int64))
-    hits: np.ndarray = field(default_factory=lambda: np.empty(0, dtype=np.int64))
+    ids: np.ndarray = field(default_factory=_no_numbers)
+    stored: np.ndarray = field(default_factory=_no_numbers)
+    hits: np.ndarray = field(default_factory=_no_numbers)
+    ranked: np.ndarray = field(default_factory=_no_numbers)
     vectors: np.ndarray | None = None
+    count: int = 0
+    dropped: bool = False
 
-    def replay(self, ids: np.ndarray, arrivals: np.ndarray, rows: np.ndarray, threshold: float, cap: int) -> list[tuple]:
+    def replay(self, ids: np.ndarray, rows: np.ndarray, threshold: float, cap: int) -> list[tuple]:
         """Take in arrivals in order: (hit, source id, similarity, evicted id) each."""
         out = []
         for start in range(0, len(ids), _CHUNK):
             part = slice(start, start + _CHUNK)
-            out.extend(self._chunk(ids[part], arrivals[part], rows[part], threshold, cap))
+            out.extend(self._chunk(ids[part], rows[part], threshold, cap))
         return out
 
-    def _chunk(self, ids: np.ndarray, arrivals: np.ndarray, rows: np.ndarray, threshold: float, cap: int) -> list[tuple]:
-        stored = rows[:0] if self.vectors is None else self.vectors
-        pool = np.concatenate([stored, rows])
+    def _first_of(self, equal: np.ndarray, stored: np.ndarray, ranked: np.ndarray) -> int:
+        """The slot that comes first in bucket order."""
+        if not self.dropped:
+            return int(equal[stored[equal].argmin()])
+        return int(equal[np.lexsort((-stored[equal], -ranked[equal]))[0]])
+
+    def _chunk(self, ids: np.ndarray, rows: np.ndarray, threshold: float, cap: int) -> list[tuple]:
+        size = len(self.ids)
+        pool = rows if self.vectors is None else np.concatenate([self.vectors, rows])
+        first = len(pool) - len(rows)
         sims = np.round(rows @ pool.T, SIMILARITY_DIGITS)
-        slots = np.arange(len(stored))
-        known, times, hits = self.ids, self.arrivals, self.hits
-        out = []
+        room = min(cap, size + len(rows))
+        # Column of the pool, id, order of storing, hits and ranked hits per slot.
+        column, known, stored, hits, ranked = np.zeros((5, room), dtype=np.int64)
+        column[:size] = np.arange(size)
+        known[:size], stored[:size], hits[:size], ranked[:size] = self.ids, self.stored, self.hits, self.ranked
+        out: list[tuple] = []
         for i in range(len(rows)):
-            best, at = NOTHING, -1
-            if len(slots):
-                here = sims[i, slots]
-                top = int(here.argmax())
-                if here[top] > NOTHING:
-                    best, at = float(here[top]), top
-            if at >= 0 and best >= threshold:
+            best = NOTHING
+            if size:
+                here = sims[i, column[:size]]
+                at = int(here.argmax())
+                if here[at] > NOTHING:
+                    best = float(here[at])
+            if size and best > NOTHING and best >= threshold:
+                equal = np.flatnonzero(here == best)
+                if len(equal) > 1:
+                    at = self._first_of(equal, stored, ranked)
                 hits[at] += 1
                 out.append((True, int(known[at]), best, None))
                 continue
-            slots = np.append(slots, len(stored) + i)
-            known, times, hits = np.append(known, ids[i]), np.append(times, arrivals[i]), np.append(hits, 0)
             evicted = None
-            if len(slots) > cap:
-                order = np.lexsort((np.arange(len(slots)), -times, -hits))
-                evicted = int(known[order[-1]])
-                keep = order[:-1]
-                slots, known, times, hits = slots[keep], known[keep], times[keep], hits[keep]
+            if size < cap:
+                slot, size = size, size + 1
+            else:
+                unused = np.flatnonzero(hits[:size] == 0)
+                slot = int(unused[stored[unused].argmin()]) if len(unused) else -1
+                evicted = int(known[slot]) if slot >= 0 else int(ids[i])
+            if slot >= 0:
+                column[slot], known[slot], stored[slot], hits[slot], ranked[slot] = first + i, ids[i], self.count, 0, 0
+            if evicted is not None:
+                ranked[:size] = hits[:size]
+                self.dropped = True
+            self.count += 1
             out.append((False, None, best, evicted))
-        self.ids, self.arrivals, self.hits, self.vectors = known, times, hits, pool[slots]
+        self.ids, self.stored, self.hits, self.ranked = known[:size], stored[:size], hits[:size], ranked[:size]
+        self.vectors = pool[column[:size]]
         return out
 
 
@@ -105,6 +137,7 @@ def replay(
         )
         .repartition(partitions, "cluster")
         .sortWithinPartitions("cluster", "arrival", "query_id")
+        .select("query_id", "cluster", "vector")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,19 +145,19 @@ def replay(
         for batch in batches:
             if not batch.num_rows:
                 continue
-            ids, arrivals, clusters = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-            rows = to_matrix(batch.column(3))
+            ids, clusters = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+            rows = to_matrix(batch.column(2))
             bounds = np.concatenate([[0], np.flatnonzero(np.diff(clusters)) + 1, [len(clusters)]])
             log: list[tuple] = []
             for begin, end in zip(bounds[:-1], bounds[1:]):
                 if clusters[begin] != current:
                     current, bucket = clusters[begin], Bucket()
-                log.extend(bucket.replay(ids[begin:end], arrivals[begin:end], rows[begin:end], threshold, cap))
+                log.extend(bucket.replay(ids[begin:end], rows[begin:end], threshold, cap))
             hit, source, best, evicted = zip(*log)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
-                    batch.column(2),
+                    batch.column(1),
                     pa.array(hit, pa.bool_()),
                     pa.array(source, pa.int64()),
                     pa.array(best, pa.float64()),

@@ -132,33 +132,35 @@ def _search_part(queries: DataFrame, part: pa.Table, exclude_self: bool) -> Data
     return add_columns(queries, ["query_id", "cluster", "vector"], _FOUND, find)
 
 
-def _parts(entries: DataFrame) -> int:
-    """Parts of bounded size the entry table is searched in; a capped one needs one."""
-    size = F.sum(8 * F.size("vector") + 8 + F.length("query"))
-    return max(1, math.ceil((entries.agg(size).first()[0] or 0) / ENTRY_BLOCK_BYTES))
-
-
 def best_entries(queries: DataFrame, entries: DataFrame, exclude_self: bool = False) -> DataFrame:
     """Add the most similar entry of the bucket: best_similarity, best_position, best_id.
 
     ``queries`` needs query_id, cluster and vector. With ``exclude_self`` an entry
     does not match the query that has its id.
     """
-    return _best_entries(queries, entries, exclude_self, _parts(entries))
+    return _best_entries(queries, entries, exclude_self)[0]
 
 
-def _best_entries(queries: DataFrame, entries: DataFrame, exclude_self: bool, parts: int) -> DataFrame:
-    stored = entries.select("entry_id", "cluster", "position", as_vector("vector").alias("vector"))
+def _best_entries(queries: DataFrame, entries: DataFrame, exclude_self: bool) -> tuple[DataFrame, bool]:
+    """The lookups, and whether the entries, texts included, are proven small."""
+    stored = entries.select(
+        "entry_id", "cluster", "position", as_vector("vector").alias("vector"), F.length("query").alias("chars")
+    ).persist()
     incoming = queries.withColumn("vector", as_vector("vector"))
-    if parts == 1:
-        return _search_part(incoming, stored.toArrow(), exclude_self)
     spark = queries.sparkSession
-    target = scratch_path(spark, "lookup")
     names = [f.name for f in _FOUND]
-    for number in range(parts):
-        part = stored.filter(F.pmod(F.xxhash64("entry_id"), F.lit(parts)) == number).toArrow()
-        found = _search_part(incoming, part, exclude_self)
-        found.select("query_id", *names).write.mode("append").parquet(target)
+    try:
+        size = stored.agg(F.sum(8 * F.size("vector") + 8 + F.coalesce("chars", F.lit(0)))).first()[0] or 0
+        parts = max(1, math.ceil(size / ENTRY_BLOCK_BYTES))
+        if parts == 1:
+            return _search_part(incoming, stored.toArrow(), exclude_self), True
+        target = scratch_path(spark, "lookup")
+        for number in range(parts):
+            part = stored.filter(F.pmod(F.xxhash64("entry_id"), F.lit(parts)) == number).toArrow()
+            found = _search_part(incoming, part, exclude_self)
+            found.select("query_id", *names).write.mode("append").parquet(target)
+    finally:
+        stored.unpersist()
     first_best = F.struct("best_similarity", (-F.col("best_position")).alias("order"))
     merged = (
         spark.read.parquet(target)
@@ -166,7 +168,7 @@ def _best_entries(queries: DataFrame, entries: DataFrame, exclude_self: bool, pa
         .agg(F.max_by(F.struct(*names), first_best).alias("best"))
         .select("query_id", "best.*")
     )
-    return queries.join(merged, "query_id")
+    return queries.join(merged, "query_id"), False
 
 
 def decide(found: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -185,11 +187,10 @@ def decide(found: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 def lookup(queries: DataFrame, entries: DataFrame, threshold: float = THRESHOLD, exclude_self: bool = False) -> DataFrame:
     """Look each query up in a fixed entry table; adds matched_query to :func:`decide`."""
-    parts = _parts(entries)
-    decided = decide(_best_entries(queries, entries, exclude_self, parts), threshold)
+    found, small = _best_entries(queries, entries, exclude_self)
     texts = entries.select(F.col("entry_id").alias("matched_id"), F.col("query").alias("matched_query"))
-    # One part is a proven bound on the texts as well; beyond it AQE picks the join.
-    return decided.join(F.broadcast(texts) if parts == 1 else texts, "matched_id", "left")
+    # Broadcast behind the check of the size; beyond it AQE picks the join.
+    return decide(found, threshold).join(F.broadcast(texts) if small else texts, "matched_id", "left")
 
 
 def sweep_band(theta: Column) -> Column:

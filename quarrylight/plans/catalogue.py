@@ -117,9 +117,9 @@ def _routed(spark: SparkSession, sf_dir: str, centers: np.ndarray) -> DataFrame:
     )
 
 
-def _entries(routed: DataFrame) -> DataFrame:
+def _entries(routed: DataFrame, cap: int = CAP) -> DataFrame:
     answered = routed.select(F.col("query_id").alias("entry_id"), "query", "vector", "cluster", "arrival", "label")
-    return reuse.seed_entries(answered, CAP)
+    return reuse.seed_entries(answered, cap)
 
 
 def _found(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -430,9 +430,9 @@ def bucket_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reuse_flush(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The table is emptied and then filled from the first five labels only.
+    # The table is emptied and filled again under a smaller capacity.
     routed = _routed(spark, sf_dir, _centers(spark, sf_dir))
-    refilled = reuse.flush(_entries(routed)).unionByName(_entries(routed.filter(F.col("label") < 5)))
+    refilled = reuse.flush(_entries(routed)).unionByName(_entries(routed, REPLAY_CAP))
     return _tidy(reuse.bucket_sizes(refilled))
 
 

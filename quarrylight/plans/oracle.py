@@ -422,7 +422,7 @@ FROM found CROSS JOIN (SELECT CAST(unnest([{', '.join(map(str, THETA_GRID))}]) A
   count(*) FILTER (WHERE NOT hit) AS miss_count, {_r('count(*) FILTER (WHERE hit) / count(*)', 'hit_rate', 4)} FROM found""",
     "bucket_sizes": _with(_ROUTE, _SEEDED)
     + "SELECT CAST(cluster AS BIGINT) AS cluster, count(*) AS n_entries FROM entries GROUP BY 1",
-    "reuse_flush": _with(_ROUTE, _SEEDED.replace("FROM routed)", "FROM routed WHERE label < 5)"))
+    "reuse_flush": _with(_ROUTE, _SEEDED.replace(f" {CAP} ", f" {REPLAY_CAP} ").replace(f"<= {CAP})", f"<= {REPLAY_CAP})"))
     + "SELECT CAST(cluster AS BIGINT) AS cluster, count(*) AS n_entries FROM entries GROUP BY 1",
     "hit_evaluation": _LOOKED_UP
     + "SELECT coalesce(entry_label = label, FALSE) AS expected_hit, hit, count(*) AS n FROM found GROUP BY 1, 2",

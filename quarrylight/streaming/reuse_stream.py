@@ -27,14 +27,16 @@ def stream_lookup(queries: DataFrame, entries: DataFrame, threshold: float = THR
 def _dump(bucket: Bucket) -> bytes:
     out = io.BytesIO()
     vectors = bucket.vectors if bucket.vectors is not None else np.empty((0, 0))
-    np.savez(out, ids=bucket.ids, arrivals=bucket.arrivals, hits=bucket.hits, vectors=vectors)
+    numbers = np.stack([bucket.ids, bucket.stored, bucket.hits, bucket.ranked])
+    np.savez(out, numbers=numbers, vectors=vectors, scalars=np.array([bucket.count, bucket.dropped]))
     return out.getvalue()
 
 
 def _restore(data: bytes) -> Bucket:
     with np.load(io.BytesIO(data), allow_pickle=False) as saved:
         vectors = saved["vectors"]
-        return Bucket(saved["ids"], saved["arrivals"], saved["hits"], vectors if len(vectors) else None)
+        count, dropped = saved["scalars"]
+        return Bucket(*saved["numbers"], vectors if len(vectors) else None, int(count), bool(dropped))
 
 
 def stream_replay(queries: DataFrame, threshold: float = THRESHOLD, cap: int = BUCKET_CAP) -> DataFrame:
@@ -51,7 +53,7 @@ def stream_replay(queries: DataFrame, threshold: float = THRESHOLD, cap: int = B
         if len(arrived):
             rows = np.stack(arrived["vector"].to_list()).astype(np.float64)
             ids = arrived["query_id"].to_numpy(dtype=np.int64)
-            log = bucket.replay(ids, arrived["arrival"].to_numpy(dtype=np.int64), rows, threshold, cap)
+            log = bucket.replay(ids, rows, threshold, cap)
             state.update((_dump(bucket),))
             hit, source, best, evicted = zip(*log)
             yield pd.DataFrame(

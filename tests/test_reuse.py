@@ -183,3 +183,16 @@ def test_map_and_labels(spark):
 
 def test_entry_schema_names():
     assert ENTRIES.fieldNames()[:2] == ["entry_id", "query"]
+
+
+@pytest.mark.parametrize("cap", [2, 4, 100])
+def test_replay_with_many_equal_similarities(spark, cap):
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 2, (400, 7)).astype(float)
+    x[:, 0] = 1.0
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    cluster = np.arange(400) % 2
+    log = replay.replay(log_frame(spark, x, cluster), 0.8, cap).checkpoint()
+    want, left = simulate(x, cluster, 0.8, cap)
+    same(rows_of(log), want)
+    assert {r["entry_id"]: r["hit_count"] for r in replay.surviving_entries(log).collect()} == left
