@@ -78,14 +78,16 @@ def answer_log(
     # The replay is used twice below and runs in order, so it is kept: a few numbers
     # per query, in the shared folder, independent of the executors that made them.
     log = replay(routed, threshold, cap).checkpoint()
-    decided = routed.join(log.drop("cluster"), "query_id")
-    missed = decided.filter(~F.col("hit")).select("query_id", "vector")
-    results = as_results(retrieve(missed, vector_table, k)).withColumnRenamed("query_id", "answer_id")
-    sources = routed.select(F.col("query_id").alias("source_id"), F.col("query").alias("matched_query"))
-    answered = (
-        decided.withColumn("answer_id", F.coalesce("source_id", "query_id"))
-        .join(results, "answer_id", "left")
-        .join(sources, "source_id", "left")
+    decided = routed.join(log.drop("cluster"), "query_id").withColumn(
+        "answer_id", F.coalesce("source_id", "query_id")
+    )
+    missed = decided.filter(~F.col("hit"))
+    results = as_results(retrieve(missed.select("query_id", "vector"), vector_table, k))
+    given = missed.select("query_id", F.col("query").alias("source_query")).join(results, "query_id", "left")
+    # A query's answer is its own or that of its source, so every row has a key to
+    # join by; misses do not gather under a null one.
+    answered = decided.join(given.withColumnRenamed("query_id", "answer_id"), "answer_id", "left").withColumn(
+        "matched_query", F.when(F.col("hit"), F.col("source_query"))
     )
     return with_cluster_label(answered, labels).select(
         "query_id",
