@@ -14,7 +14,10 @@ from ..session import checkpoint_root, scratch_path
 from ..sources import corpus, vector_table
 from ..streaming import reuse_stream
 from . import answer, build, sweeps
-from .oracle import CAP, CAPPED_FEATURES, DIGITS, FUZZINESS, PROFILE_M, REPLAY_CAP, SEEDS, THETA, THETA_GRID
+from .oracle import (
+    BUILD_BOUNDARY, BUILD_CLUSTERS, CAP, CAPPED_FEATURES, DIGITS, FUZZINESS, PROFILE_M, REPLAY_CAP, SEEDS, THETA,
+    THETA_GRID,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -553,7 +556,8 @@ def stream_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def staged_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "build")
     small = build.Settings(
-        components=16, svd_passes=3, pca_dims=8, clusters=8, restarts=1, max_iter=5,
+        components=16, svd_passes=3, pca_dims=8, clusters=BUILD_CLUSTERS, boundary_docs=BUILD_BOUNDARY,
+        restarts=1, max_iter=5,
         k_sweep_iter=5, m_sweep_iter=5, k_grid=(8, 10), m_grid=(1.5, 2.0),
     )
     docs = _documents(spark, sf_dir)

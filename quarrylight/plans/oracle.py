@@ -19,6 +19,8 @@ THETA = 0.35
 THETA_GRID = (0.25, 0.30, 0.35, 0.40, 0.45, 0.50)
 CAP = 40
 REPLAY_CAP = 10
+BUILD_CLUSTERS = 8
+BUILD_BOUNDARY = 15
 
 
 def _r(expression: str, name: str, digits: int = DIGITS) -> str:
@@ -463,6 +465,11 @@ WHERE NOT s.hit AND s.query_id NOT IN (SELECT evicted_id FROM log WHERE evicted_
     + f"SELECT query_id, CAST(label AS BIGINT) AS cluster, s >= {THETA} AS hit, "
     f"CASE WHEN s >= {THETA} THEN entry_id ELSE -1 END AS matched_id, {_r('s', 'similarity')} "
     "FROM best JOIN e ON e.id = query_id WHERE r = 1",
+    "staged_build": _with(_CLEAN, _POSTS, _vocabulary(MAX_FEATURES))
+    + f"""SELECT 'vocabulary' AS table_name, count(*) AS n_rows FROM vocab
+UNION ALL SELECT t, n FROM (SELECT unnest(['sparse', 'vectors', 'memberships']) AS t), n
+UNION ALL SELECT 'cluster_labels', {BUILD_CLUSTERS}
+UNION ALL SELECT 'boundary_docs', least(n, {BUILD_BOUNDARY}) FROM n""",
     "answer_queries": "WITH RECURSIVE "
     + _PROFILE.removeprefix("WITH ").rstrip()
     + ",\n"
