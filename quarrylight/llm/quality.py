@@ -25,7 +25,7 @@ from quarrylight.llm.common import Words, rows, slices, staged, table, text_of
 from quarrylight.session import ship
 
 #: measure -> least distance from quartile to fence is three of these (parts of 10,000).
-UNITS = {"symbols": 200, "dup_lines": 1000, "repeats": 700}
+UNITS = {"symbols": 200, "dup_lines": 2000, "repeats": 700}
 MIN_DOCS = 100
 _SYMBOLS = np.isin(np.arange(256), list(b"#*$%&|<>"))
 _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
@@ -221,7 +221,7 @@ s AS (SELECT lk, sk, measure, bucket, count(*) AS n, sum(count(*)) OVER (PARTITI
         sum(count(*)) OVER (PARTITION BY measure), 0 FROM b GROUP BY measure, bucket),
 q AS (SELECT lev, lk, sk, measure, max(z) AS z, min(bucket) FILTER (u * 4 >= z) AS q1, min(bucket) FILTER (u * 4 >= z * 3) AS q3
       FROM s GROUP BY lev, lk, sk, measure),
-f AS (SELECT *, (q3 + 3 * greatest(q3 - q1, CASE measure WHEN 'symbols' THEN 200 WHEN 'dup_lines' THEN 1000 ELSE 700 END))::BIGINT
+f AS (SELECT *, (q3 + 3 * greatest(q3 - q1, CASE measure WHEN 'symbols' THEN 200 WHEN 'dup_lines' THEN 2000 ELSE 700 END))::BIGINT
         AS fence FROM q),
 g AS (SELECT a.lk, a.sk, a.measure,
         CASE WHEN a.z >= 100 THEN a.fence WHEN l.z >= 100 THEN l.fence ELSE e.fence END AS fence
