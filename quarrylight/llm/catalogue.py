@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from quarrylight.llm import packing, quality
+from quarrylight.llm import decontaminate, packing, quality, secret_scan
 
 QUERIES = {
+    "op2_secret_scan": secret_scan.query,
     "op3_quality_rules": quality.query,
+    "op6_benchmark_decontamination": decontaminate.query,
     "op10_best_fit_packing": packing.query,
 }
 
 SQL = {
+    "op2_secret_scan": secret_scan.SQL,
     "op3_quality_rules": quality.SQL,
+    "op6_benchmark_decontamination": decontaminate.SQL,
 }
