@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
-from quarrylight.llm import decontaminate, packing, quality, secret_scan
+from quarrylight.llm import decontaminate, licences, packing, pseudonyms, quality, secret_scan, warc_store
 
 QUERIES = {
+    "op1_licence_scan": licences.query,
     "op2_secret_scan": secret_scan.query,
     "op3_quality_rules": quality.query,
     "op6_benchmark_decontamination": decontaminate.query,
+    "op8_warc_store": warc_store.query,
+    "op9_pseudonyms": pseudonyms.query,
     "op10_best_fit_packing": packing.query,
 }
 
 SQL = {
+    "op1_licence_scan": licences.SQL,
     "op2_secret_scan": secret_scan.SQL,
     "op3_quality_rules": quality.SQL,
     "op6_benchmark_decontamination": decontaminate.SQL,
+    "op8_warc_store": warc_store.SQL,
 }
