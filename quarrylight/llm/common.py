@@ -85,10 +85,20 @@ def slices(batches: Iterator[pa.RecordBatch], limit: int = SLICE_BYTES) -> Itera
             start = end
 
 
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_MARK = np.zeros(256, bool)
+_MARK[[*range(33, 39), *range(40, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
+
+
 class Words:
-    """Space-separated words of a slice: owner row, dense ids and the distinct words."""
+    """Space-separated words of a slice: owner row, dense ids and the distinct words.
+
+    With ``marks``, words also end between an ASCII letter and a punctuation mark other
+    than the apostrophe.
+    """
 
-    def __init__(self, column: pa.Array, lower: bool = False) -> None:
+    def __init__(self, column: pa.Array, lower: bool = False, marks: bool = False) -> None:
         data, offsets = text_bytes(column)
         if lower:
             data = np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
@@ -97,11 +107,17 @@ class Words:
         before[1:] = inside[:-1]
         heads = offsets[:-1][np.diff(offsets) > 0]
         before[heads] = False
+        if marks and len(data) > 1:
+            letter, mark = _LETTER[data], _MARK[data]
+            cut = np.flatnonzero((letter[:-1] & mark[1:]) | (mark[:-1] & letter[1:])) + 1
+            before[cut] = False
         starts = np.flatnonzero(inside & ~before)
         after = np.empty(len(data), bool)
         after[:-1] = inside[1:]
         tails = offsets[1:][np.diff(offsets) > 0] - 1
         after[tails] = False
+        if marks and len(data) > 1:
+            after[cut - 1] = False
         lengths = np.flatnonzero(inside & ~after) + 1 - starts
         self.data, self.offsets, self.inside, self.starts = data, offsets, inside, starts
         self.bounds = np.searchsorted(starts, offsets)

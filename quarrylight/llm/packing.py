@@ -1,7 +1,7 @@
 """Packing of token pieces into sequences: best fit, then swaps until bins empty.
 
-A text is lower-cased and split by the tokenizer itself; words between ASCII spaces are
-tokenized once per slice, since no token spans a space. Id 1 ends each document. Documents
+Words between ASCII spaces and marks are tokenized once per slice, as no token spans
+those; slices that hold the name of a special token are only split at spaces. Id 1 ends each document. Documents
 longer than a sequence are cut; whole pieces of one sequence need no packing. The others
 are dealt into blocks of at most ``BLOCK`` pieces by an exact shuffle; each block is packed
 by best fit and then improved: moves, one-for-one and two-for-one exchanges that raise the
@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,7 +35,6 @@ END_ID = 1
 BLOCK = 100_000
 #: Exchanges tried per block before the packing stands as it is.
 MAX_STEPS = 5_000
-_KNOWN = 200_000
 _COLUMNS = ("piece", "start", "length", "ids_crc32")
 
 
@@ -45,35 +45,67 @@ def vocabulary_path() -> str:
 
 
 class _Encoder:
-    """Ids of words; keeps those of words seen before, up to a fixed number."""
+    """Ids of words. Words of letters only are one token run each, so many go in one text."""
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, np.ndarray] = {}
-
-    def __call__(self, words: list[bytes]) -> list[np.ndarray]:
-        if len(self.known) > _KNOWN:
-            self.known = {}
-        new = [w for w in words if w not in self.known]
-        for i in range(0, len(new), 2048):
-            chunk = new[i : i + 2048]
-            encodings = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in chunk], add_special_tokens=False)
-            for word, encoding in zip(chunk, encodings):
-                self.known[word] = np.array(encoding.ids, np.uint32)
-        return [self.known[w] for w in words]
+        self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
+        self.ends[[i for word, i in self.tokenizer.get_vocab().items() if word.endswith("</w>")]] = True
+
+    def _each(self, words: list[str]) -> list[np.ndarray]:
+        found = []
+        for i in range(0, len(words), 2048):
+            encodings = self.tokenizer.encode_batch_fast(words[i : i + 2048], add_special_tokens=False)
+            found += [np.array(e.ids, np.uint32) for e in encodings]
+        return found
+
+    def _joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        flat, sizes = [], []
+        for i in range(0, len(words), 512):
+            chunk = words[i : i + 512]
+            [encoding] = self.tokenizer.encode_batch_fast([" ".join(chunk)], add_special_tokens=False)
+            ids = np.array(encoding.ids, np.uint32)
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) == len(chunk):
+                flat.append(ids)
+                sizes.append(np.diff(ends, prepend=0))
+            else:  # a letter that the tokenizer's tables do not know as one
+                each = self._each(chunk)
+                flat += each
+                sizes.append(np.array([len(x) for x in each]))
+        return np.concatenate(flat), np.concatenate(sizes)
+
+    def __call__(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ids, and start and number of those of each word."""
+        words = words.cast(pa.large_string())
+        letters = pc.utf8_is_alpha(words).to_numpy(zero_copy_only=False).astype(bool)
+        sizes = np.zeros(len(words), np.int64)
+        starts = np.zeros(len(words), np.int64)
+        flat, at = [], 0
+        if letters.any():
+            ids, n = self._joined(words.filter(pa.array(letters)).to_pylist())
+            flat.append(ids)
+            sizes[letters], starts[letters] = n, np.cumsum(n) - n
+            at = len(ids)
+        if not letters.all():
+            each = self._each(words.filter(pa.array(~letters)).to_pylist())
+            n = np.array([len(x) for x in each])
+            flat += each
+            sizes[~letters], starts[~letters] = n, at + np.cumsum(n) - n
+        return (np.concatenate(flat) if flat else np.zeros(0, np.uint32)), starts, sizes
 
 
 def tokenize(column: pa.Array, encoder: _Encoder, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
     """All ids of a slice, one document after the other, and the n + 1 offsets."""
-    words = Words(column)
-    ids = encoder(words.distinct.to_pylist()) + [np.array([end_id], np.uint32)]
-    flat = np.concatenate(ids)
-    sizes = np.array([len(x) for x in ids])
-    starts = np.cumsum(sizes) - sizes
-    sequence = np.insert(words.ids, words.bounds[1:], len(ids) - 1)
+    special = pc.any(pc.match_substring(column, "oftext|>", ignore_case=True)).as_py()
+    words = Words(column, lower=not special, marks=not special)
+    flat, starts, sizes = encoder(words.distinct)
+    flat = np.append(flat, np.uint32(end_id))
+    starts, sizes = np.append(starts, len(flat) - 1), np.append(sizes, 1)
+    sequence = np.insert(words.ids, words.bounds[1:], len(sizes) - 1)
     lengths = sizes[sequence]
     ends = np.concatenate(([0], np.cumsum(lengths)))
     last_word = words.bounds[1:] + np.arange(1, len(words.bounds))
@@ -83,7 +115,7 @@ def tokenize(column: pa.Array, encoder: _Encoder, end_id: int = END_ID) -> tuple
 def _pieces(path: str, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _Encoder(path)
-        for part in slices(batches):
+        for part in slices(batches, 8 << 20):
             ids, offsets = tokenize(part.column("text"), encoder)
             ids = ids.astype("<u4")
             totals = np.diff(offsets)
