@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from quarrylight.llm import decontaminate, licences, packing, pseudonyms, quality, secret_scan, warc_store
+from quarrylight.llm import decontaminate, licences, line_dedup, packing, pseudonyms, quality, secret_scan, warc_store
 
 QUERIES = {
     "op1_licence_scan": licences.query,
     "op2_secret_scan": secret_scan.query,
     "op3_quality_rules": quality.query,
+    "op5_line_dedup": line_dedup.query,
     "op6_benchmark_decontamination": decontaminate.query,
     "op8_warc_store": warc_store.query,
     "op9_pseudonyms": pseudonyms.query,
