@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quarrylight.llm import decontaminate, licences, line_dedup, packing, pseudonyms, quality, secret_scan, warc_store
+from quarrylight.llm import decontaminate, jaccard_join, licences, line_dedup, packing, pseudonyms, quality, secret_scan, warc_store
 
 QUERIES = {
     "op1_licence_scan": licences.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_quality_rules": quality.query,
     "op5_line_dedup": line_dedup.query,
     "op6_benchmark_decontamination": decontaminate.query,
+    "op7_jaccard_join": jaccard_join.query,
     "op8_warc_store": warc_store.query,
     "op9_pseudonyms": pseudonyms.query,
     "op10_best_fit_packing": packing.query,
