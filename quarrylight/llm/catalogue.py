@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from quarrylight.llm import decontaminate, jaccard_join, licences, line_dedup, packing, pseudonyms, quality, secret_scan, warc_store
+from quarrylight.llm import decontaminate, jaccard_join, licences, line_dedup, packing, pseudonyms, quality, repeated_bytes, secret_scan, warc_store
 
 QUERIES = {
     "op1_licence_scan": licences.query,
     "op2_secret_scan": secret_scan.query,
     "op3_quality_rules": quality.query,
+    "op4_repeated_bytes": repeated_bytes.query,
     "op5_line_dedup": line_dedup.query,
     "op6_benchmark_decontamination": decontaminate.query,
     "op7_jaccard_join": jaccard_join.query,
