@@ -1,24 +1,46 @@
-"""From raw documents to packed sequences, in five stages."""
+"""From raw documents to packed sequences, in five stages.
+
+Each stage works on all rows that the one before kept. The first four return the columns
+of documents: quality rules drop the documents they reject; line dedup drops repeated lines
+from the texts, and documents of which nothing is left; the Jaccard join keeps the document
+with the smallest id of each group; decontamination drops documents that hold a benchmark
+window. The last one packs the tokens of what is left.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarrylight.llm import packing, quality
-from quarrylight.llm.common import staged
+from quarrylight.llm import decontaminate, jaccard_join, line_dedup, packing, quality
+from quarrylight.llm.common import staged, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.keep_good(docs)
 
 
-def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def deduplicated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return line_dedup.remove_lines(docs)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return jaccard_join.keep_one(docs)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.remove_documents(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs)
 
 
 STAGES = [
     ("quality rules", quality_rules),
-    ("best-fit packing", best_fit_packing),
+    ("line dedup", deduplicated_lines),
+    ("n-gram Jaccard join", one_of_each_group),
+    ("benchmark decontamination", decontaminated),
+    ("best-fit packing", packed),
 ]
 
 #: The last stage needs the tokenizer, which SQL does not have.
@@ -26,7 +48,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The rows of the last stage, from the documents in ``sf_dir``."""
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)
