@@ -9,14 +9,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.batches import add_columns
-from ..functions.vectors import argmax, as_vector, second_largest, to_matrix
+from ..functions.vectors import VECTOR, argmax, as_vector, from_matrix, second_largest, to_matrix
 from .fuzzy import distances
 
 # Limits of the certainty report.
 HIGH_CERTAINTY = 0.8
 DUAL_MEMBERSHIP = 0.15
-# Fixed value: rows of the final silhouette sample.
-SILHOUETTE_SAMPLE = 3000
+# Points that each row of a silhouette is compared with at a time, in bytes.
+SILHOUETTE_BLOCK_BYTES = 16 << 20
 
 
 def row_sample(df: DataFrame, size: int, seed: int = 42, id_col: str = "id") -> DataFrame:
@@ -60,66 +60,79 @@ def certainty_metrics(df: DataFrame, membership: str = "membership") -> DataFram
 
 def silhouette_rows(
     df: DataFrame,
-    sample_size: int = SILHOUETTE_SAMPLE,
-    seed: int = 42,
     vector: str = "vector",
     cluster: str = "cluster",
     id_col: str = "id",
+    block_bytes: int = SILHOUETTE_BLOCK_BYTES,
 ) -> DataFrame:
-    """Euclidean silhouette of the rows of a sample: id, cluster, silhouette.
+    """Euclidean silhouette of every row: id, cluster, silhouette.
 
-    The sample size bounds this: the sample goes to every task, and each row is
-    reduced to one mean distance per cluster where it is, so no pair is ever a row.
+    Exact, so its work is the square of the rows; hand in :func:`row_sample` of a large
+    table for an estimate. Rows are compared with blocks of bounded size, one block after
+    the other, and carry their sum of distances to each cluster on from block to block:
+    no pair is ever a row, and no task or driver holds more than a block.
     """
     spark = df.sparkSession
-    sample = row_sample(
-        df.select(
-            F.col(id_col).alias("id"), F.col(cluster).cast("int").alias("cluster"), as_vector(vector).alias("vector")
-        ),
-        sample_size,
-        seed,
-    )
-    table = sample.toArrow().combine_chunks()
-    if table.num_rows == 0:
-        return sample.select("id", "cluster", F.lit(0.0).alias("silhouette"))
-    rows = spark.createDataFrame(table).repartition(spark.sparkContext.defaultParallelism)
-    labels, own = np.unique(table.column("cluster").to_numpy(), return_inverse=True)
-    points = to_matrix(table.column("vector"))
-    sizes = np.bincount(own).astype(np.float64)
-    member = np.zeros((len(points), len(labels)))
-    member[np.arange(len(points)), own] = 1.0
-    shared = spark.sparkContext.broadcast((points, labels, sizes, member))
-
-    def score(cluster_of: pa.Array, vectors: pa.Array) -> list[pa.Array]:
-        others, names, counts, indicator = shared.value
-        x = to_matrix(vectors)
-        mine = np.searchsorted(names, cluster_of.to_numpy(zero_copy_only=False))
-        out = np.zeros(len(x))
+    points = df.select(
+        F.col(id_col).alias("id"), F.col(cluster).cast("int").alias("cluster"), as_vector(vector).alias("vector")
+    ).persist()
+    try:
+        found = points.groupBy("cluster").agg(F.count("*").alias("n"), F.sum(8 * F.size("vector") + 16).alias("bytes")).collect()
+        if not found:
+            return points.select("id", "cluster", F.lit(0.0).alias("silhouette"))
+        names = np.array(sorted(r["cluster"] for r in found))
+        counts = np.array([n for _, n in sorted((r["cluster"], r["n"]) for r in found)], dtype=np.float64)
+        blocks = max(1, math.ceil(sum(r["bytes"] for r in found) / block_bytes))
+        at_least = spark.sparkContext.defaultParallelism
+        scored = points if points.rdd.getNumPartitions() >= at_least else points.repartition(at_least, "id")
+        scored = scored.withColumn("total", F.array_repeat(F.lit(0.0), len(names)))
+        for number in range(blocks):
+            part = points.filter(F.pmod(F.xxhash64("id", "vector"), F.lit(blocks)) == number).toArrow().combine_chunks()
+            if part.num_rows:
+                scored = _with_distances(scored, part, names)
+    finally:
+        points.unpersist()
+
+    def score(cluster_of: pa.Array, totals: pa.Array) -> list[pa.Array]:
+        total = to_matrix(totals)
+        home = np.searchsorted(names, cluster_of.to_numpy(zero_copy_only=False))
+        at = np.arange(len(total))
+        inner = total[at, home] / np.maximum(counts[home] - 1, 1)
+        mean = total / counts
+        mean[at, home] = np.inf
+        outer = mean.min(axis=1)
+        top = np.maximum(inner, outer)
+        fair = (counts[home] > 1) & np.isfinite(outer) & (top > 0)
+        value = np.zeros(len(total))
+        value[fair] = (outer[fair] - inner[fair]) / top[fair]
+        return [pa.array(value)]
+
+    scored = add_columns(scored, ["cluster", "total"], [T.StructField("silhouette", T.DoubleType())], score)
+    return scored.select("id", "cluster", "silhouette")
+
+
+def _with_distances(rows: DataFrame, block: pa.Table, names: np.ndarray) -> DataFrame:
+    """Add each row's distances to the points of a block, summed by cluster, to ``total``."""
+    own = np.searchsorted(names, block.column("cluster").to_numpy())
+    member = np.zeros((block.num_rows, len(names)))
+    member[np.arange(len(own)), own] = 1.0
+    shared = rows.sparkSession.sparkContext.broadcast((to_matrix(block.column("vector")), member))
+
+    def add(vectors: pa.Array, totals: pa.Array) -> list[pa.Array]:
+        others, indicator = shared.value
+        x, total = to_matrix(vectors), to_matrix(totals).copy()
         for start in range(0, len(x), 256):
             part = slice(start, start + 256)
-            total = distances(x[part], others) @ indicator
-            at = np.arange(len(total))
-            home = mine[part]
-            alone = counts[home] <= 1
-            inner = total[at, home] / np.maximum(counts[home] - 1, 1)
-            mean = total / counts
-            mean[at, home] = np.inf
-            outer = mean.min(axis=1)
-            top = np.maximum(inner, outer)
-            fair = ~alone & np.isfinite(outer) & (top > 0)
-            value = np.zeros(len(total))
-            value[fair] = (outer[fair] - inner[fair]) / top[fair]
-            out[part] = value
-        return [pa.array(out)]
-
-    scored = add_columns(rows, ["cluster", "vector"], [T.StructField("silhouette", T.DoubleType())], score)
-    return scored.select("id", "cluster", "silhouette")
+            total[part] += distances(x[part], others) @ indicator
+        return [from_matrix(total)]
+
+    return add_columns(rows, ["vector", "total"], [T.StructField("total", VECTOR)], add)
 
 
-def silhouette(df: DataFrame, sample_size: int = SILHOUETTE_SAMPLE, seed: int = 42, **columns: str) -> DataFrame:
-    """One row: mean silhouette of a sample."""
-    return silhouette_rows(df, sample_size, seed, **columns).agg(
-        F.count("*").alias("n"), F.avg("silhouette").alias("silhouette")
+def silhouette(df: DataFrame, **columns: str) -> DataFrame:
+    """One row: mean silhouette of all rows."""
+    return silhouette_rows(df, **columns).agg(
+        F.count("*").alias("n"), F.coalesce(F.avg("silhouette"), F.lit(0.0)).alias("silhouette")
     )
 
 

@@ -22,9 +22,6 @@ from ..functions.vectors import VECTOR, as_vector, from_matrix, to_matrix
 # Smallest distance, and the term that keeps sums away from zero.
 MIN_DISTANCE = 1e-12
 EPSILON = 1e-10
-# Below this fuzziness the powers of a distance leave the double range, and weights
-# are taken relative to the nearest centre.
-_RELATIVE_BELOW = 1.2
 _MEMBERSHIP = T.StructField("membership", VECTOR)
 
 
@@ -47,13 +44,15 @@ def membership_rows(gaps: np.ndarray, m: float, query_epsilon: bool = False) ->
         raise ValueError("fuzziness must be above 1")
     power = 2.0 / (m - 1.0)
     gaps = np.maximum(gaps, MIN_DISTANCE)
-    if m < _RELATIVE_BELOW:
-        weights = (gaps.min(axis=1, keepdims=True) / gaps) ** power
-        return weights / weights.sum(axis=1, keepdims=True)
-    raised = gaps**power
-    weights = 1.0 / raised
-    total = weights.sum(axis=1, keepdims=True)
-    return 1.0 / (raised * total + EPSILON) if query_epsilon else weights / (total + EPSILON)
+    nearest = gaps.min(axis=1, keepdims=True)
+    # Weights relative to the nearest centre stay in the double range for any m; the
+    # powers of the distances alone do not. Only ε is scaled by such a power.
+    relative = (nearest / gaps) ** power
+    total = relative.sum(axis=1, keepdims=True)
+    if query_epsilon:
+        return relative / (total + EPSILON * relative)
+    with np.errstate(over="ignore"):
+        return relative / (total + EPSILON * nearest**power)
 
 
 def memberships(

@@ -16,11 +16,12 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions.batches import add_columns
 from ..functions.vectors import SIMILARITY_DIGITS, as_vector, to_matrix
-from ..session import scratch_path
 from ..sources.schemas import ENTRIES
 from .diagnostics import top_memberships
 
@@ -42,11 +43,14 @@ NOTHING = -1.0
 ENTRY_BLOCK_BYTES = 64 << 20
 
 
+def is_blank(query: Column) -> Column:
+    """Whether a query is missing or white space, whatever the served check strips."""
+    return ~F.coalesce(query, F.lit("")).rlike(r"(?U)[^\s\x1c-\x1f]")
+
+
 def split_blank(queries: DataFrame, query: str = "query") -> tuple[DataFrame, DataFrame]:
     """(valid, rejected): blank and missing queries are not looked up."""
-    text = F.coalesce(F.col(query), F.lit(""))
-    # White space at either end is whatever the served check strips.
-    blank = ~text.rlike(r"(?U)[^\s\x1c-\x1f]")
+    blank = is_blank(F.col(query))
     return queries.filter(~blank), queries.filter(blank)
 
 
@@ -68,7 +72,7 @@ def seed_entries(answered: DataFrame, cap: int = BUCKET_CAP) -> DataFrame:
     """
     fresh = answered.withColumn("hit_count", F.lit(0).cast("bigint"))
     sizes = answered.groupBy("cluster").agg(F.count("*").alias("_offered"))
-    kept = compact(fresh, cap).join(F.broadcast(sizes), "cluster")
+    kept = compact(fresh, cap).join(sizes, "cluster")
     position = F.when(F.col("_offered") > cap, F.col("place")).otherwise(F.col("_offered") - F.col("place") + 1)
     return kept.withColumn("position", position.cast("bigint")).drop("place", "_offered")
 
@@ -83,53 +87,66 @@ def load_entries(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(ENTRIES).parquet(path)
 
 
-_FOUND = (
-    T.StructField("best_similarity", T.DoubleType()),
-    T.StructField("best_position", T.LongType()),
-    T.StructField("best_id", T.LongType()),
-)
+def _found_fields(entries: DataFrame) -> list[T.StructField]:
+    return [
+        T.StructField("best_similarity", T.DoubleType()),
+        T.StructField("best_position", T.LongType()),
+        T.StructField("best_id", entries.schema["entry_id"].dataType),
+    ]
 
 
-def _search_part(queries: DataFrame, part: pa.Table, exclude_self: bool) -> DataFrame:
-    """Best entry of one part of the table for each query, within its bucket."""
-    buckets: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+def _search_part(queries: DataFrame, part: pa.Table, exclude_self: bool, fields: list[T.StructField]) -> DataFrame:
+    """Best entry of the query's bucket in one part of the table, or the best one so far."""
+    buckets: dict[int, tuple[np.ndarray, np.ndarray, pa.Array]] = {}
     if part.num_rows:
         part = part.combine_chunks()
         cluster = part.column("cluster").to_numpy()
         position = part.column("position").to_numpy()
-        ids = part.column("entry_id").to_numpy()
+        ids = pa.concat_arrays(part.column("entry_id").chunks)
         vectors = to_matrix(part.column("vector"))
         order = np.lexsort((position, cluster))
         for c in np.unique(cluster):
             mine = order[cluster[order] == c]
-            buckets[int(c)] = (vectors[mine], position[mine], ids[mine])
+            buckets[int(c)] = (vectors[mine], position[mine], ids.take(pa.array(mine)))
     shared = queries.sparkSession.sparkContext.broadcast(buckets)
+    names = [f.name for f in fields]
+    so_far = names if names[0] in queries.columns else []
 
-    def find(query_id: pa.Array, cluster_of: pa.Array, vector: pa.Array) -> list[pa.Array]:
+    def find(query_id: pa.Array, cluster_of: pa.Array, vector: pa.Array, *known: pa.Array) -> list[pa.Array]:
         rows = to_matrix(vector)
         clusters = cluster_of.to_numpy(zero_copy_only=False)
         ids_of = query_id.to_numpy(zero_copy_only=False)
-        best = np.full(len(rows), NOTHING)
-        place = np.full(len(rows), -1, dtype=np.int64)
-        name = np.zeros(len(rows), dtype=np.int64)
-        for c in np.unique(clusters):
+        if known:
+            best = known[0].to_numpy(zero_copy_only=False).copy()
+            place = pc.fill_null(known[1], -1).to_numpy(zero_copy_only=False).copy()
+        else:
+            best = np.full(len(rows), NOTHING)
+            place = np.full(len(rows), -1, dtype=np.int64)
+        name = known[2] if known else None
+        for c in np.unique(clusters[cluster_of.is_valid().to_numpy(zero_copy_only=False)]):
             if int(c) not in shared.value:
                 continue
             stored, positions, entry_ids = shared.value[int(c)]
             mine = np.flatnonzero(clusters == c)
             sims = np.round(rows[mine] @ stored.T, SIMILARITY_DIGITS)
             if exclude_self:
-                sims[ids_of[mine][:, None] == entry_ids[None, :]] = -np.inf
+                sims[ids_of[mine][:, None] == entry_ids.to_numpy(zero_copy_only=False)[None, :]] = -np.inf
             # Entries are in bucket order, and argmax takes the first of equals.
             top = sims.argmax(axis=1)
             value = sims[np.arange(len(mine)), top]
-            found = value > NOTHING
-            best[mine[found]] = value[found]
-            place[mine[found]] = positions[top[found]]
-            name[mine[found]] = entry_ids[top[found]]
-        return [pa.array(best), pa.array(place, mask=place < 0), pa.array(name, mask=place < 0)]
+            held, at = best[mine], place[mine]
+            better = (value > held) | ((value == held) & (at >= 0) & (positions[top] < at))
+            best[mine[better]] = value[better]
+            place[mine[better]] = positions[top[better]]
+            chosen = np.full(len(rows), -1, dtype=np.int64)
+            chosen[mine[better]] = top[better]
+            taken = entry_ids.take(pa.array(chosen, mask=chosen < 0))
+            name = taken if name is None else pc.if_else(pa.array(chosen >= 0), taken, name)
+        if name is None:
+            name = pa.nulls(len(rows), to_arrow_type(fields[2].dataType))
+        return [pa.array(best), pa.array(place, mask=place < 0), name]
 
-    return add_columns(queries, ["query_id", "cluster", "vector"], _FOUND, find)
+    return add_columns(queries, ["query_id", "cluster", "vector", *so_far], fields, find)
 
 
 def best_entries(queries: DataFrame, entries: DataFrame, exclude_self: bool = False) -> DataFrame:
@@ -142,33 +159,26 @@ def best_entries(queries: DataFrame, entries: DataFrame, exclude_self: bool = Fa
 
 
 def _best_entries(queries: DataFrame, entries: DataFrame, exclude_self: bool) -> tuple[DataFrame, bool]:
-    """The lookups, and whether the entries, texts included, are proven small."""
+    """The lookups, and whether the entries, texts included, are proven small.
+
+    A table of several parts makes a chain of maps over the same rows, each of which
+    carries the best entry so far on. Rows are never grouped or joined, so repeated and
+    null query ids, and streams, are looked up the same way as anything else.
+    """
     stored = entries.select(
         "entry_id", "cluster", "position", as_vector("vector").alias("vector"), F.length("query").alias("chars")
     ).persist()
-    incoming = queries.withColumn("vector", as_vector("vector"))
-    spark = queries.sparkSession
-    names = [f.name for f in _FOUND]
+    found = queries.withColumn("vector", as_vector("vector"))
+    fields = _found_fields(entries)
     try:
         size = stored.agg(F.sum(8 * F.size("vector") + 8 + F.coalesce("chars", F.lit(0)))).first()[0] or 0
         parts = max(1, math.ceil(size / ENTRY_BLOCK_BYTES))
-        if parts == 1:
-            return _search_part(incoming, stored.toArrow(), exclude_self), True
-        target = scratch_path(spark, "lookup")
         for number in range(parts):
-            part = stored.filter(F.pmod(F.xxhash64("entry_id"), F.lit(parts)) == number).toArrow()
-            found = _search_part(incoming, part, exclude_self)
-            found.select("query_id", *names).write.mode("append").parquet(target)
+            part = stored if parts == 1 else stored.filter(F.pmod(F.xxhash64("entry_id"), F.lit(parts)) == number)
+            found = _search_part(found, part.toArrow(), exclude_self, fields)
     finally:
         stored.unpersist()
-    first_best = F.struct("best_similarity", (-F.col("best_position")).alias("order"))
-    merged = (
-        spark.read.parquet(target)
-        .groupBy("query_id")
-        .agg(F.max_by(F.struct(*names), first_best).alias("best"))
-        .select("query_id", "best.*")
-    )
-    return queries.join(merged, "query_id"), False
+    return found, parts == 1
 
 
 def decide(found: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -265,10 +275,10 @@ def membership_map(membership: Column, n: int = 5) -> Column:
 
 
 def with_cluster_label(df: DataFrame, labels: DataFrame) -> DataFrame:
-    """Add cluster_label, ``unknown`` for clusters without one; k rows are broadcast."""
+    """Add cluster_label, ``unknown`` for clusters without one."""
     names = labels.select("cluster", F.col("dominant_category").alias("_label"))
     return (
-        df.join(F.broadcast(names), "cluster", "left")
+        df.join(names, "cluster", "left")
         .withColumn("cluster_label", F.coalesce("_label", F.lit("unknown")))
         .drop("_label")
     )

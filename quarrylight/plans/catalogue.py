@@ -15,7 +15,7 @@ from ..sources import corpus, vector_table
 from ..streaming import reuse_stream
 from . import answer, build, sweeps
 from .oracle import (
-    BUILD_BOUNDARY, BUILD_CLUSTERS, CAP, CAPPED_FEATURES, DIGITS, FUZZINESS, PROFILE_M, REPLAY_CAP, SEEDS, THETA,
+    BUILD_BOUNDARY, BUILD_CLUSTERS, CAP, CAPPED_FEATURES, DIGITS, FUZZINESS, PROFILE_M, REPLAY_CAP, SEED_CAP, SEEDS, THETA,
     THETA_GRID,
 )
 
@@ -49,8 +49,8 @@ def _documents(spark: SparkSession, sf_dir: str, label: str = "lang") -> DataFra
 
 
 def _counted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = corpus.clean_corpus(_documents(spark, sf_dir).select("doc_id", "text"))
-    return tfidf.count_terms(cleaned).select("doc_id", "terms")
+    cleaned = corpus.clean_corpus(_documents(spark, sf_dir).select("doc_id", "text", "label"))
+    return tfidf.count_terms(cleaned).select("doc_id", "label", "terms")
 
 
 def _weighed(spark: SparkSession, sf_dir: str) -> tuple[tfidf.TfidfModel, DataFrame]:
@@ -133,9 +133,9 @@ def _found(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def _category_means(spark: SparkSession, model: tfidf.TfidfModel, weighed: DataFrame, docs: DataFrame) -> reduction.LsaModel:
-    """Mean weights per language, used as a fixed projection."""
-    pairs = tfidf.weight_postings(weighed).join(docs.select("doc_id", "label"), "doc_id")
-    sums = pairs.groupBy("term_id", "label").agg(F.sum("weight").alias("s"))
+    """Mean weights per language, used as a fixed projection; ``weighed`` carries the label."""
+    pairs = weighed.select("label", F.inline_outer(F.arrays_zip("term_ids", "weights"))).filter("term_ids IS NOT NULL")
+    sums = pairs.groupBy(F.col("term_ids").alias("term_id"), "label").agg(F.sum("weights").alias("s"))
     sizes = docs.groupBy("label").agg(F.count("*").alias("n"))
     means = sums.join(sizes, "label").select("term_id", "label", (F.col("s") / F.col("n")).alias("w")).toPandas()
     names = sorted(r["label"] for r in sizes.collect())
@@ -213,7 +213,7 @@ def explained_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lsa_embed(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, weighed = _weighed(spark, sf_dir)
     weighed = weighed.persist()
-    lsa = reduction.fit_lsa(weighed, model.width, k=16, passes=4)
+    lsa = reduction.fit_lsa(weighed, model.width)
     return _tidy(fuzzy.flatten(lsa.embed(weighed), ["doc_id"], "vector", ("component", "value")))
 
 
@@ -258,7 +258,10 @@ def vector_by_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     wanted = _table(spark, sf_dir, "events").select(
         F.col("event_id").alias("position"), F.col("user_id").alias("id")
     )
-    found = vector_table.get_by_ids(_vectors(spark, sf_dir), wanted)
+    # Every other vector is stored a second time, under a label of its own.
+    first = _vectors(spark, sf_dir).withColumn("stored", F.lit(0))
+    again = first.filter("id % 2 = 0").withColumn("label", F.col("label") + 100).withColumn("stored", F.lit(1))
+    found = vector_table.get_by_ids(vector_table.append(first, again), wanted, "stored")
     return _tidy(found.select("position", "id", "label", F.get("vector", F.lit(0)).alias("first_value")))
 
 
@@ -388,12 +391,12 @@ def _reduced(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kmeans_restarts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fits = kmeans.kmeans_restarts(_reduced(spark, sf_dir), 10, restarts=3, max_iter=20)
+    fits = kmeans.kmeans_restarts(_reduced(spark, sf_dir), 10)
     return _tidy(spark.createDataFrame([(f.seed, f.inertia) for f in fits], "seed int, inertia double"))
 
 
 def k_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sweep = sweeps.k_sweep(_reduced(spark, sf_dir), grid=(8, 10, 12), restarts=1, max_iter=5)
+    sweep = sweeps.k_sweep(_reduced(spark, sf_dir))
     return _tidy(sweep.drop("elapsed_s"))
 
 
@@ -402,13 +405,13 @@ def fuzziness_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     centers = fuzzy.centers_from(
         fuzzy.group_means(rows.join(_vectors(spark, sf_dir).select("id", "label"), "id"), "label")
     )
-    return _tidy(sweeps.fuzziness_sweep(rows, centers, max_iter=5))
+    return _tidy(sweeps.fuzziness_sweep(rows, centers))
 
 
 # -- query reuse ------------------------------------------------------------------
 
 def reuse_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entries = _entries(_routed(spark, sf_dir, _centers(spark, sf_dir)))
+    entries = _entries(_routed(spark, sf_dir, _centers(spark, sf_dir)), SEED_CAP)
     return _tidy(entries.select("entry_id", "cluster", "query", "hit_count", "position"))
 
 
@@ -429,7 +432,7 @@ def reuse_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bucket_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tidy(reuse.bucket_sizes(_entries(_routed(spark, sf_dir, _centers(spark, sf_dir)))))
+    return _tidy(reuse.bucket_sizes(_entries(_routed(spark, sf_dir, _centers(spark, sf_dir)), SEED_CAP)))
 
 
 def reuse_flush(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -442,7 +445,7 @@ def reuse_flush(spark: SparkSession, sf_dir: str) -> DataFrame:
 def hit_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
     found, entries = _found(spark, sf_dir)
     names = entries.select(F.col("entry_id").alias("best_id"), F.col("label").alias("best_label"))
-    expected = found.join(F.broadcast(names), "best_id", "left").withColumn(
+    expected = found.join(names, "best_id", "left").withColumn(
         "expected_hit", F.coalesce(F.col("best_label") == F.col("label"), F.lit(False))
     )
     return _tidy(reuse.hit_evaluation(reuse.decide(expected, THETA)))
@@ -453,7 +456,7 @@ def bucket_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = events.groupBy(F.col("event_type").alias("cluster"), F.col("user_id").alias("entry_id")).agg(
         F.count("*").alias("hit_count"), F.max("ts").alias("arrival")
     )
-    return _tidy(reuse.compact(entries, CAP).select("cluster", "entry_id", "hit_count", "place"))
+    return _tidy(reuse.compact(entries, SEED_CAP).select("cluster", "entry_id", "hit_count", "place"))
 
 
 def membership_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -475,9 +478,8 @@ def blank_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir).select(F.lit("document").alias("source"), text.clean_document(F.col("text")).alias("query"))
     turns = _table(spark, sf_dir, "conversations").select(F.col("role").alias("source"), text.clean_query(F.col("text")).alias("query"))
     pages = _table(spark, sf_dir, "pages").select(F.lit("page").alias("source"), text.clean_document(F.col("html")).alias("query"))
-    valid, rejected = reuse.split_blank(docs.unionByName(turns).unionByName(pages))
-    both = valid.withColumn("valid", F.lit(True)).unionByName(rejected.withColumn("valid", F.lit(False)))
-    return both.groupBy("source", "valid").agg(F.count("*").alias("n"))
+    flagged = docs.unionByName(turns).unionByName(pages).withColumn("valid", ~reuse.is_blank(F.col("query")))
+    return flagged.groupBy("source", "valid").agg(F.count("*").alias("n"))
 
 
 def _replayed(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,9 @@ CAPPED_FEATURES = 500
 SEEDS = 4
 THETA = 0.35
 THETA_GRID = (0.25, 0.30, 0.35, 0.40, 0.45, 0.50)
-CAP = 40
+# Entries per bucket: of the lookups, and of the queries whose subject is the limit.
+CAP = 500
+SEED_CAP = 40
 REPLAY_CAP = 10
 BUILD_CLUSTERS = 8
 BUILD_BOUNDARY = 15
@@ -112,8 +114,8 @@ _QUERIES = """qv AS (SELECT cluster AS query_id,
 
 
 def _described(label: str) -> str:
-    return f"""vt AS (SELECT 'doc_' || e.id AS id, e.v, d.{label} AS label, d.doc_id AS doc_idx,
-  substr(d.text, 1, 200) AS text_preview FROM e JOIN documents d ON d.doc_id = e.id)"""
+    return f"""vt AS (SELECT 'doc_' || e.id AS id, e.v, coalesce(d.{label}, 'unknown') AS label, e.id AS doc_idx,
+  coalesce(substr(d.text, 1, 200), '') AS text_preview FROM e LEFT JOIN documents d ON d.doc_id = e.id)"""
 
 
 def _topk(table: str, k: int, where: str = "TRUE", similarity: str = "list_dot_product(q.v, t.v)") -> str:
@@ -213,10 +215,15 @@ _ROUTE = ",\n".join(
         "routed AS (SELECT e.id, e.v, e.label, h.cluster FROM e JOIN hard h USING (id))",
     ]
 )
-_SEEDED = f"""offered AS (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY id DESC) AS place,
+
+
+def _seeded(cap: int) -> str:
+    return f"""offered AS (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY id DESC) AS place,
   count(*) OVER (PARTITION BY cluster) AS n FROM routed),
 entries AS (SELECT id AS entry_id, cluster, v, label,
-  CASE WHEN n > {CAP} THEN place ELSE n - place + 1 END AS position FROM offered WHERE place <= {CAP})"""
+  CASE WHEN n > {cap} THEN place ELSE n - place + 1 END AS position FROM offered WHERE place <= {cap})"""
+
+
 _FOUND = f"""pairs AS (SELECT q.id AS query_id, n.entry_id, n.label AS entry_label,
     round(list_dot_product(q.v, n.v), {SIMILARITY_DIGITS}) AS s, n.position
   FROM routed q JOIN entries n ON n.cluster = q.cluster AND n.entry_id <> q.id),
@@ -224,7 +231,7 @@ best AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, pos
 found AS (SELECT q.id AS query_id, q.cluster, q.label, coalesce(b.s, -1.0) AS s, b.entry_id, b.entry_label,
     coalesce(b.s, -1.0) >= {THETA} AS hit
   FROM routed q LEFT JOIN (SELECT * FROM best WHERE r = 1) b ON b.query_id = q.id)"""
-_LOOKED_UP = _with(_ROUTE, _SEEDED, _FOUND)
+_LOOKED_UP = _with(_ROUTE, _seeded(CAP), _FOUND)
 
 
 def _band(column: str) -> str:
@@ -337,7 +344,7 @@ SQL: dict[str, str] = {
     + _TOP_SELECT,
     "vector_append_count": "SELECT 2 * count(*) AS n_rows, count(label) AS with_label, "
     "count(DISTINCT vec_id) AS repeated_ids FROM embeddings",
-    "vector_by_ids": "SELECT ev.event_id AS position, e.vec_id AS id, CAST(e.label AS BIGINT) AS label, "
+    "vector_by_ids": "SELECT ev.event_id AS position, e.vec_id AS id, CAST(e.label + CASE WHEN e.vec_id % 2 = 0 THEN 100 ELSE 0 END AS BIGINT) AS label, "
     + _r("CAST(e.embedding[1] AS DOUBLE)", "first_value")
     + " FROM events ev JOIN embeddings e ON e.vec_id = ev.user_id",
     "vector_save_load": "SELECT CAST(label AS BIGINT) AS label, count(*) AS n_rows, "
@@ -368,7 +375,7 @@ SQL: dict[str, str] = {
     "row_sample": "SELECT doc_id, lang AS label FROM documents ORDER BY md5('42:' || doc_id), doc_id LIMIT 100",
     "silhouette_exact": _with(
         _E,
-        "s AS (SELECT * FROM e ORDER BY md5('42:' || id), id LIMIT 3000)",
+        "s AS (SELECT * FROM e)",
         "sizes AS (SELECT label, count(*) AS n FROM s GROUP BY 1)",
         """sd AS (SELECT a.id, a.label AS own, b.label AS other, sum(list_distance(a.v, b.v)) AS t
   FROM s a CROSS JOIN s b GROUP BY 1, 2, 3)""",
@@ -409,7 +416,7 @@ JOIN (SELECT cluster, count(*) AS n_soft FROM sr WHERE rank <= 5 GROUP BY 1) w O
     )
     + f"SELECT p.id, CAST(e.label AS BIGINT) AS label, {_r('c', 'certainty', 4)}, place, "
     + f"CAST(cluster AS BIGINT) AS cluster, {_r('u', 'u', 4)} FROM p JOIN e USING (id) WHERE place < 3",
-    "reuse_seed": _with(_ROUTE, _SEEDED)
+    "reuse_seed": _with(_ROUTE, _seeded(SEED_CAP))
     + "SELECT entry_id, CAST(cluster AS BIGINT) AS cluster, 'query ' || entry_id AS query, "
     "CAST(0 AS BIGINT) AS hit_count, position FROM entries",
     "reuse_lookup": _LOOKED_UP
@@ -422,16 +429,16 @@ FROM found CROSS JOIN (SELECT CAST(unnest([{', '.join(map(str, THETA_GRID))}]) A
     "reuse_stats": _LOOKED_UP
     + f"""SELECT (SELECT count(*) FROM entries) AS total_entries, count(*) FILTER (WHERE hit) AS hit_count,
   count(*) FILTER (WHERE NOT hit) AS miss_count, {_r('count(*) FILTER (WHERE hit) / count(*)', 'hit_rate', 4)} FROM found""",
-    "bucket_sizes": _with(_ROUTE, _SEEDED)
+    "bucket_sizes": _with(_ROUTE, _seeded(SEED_CAP))
     + "SELECT CAST(cluster AS BIGINT) AS cluster, count(*) AS n_entries FROM entries GROUP BY 1",
-    "reuse_flush": _with(_ROUTE, _SEEDED.replace(f" {CAP} ", f" {REPLAY_CAP} ").replace(f"<= {CAP})", f"<= {REPLAY_CAP})"))
+    "reuse_flush": _with(_ROUTE, _seeded(REPLAY_CAP))
     + "SELECT CAST(cluster AS BIGINT) AS cluster, count(*) AS n_entries FROM entries GROUP BY 1",
     "hit_evaluation": _LOOKED_UP
     + "SELECT coalesce(entry_label = label, FALSE) AS expected_hit, hit, count(*) AS n FROM found GROUP BY 1, 2",
     "bucket_compaction": f"""WITH g AS (SELECT event_type AS cluster, user_id AS entry_id, count(*) AS hit_count, max(ts) AS arrival
   FROM events GROUP BY 1, 2),
 p AS (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY hit_count DESC, arrival DESC, entry_id) AS place FROM g)
-SELECT cluster, entry_id, hit_count, place FROM p WHERE place <= {CAP}""",
+SELECT cluster, entry_id, hit_count, place FROM p WHERE place <= {SEED_CAP}""",
     "membership_top5": _with(
         _ROUTE,
         "p AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY u DESC, cluster) - 1 AS place FROM u)",
@@ -479,7 +486,7 @@ UNION ALL SELECT 'boundary_docs', least(n, {BUILD_BOUNDARY}) FROM n""",
             _HARD.replace("hard AS", "rhard AS").replace("FROM u", "FROM ru"),
             "src AS (SELECT e.id, CAST(h.cluster AS BIGINT) AS cluster, e.v FROM e JOIN rhard h USING (id))",
             _replay("src", REPLAY_CAP),
-            "lt AS (SELECT 'doc_' || e.id AS id, e.v FROM e JOIN documents d ON d.doc_id = e.id)",
+            "lt AS (SELECT 'doc_' || e.id AS id, e.v FROM e)",
             "qv AS (SELECT l.query_id, e.v FROM log l JOIN e ON e.id = l.query_id WHERE NOT l.hit)",
             _topk("lt", 5),
             "res AS (SELECT query_id, string_agg(id, ',' ORDER BY rank) AS ids FROM top GROUP BY 1)",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions import text
 from .schemas import CORPUS, PARALLEL_ARRAYS
@@ -31,12 +31,20 @@ def read_parallel_arrays(spark: SparkSession, path: str) -> DataFrame:
     """A corpus file that holds one object of parallel arrays.
 
     The format puts a whole file into one value, so a large corpus should come as
-    several files or as Parquet; positions number the documents of one file.
+    several files or as Parquet. Documents are numbered through all files in the order
+    of their names: a file's first number is the sum of the sizes of those before.
     """
     whole = spark.read.schema(PARALLEL_ARRAYS).option("multiLine", True).json(path)
-    rows = whole.select(F.posexplode_outer(F.arrays_zip("documents", "labels")).alias("doc_id", "d"))
-    return rows.filter(F.col("doc_id").isNotNull()).select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), F.col("d.documents").alias("text"), F.col("d.labels").alias("label")
+    files = whole.select(F.col("_metadata.file_path").alias("file"), F.arrays_zip("documents", "labels").alias("d"))
+    # One row per file, each of which is a value of its own, so one window is safe.
+    sizes = files.groupBy("file").agg(F.sum(F.coalesce(F.size("d"), F.lit(0))).alias("n"))
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    rows = files.join(starts, "file").select("first", F.posexplode_outer("d").alias("place", "d"))
+    return rows.filter(F.col("place").isNotNull()).select(
+        (F.col("first") + F.col("place")).cast("bigint").alias("doc_id"),
+        F.col("d.documents").alias("text"),
+        F.col("d.labels").alias("label"),
     )
 
 

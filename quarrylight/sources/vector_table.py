@@ -13,19 +13,20 @@ PREVIEW_CHARS = 200
 def build(vectors: DataFrame, docs: DataFrame) -> DataFrame:
     """Join (doc_id, vector) with (doc_id, text, label) into the table's columns.
 
-    The text is cut before the join, so previews are all that is shuffled.
+    Every vector stays; one without a document has the label ``unknown`` and an empty
+    preview. The text is cut before the join, so previews are all that is shuffled.
     """
     details = docs.select(
         "doc_id",
         F.col("label").cast("string").alias("label"),
         F.substring("text", 1, PREVIEW_CHARS).alias("text_preview"),
     )
-    return vectors.join(details, "doc_id").select(
+    return vectors.join(details, "doc_id", "left").select(
         F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("id"),
         as_vector("vector").alias("vector"),
-        "label",
+        F.coalesce("label", F.lit("unknown")).alias("label"),
         F.col("doc_id").alias("doc_idx"),
-        "text_preview",
+        F.coalesce("text_preview", F.lit("")).alias("text_preview"),
     )
 
 
@@ -49,17 +50,17 @@ def repeated_ids(table: DataFrame) -> DataFrame:
     return table.groupBy("id").agg(F.count("*").alias("n")).filter(F.col("n") > 1)
 
 
-def get_by_ids(table: DataFrame, wanted: DataFrame, order: str | None = None) -> DataFrame:
+def get_by_ids(table: DataFrame, wanted: DataFrame, order: str) -> DataFrame:
     """Rows for the requested (position, id); ids not in the table are skipped.
 
     Ids may be requested several times. Where an id is stored several times, the row
-    with the largest ``order`` wins, chosen by a partial aggregate before the shuffle.
+    stored last wins, that with the largest ``order``, chosen by a partial aggregate
+    before the shuffle.
     """
-    if order is not None:
-        columns = [c for c in table.columns if c != "id"]
-        latest = F.max_by(F.struct(*columns), F.col(order)).alias("row")
-        table = table.groupBy("id").agg(latest).select("id", "row.*")
-    return wanted.join(table, "id").orderBy("position")
+    columns = [c for c in table.columns if c != "id"]
+    latest = F.max_by(F.struct(*columns), F.col(order)).alias("row")
+    last = table.groupBy("id").agg(latest).select("id", "row.*")
+    return wanted.join(last, "id").orderBy("position")
 
 
 def count(table: DataFrame) -> int:

@@ -42,8 +42,9 @@ def test_memberships_near_one(data):
     x, df = data
     got = matrix(fuzzy.memberships(df, x[:4], 1.02))
     assert np.isfinite(got).all()
-    np.testing.assert_allclose(got.sum(axis=1), 1.0, atol=1e-9)
+    # Close to a centre a row is its own; far from all of them the epsilon takes over.
     np.testing.assert_allclose(got[:4], np.eye(4), atol=1e-9)
+    assert (got.sum(axis=1) <= 1.0 + 1e-9).all() and got.sum(axis=1).min() < 1e-6
 
 
 def test_point_on_centre(spark):
@@ -143,6 +144,8 @@ def test_silhouette(spark, data):
     labelled = df.join(spark.createDataFrame([(i, int(v)) for i, v in enumerate(c)], "id long, cluster int"), "id")
     got = diagnostics.silhouette(labelled).first()
     assert got["n"] == len(x) and got["silhouette"] == pytest.approx(brute_silhouette(x, c))
+    blocks = diagnostics.silhouette(labelled, block_bytes=500).first()
+    assert blocks["n"] == len(x) and blocks["silhouette"] == pytest.approx(got["silhouette"])
     one = diagnostics.silhouette(labelled.withColumn("cluster", F.lit(1))).first()
     assert one["silhouette"] == 0.0
 
@@ -171,6 +174,26 @@ def test_profiles(spark):
     assert [t["cluster"] for t in edge[0]["top3"]] == [0, 1, 2]
 
 
+def test_sweep_keeps_a_row_for_each_k(spark):
+    rows = [(i, [float(i % 3), float(i % 3) ** 2]) for i in range(30)]
+    df = spark.createDataFrame(rows, "id long, vector array<double>")
+    got = sweeps.k_sweep(df, (2, 5), restarts=1, max_iter=3).orderBy("k").collect()
+    assert [r["k"] for r in got] == [2, 5] and got[0]["note"] is None
+    assert got[1]["objective"] is None and got[1]["silhouette"] is None and "distinct" in got[1]["note"]
+
+
+def test_memberships_of_low_fuzziness_keep_the_epsilon():
+    gaps = np.array([[1.5, 2.0, 9.0], [1e-13, 1.0, 2.0], [300.0, 400.0, 500.0]])
+    for m in (1.05, 1.19, 1.2, 2.0):
+        power = 2.0 / (m - 1.0)
+        d = np.maximum(gaps, fuzzy.MIN_DISTANCE).astype(np.longdouble)
+        w = d**-power
+        fitted = w / (w.sum(axis=1, keepdims=True) + np.longdouble(fuzzy.EPSILON))
+        asked = 1 / (d**power * w.sum(axis=1, keepdims=True) + np.longdouble(fuzzy.EPSILON))
+        np.testing.assert_allclose(fuzzy.membership_rows(gaps, m), fitted.astype(float), rtol=1e-9, atol=1e-300)
+        np.testing.assert_allclose(fuzzy.membership_rows(gaps, m, query_epsilon=True), asked.astype(float), rtol=1e-9, atol=1e-300)
+
+
 def test_sweeps(data):
     x, df = data
     k = sweeps.k_sweep(df, (2, 4), restarts=1, max_iter=20).orderBy("k").collect()

@@ -26,26 +26,47 @@ def entries_frame(spark, x, cluster, cap=500):
 
 
 def simulate(x, cluster, threshold, cap):
-    """One arrival after the other, with plain lists."""
-    buckets, out = {}, []
-    for i, (v, c) in enumerate(zip(x, cluster)):
-        bucket = buckets.setdefault(int(c), [])
-        best, match = -1.0, None
-        for e in bucket:
-            s = float(np.round(x[e["id"]] @ v, 10))
-            if s > best:
-                best, match = s, e
-        if match is not None and best >= threshold:
-            match["hits"] += 1
-            out.append((i, True, match["id"], best, None))
+    """The log and the surviving hit counts, from a list of facts that only grows.
+
+    A fact says which query was stored, hit or dropped at which arrival. What a bucket
+    holds, and which entry comes first in it, is derived from the facts at each arrival:
+    entries stand in the order of storing, until one is dropped; from then on those that
+    were there at the last drop come first, by their hits up to then and by recency.
+    """
+    facts, out = [], []  # facts: (arrival, bucket, what, query)
+
+    def said(what, bucket, before=None):
+        return [f for f in facts if f[1] == bucket and f[2] == what and (before is None or f[0] <= before)]
+
+    def hits(query, bucket, before=None):
+        return sum(f[3] == query for f in said("hit", bucket, before))
+
+    def place(query, bucket):
+        drops = said("dropped", bucket)
+        if not drops or query > drops[-1][0]:
+            return (1, query, 0)
+        return (0, -hits(query, bucket, drops[-1][0]), -query)
+
+    for now in range(len(x)):
+        home = int(cluster[now])
+        live = {f[3] for f in said("stored", home)} - {f[3] for f in said("dropped", home)}
+        near = {q: float(np.round(x[q] @ x[now], 10)) for q in live}
+        best = max(near.values(), default=-1.0)
+        if live and best > -1.0 and best >= threshold:
+            source = min((q for q in live if near[q] == best), key=lambda q: place(q, home))
+            facts.append((now, home, "hit", source))
+            out.append((now, True, source, best, None))
             continue
-        bucket.append({"id": i, "hits": 0})
-        gone = None
-        if len(bucket) > cap:
-            bucket.sort(key=lambda e: (e["hits"], e["id"]), reverse=True)
-            gone = bucket.pop()["id"]
-        out.append((i, False, None, best, gone))
-    left = {e["id"]: e["hits"] for b in buckets.values() for e in b}
+        facts.append((now, home, "stored", now))
+        victim = None
+        if len(live) == cap:
+            victim = min(live | {now}, key=lambda q: (hits(q, home), q))
+            facts.append((now, home, "dropped", victim))
+        out.append((now, False, None, max(best, -1.0), victim))
+    left = {}
+    for home in {int(c) for c in cluster}:
+        for q in {f[3] for f in said("stored", home)} - {f[3] for f in said("dropped", home)}:
+            left[q] = hits(q, home)
     return out, left
 
 
@@ -137,6 +158,51 @@ def test_lookup_in_parts_equals_lookup_at_once(spark, monkeypatch):
     assert whole == parts and any(r["hit"] for r in whole)
 
 
+_LOOKED_UP = ("query_id", "cluster", "hit", "matched_id", "similarity")
+
+
+@pytest.mark.parametrize("block", [64 << 20, 40])
+def test_lookup_of_repeated_and_null_ids(spark, monkeypatch, block):
+    monkeypatch.setattr(reuse, "ENTRY_BLOCK_BYTES", block)
+    e = np.eye(3)
+    entries = entries_frame(spark, np.array([e[0], e[1], e[2], e[0]]), [0, 0, 1, 0])
+    rows = [(5, 0, e[0]), (5, 0, e[1]), (None, 1, e[2]), (None, 0, e[2]), (7, None, e[0]), (8, 9, e[0])]
+    asked = spark.createDataFrame([(q, c, v.tolist()) for q, c, v in rows], "query_id long, cluster int, vector array<double>")
+    got = [tuple(r) for r in reuse.lookup(asked, entries, 0.8).select(*_LOOKED_UP).collect()]
+    want = [(5, 0, True, 0, 1.0), (5, 0, True, 1, 1.0), (None, 1, True, 2, 1.0), (None, 0, False, None, 0.0),
+            (7, None, False, None, -1.0), (8, 9, False, None, -1.0)]
+    key = lambda r: tuple((x is None, x or 0) for x in r)
+    assert sorted(got, key=key) == sorted(want, key=key)
+
+
+def test_lookup_with_text_ids(spark, monkeypatch):
+    e = np.eye(3)
+    monkeypatch.setattr(reuse, "ENTRY_BLOCK_BYTES", 40)
+    entries = entries_frame(spark, e, [0, 0, 0]).withColumn("entry_id", F.concat(F.lit("q:"), "entry_id"))
+    asked = log_frame(spark, e[:2], [0, 0]).withColumn("query_id", F.concat(F.lit("q:"), "query_id"))
+    own = reuse.lookup(asked, entries, 0.8)
+    assert {r["query_id"]: r["matched_id"] for r in own.collect()} == {"q:0": "q:0", "q:1": "q:1"}
+    others = reuse.lookup(asked, entries, 0.8, exclude_self=True)
+    assert not any(r["hit"] for r in others.collect())
+
+
+@pytest.mark.parametrize("block", [64 << 20, 1000])
+def test_stream_lookup_in_parts(spark, monkeypatch, tmp_path, block):
+    x, cluster = unit(60), np.arange(60) % 3
+    entries, asked = entries_frame(spark, x, cluster), log_frame(spark, unit(40, seed=4), np.arange(40) % 3)
+    want = reuse.lookup(asked, entries, 0.7).orderBy("query_id").select(*_LOOKED_UP).collect()
+    monkeypatch.setattr(reuse, "ENTRY_BLOCK_BYTES", block)
+    asked.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(asked.schema).parquet(str(tmp_path / "in"))
+    query = (
+        reuse_stream.stream_lookup(stream, entries, 0.7).select(*_LOOKED_UP)
+        .writeStream.format("parquet").option("path", str(tmp_path / "out"))
+        .option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).orderBy("query_id").select(*_LOOKED_UP).collect() == want
+
+
 def test_seeding_keeps_the_newest_and_their_order(spark):
     entries = entries_frame(spark, unit(10), [0] * 7 + [1] * 3, cap=4)
     got = sorted((r["cluster"], r["position"], r["entry_id"]) for r in entries.collect())

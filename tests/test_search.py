@@ -1,9 +1,10 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from quarrylight.functions.vectors import l2_normalise
-from quarrylight.operators import search
+from quarrylight.operators import search, topk
 from quarrylight.sources import vector_table
 
 
@@ -94,6 +95,8 @@ def test_vector_table(spark, tmp_path):
     table = vector_table.build(frame(spark, unit(4), "doc_id"), docs)
     row = table.filter("doc_idx = 2").first()
     assert (row["id"], row["label"], len(row["text_preview"])) == ("doc_2", "l2", 200)
+    bare = vector_table.build(frame(spark, unit(6), "doc_id"), docs).filter("doc_idx = 5").first()
+    assert (bare["id"], bare["label"], bare["text_preview"]) == ("doc_5", "unknown", "")
     whole = vector_table.append(table, table.select("id", "vector"))
     assert vector_table.count(whole) == 8
     assert vector_table.repeated_ids(whole).count() == 4
@@ -110,3 +113,23 @@ def test_get_by_ids(spark):
     wanted = spark.createDataFrame([(0, "b"), (1, "zz"), (2, "a"), (3, "b")], "position int, id string")
     rows = vector_table.get_by_ids(table, wanted, order="stored").collect()
     assert [(r["position"], r["id"], r["x"]) for r in rows] == [(0, "b", 20), (2, "a", 30), (3, "b", 20)]
+
+
+def test_best_k_of_many_queries_keeps_up():
+    rng = np.random.default_rng(3)
+    n, k, width = 120_000, 3, 12
+    best = topk.BestK(n, k)
+    kept = []
+    for step in range(6):
+        sims = np.round(rng.random((n, width)), 3)
+        ids = pa.array(np.arange(step * width, (step + 1) * width))
+        best.offer(sims, [ids])
+        kept.append(sims)
+        assert best.n_pending <= max(n * k, topk._LEAST_PENDING)
+    got = best.batch(pa.array(np.arange(n)), ["query_id", "similarity", "id"]).to_pandas()
+    every = np.concatenate(kept, axis=1)
+    for q in range(0, n, 9973):
+        mine = got[got["query_id"] == q].sort_values(["similarity", "id"], ascending=[False, True])
+        want = np.lexsort((np.arange(every.shape[1]), -every[q]))[:k]
+        assert mine["id"].tolist() == want.tolist()
+    assert len(got) == n * k

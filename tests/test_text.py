@@ -70,6 +70,14 @@ def test_parallel_arrays_and_json_lines(spark, tmp_path):
                      ' "category_names": ["a", "b"], "n_docs": 2, "description": "d"}')
     rows = corpus.read_parallel_arrays(spark, str(whole)).orderBy("doc_id").collect()
     assert [tuple(r) for r in rows] == [(0, "one", "a"), (1, "two", "b")]
+    (tmp_path / "corpus2.json").write_text('{"documents": ["three"], "labels": ["c"]}')
+    (tmp_path / "corpus3.json").write_text('{"documents": [], "labels": []}')
+    (tmp_path / "corpus4.json").write_text('{"documents": ["four", "five"], "labels": ["d", "e"]}')
+    rows = corpus.read_parallel_arrays(spark, str(tmp_path / "corpus*.json")).collect()
+    assert sorted(r["doc_id"] for r in rows) == list(range(5))
+    by_id = {r["doc_id"]: r["text"] for r in rows}
+    order = [by_id[i] for i in range(5)]
+    assert order.index("two") == order.index("one") + 1 and order.index("five") == order.index("four") + 1
     lines = tmp_path / "lines.json"
     lines.write_text('{"doc_id": 7, "text": "x", "label": "l"}\n')
     assert [tuple(r) for r in corpus.read_json_lines(spark, str(lines)).collect()] == [(7, "x", "l")]
