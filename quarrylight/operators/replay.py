@@ -103,16 +103,21 @@ class Bucket:
         return out
 
 
-LOG = T.StructType(
-    [
-        T.StructField("query_id", T.LongType()),
-        T.StructField("cluster", T.IntegerType()),
-        T.StructField("hit", T.BooleanType()),
-        T.StructField("source_id", T.LongType()),
-        T.StructField("similarity", T.DoubleType()),
-        T.StructField("evicted_id", T.LongType()),
-    ]
-)
+def log_schema(id_type: T.DataType) -> T.StructType:
+    """Columns of a replay log for ids of a type."""
+    return T.StructType(
+        [
+            T.StructField("query_id", id_type),
+            T.StructField("cluster", T.IntegerType()),
+            T.StructField("hit", T.BooleanType()),
+            T.StructField("source_id", id_type),
+            T.StructField("similarity", T.DoubleType()),
+            T.StructField("evicted_id", id_type),
+        ]
+    )
+
+
+LOG = log_schema(T.LongType())
 
 
 def replay(
@@ -123,15 +128,15 @@ def replay(
 ) -> DataFrame:
     """Replay (query_id, arrival, cluster, vector) in (arrival, query_id) order.
 
-    Returns query_id, cluster, hit, source_id (the stored query whose answer is
+    Ids and arrivals may be of any type that sorts. Returns query_id, cluster, hit, source_id (the stored query whose answer is
     reused), similarity (best one even on a miss) and evicted_id.
     """
     spark = queries.sparkSession
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = (
         queries.select(
-            F.col("query_id").cast("bigint").alias("query_id"),
-            F.col("arrival").cast("bigint").alias("arrival"),
+            "query_id",
+            "arrival",
             F.col("cluster").cast("int").alias("cluster"),
             as_vector("vector").alias("vector"),
         )
@@ -140,12 +145,21 @@ def replay(
         .select("query_id", "cluster", "vector")
     )
 
+    log_type = log_schema(queries.schema["query_id"].dataType)
+    names = log_type.fieldNames()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, bucket = None, Bucket()
+        # Buckets know entries by the place of their row in the task; ``known`` has the
+        # ids of the entries that are left, and of one batch.
+        current, bucket, seen = None, Bucket(), 0
+        known: dict[int, object] = {}
         for batch in batches:
             if not batch.num_rows:
                 continue
-            ids, clusters = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+            clusters = batch.column(1).to_numpy(zero_copy_only=False)
+            ids = np.arange(seen, seen + batch.num_rows)
+            seen += batch.num_rows
+            known.update(zip(ids.tolist(), batch.column(0).to_pylist()))
             rows = to_matrix(batch.column(2))
             bounds = np.concatenate([[0], np.flatnonzero(np.diff(clusters)) + 1, [len(clusters)]])
             log: list[tuple] = []
@@ -154,19 +168,22 @@ def replay(
                     current, bucket = clusters[begin], Bucket()
                 log.extend(bucket.replay(ids[begin:end], rows[begin:end], threshold, cap))
             hit, source, best, evicted = zip(*log)
+            kind = batch.column(0).type
+            source, evicted = ([None if x is None else known[x] for x in xs] for xs in (source, evicted))
+            known = {x: known[x] for x in bucket.ids.tolist()}
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     batch.column(1),
                     pa.array(hit, pa.bool_()),
-                    pa.array(source, pa.int64()),
+                    pa.array(source, kind),
                     pa.array(best, pa.float64()),
-                    pa.array(evicted, pa.int64()),
+                    pa.array(evicted, kind),
                 ],
-                names=LOG.fieldNames(),
+                names=names,
             )
 
-    return map_batches(ordered, run, LOG)
+    return map_batches(ordered, run, log_type)
 
 
 def surviving_entries(log: DataFrame) -> DataFrame:

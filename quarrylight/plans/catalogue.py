@@ -15,8 +15,8 @@ from ..sources import corpus, vector_table
 from ..streaming import reuse_stream
 from . import answer, build, sweeps
 from .oracle import (
-    BUILD_BOUNDARY, BUILD_CLUSTERS, CAP, CAPPED_FEATURES, DIGITS, FUZZINESS, PROFILE_M, REPLAY_CAP, SEED_CAP, SEEDS, THETA,
-    THETA_GRID,
+    BUILD_BOUNDARY, BUILD_CLUSTERS, CAP, CAPPED_FEATURES, DIGITS, FUZZINESS, PROFILE_M, REPLAY_CAP, SEED_CAP, SEEDS, SWEEP_STEPS,
+    THETA, THETA_GRID, TURN_THETA,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,14 +48,14 @@ def _documents(spark: SparkSession, sf_dir: str, label: str = "lang") -> DataFra
     return corpus.spread(docs)
 
 
-def _counted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = corpus.clean_corpus(_documents(spark, sf_dir).select("doc_id", "text", "label"))
+def _counted(spark: SparkSession, sf_dir: str, label: str = "lang") -> DataFrame:
+    cleaned = corpus.clean_corpus(_documents(spark, sf_dir, label).select("doc_id", "text", "label"))
     return tfidf.count_terms(cleaned).select("doc_id", "label", "terms")
 
 
-def _weighed(spark: SparkSession, sf_dir: str) -> tuple[tfidf.TfidfModel, DataFrame]:
+def _weighed(spark: SparkSession, sf_dir: str, label: str = "lang") -> tuple[tfidf.TfidfModel, DataFrame]:
     """The model and the sparse rows; counts are kept for the two uses."""
-    counted = _counted(spark, sf_dir).persist()
+    counted = _counted(spark, sf_dir, label).persist()
     model = tfidf.TfidfModel.fit(counted)
     return model, model.weigh(counted)
 
@@ -385,6 +385,15 @@ def pca_reduce(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tidy(fuzzy.flatten(reduced, ["id"], "reduced", ("axis", "value")))
 
 
+def pca_norms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Squared length of each row on all principal axes: that of the centred vector."""
+    rows = _vectors(spark, sf_dir)
+    width = len(rows.first()["vector"])
+    reduced = reduction.fit_pca(rows, width).project(rows)
+    squared = F.aggregate("reduced", F.lit(0.0), lambda a, x: a + x * x)
+    return _tidy(reduced.select("id", squared.alias("squared_length")))
+
+
 def _reduced(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _vectors(spark, sf_dir)
     return reduction.fit_pca(rows, 10).project(rows).select("id", F.col("reduced").alias("vector")).persist()
@@ -408,6 +417,11 @@ def fuzziness_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tidy(sweeps.fuzziness_sweep(rows, centers))
 
 
+def fuzziness_sweep_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sweep after a fixed number of steps from the label means."""
+    return _tidy(sweeps.fuzziness_sweep(_vectors(spark, sf_dir), _centers(spark, sf_dir), max_iter=SWEEP_STEPS, tol=0.0))
+
+
 # -- query reuse ------------------------------------------------------------------
 
 def reuse_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -518,6 +532,39 @@ def answer_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def answer_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From text to answers: user turns against documents, with fixed projection and centres."""
+    model, weighed = _weighed(spark, sf_dir, "source")
+    docs = _documents(spark, sf_dir, "source")
+    fixed = _category_means(spark, model, weighed, docs)
+    vectors = fixed.embed(weighed).persist()
+    clusters = fuzzy.FuzzyModel(fuzzy.centers_from(fuzzy.group_means(vectors, "label")), PROFILE_M)
+    assigned = diagnostics.hard_assignment(clusters.predict(vectors.withColumnRenamed("doc_id", "id"), keep_vector=False))
+    labels = diagnostics.hard_summary(assigned, clusters.n_clusters)
+    turns = _table(spark, sf_dir, "conversations").filter(F.col("role") == "user")
+    turns = turns.select(
+        F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("query_id"),
+        (F.col("conv_id") * 1_000_000 + F.col("turn")).alias("arrival"),
+        F.col("text").alias("query"),
+    )
+    routed, _ = answer.prepare(turns, answer.Encoder(model, fixed), answer.Router(clusters))
+    path = scratch_path(spark, "routed")
+    routed.write.parquet(path)
+    table = vector_table.build(vectors.select("doc_id", "vector"), docs)
+    answers = answer.answer_log(spark.read.parquet(path), table, labels, TURN_THETA, REPLAY_CAP)
+    return _tidy(
+        answers.select(
+            "query_id",
+            "cache_hit",
+            "matched_query",
+            "similarity_score",
+            "dominant_cluster",
+            "cluster_label",
+            F.concat_ws(",", F.transform("result", lambda r: r["id"])).alias("result_ids"),
+        )
+    )
+
+
 # -- jobs and streams -------------------------------------------------------------
 
 def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -586,7 +633,7 @@ QUERIES: dict[str, Query] = {
         fuzzy_objective, fuzzy_fit_trace, distance_seeding, hard_assignment, certainty_metrics,
         row_sample, silhouette_exact, cluster_profile_hard, cluster_summary, cluster_profile_soft,
         cluster_report, cluster_label_table, boundary_docs, pca_reduce, kmeans_restarts, k_sweep,
-        fuzziness_sweep, reuse_seed, reuse_lookup, threshold_sweep, reuse_stats, bucket_sizes,
+        fuzziness_sweep, fuzziness_sweep_steps, pca_norms, answer_turns, reuse_seed, reuse_lookup, threshold_sweep, reuse_stats, bucket_sizes,
         reuse_flush, hit_evaluation, bucket_compaction, membership_top5, cluster_label_lookup,
         blank_queries, query_replay, replay_entries, answer_queries, stream_replay, stream_lookup,
         staged_build,

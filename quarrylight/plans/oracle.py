@@ -8,6 +8,7 @@ from ..functions.vectors import SIMILARITY_DIGITS
 from ..operators.fuzzy import EPSILON, MIN_DISTANCE
 from ..operators.reuse import SWEEP_BANDS, SWEEP_LAST
 from ..operators.tfidf import MAX_DF, MAX_FEATURES, MIN_DF
+from .sweeps import FUZZINESS_BANDS, FUZZINESS_LAST, M_GRID
 
 # Parameters shared by the Spark and the SQL form of the registered queries.
 DIGITS = 6
@@ -16,6 +17,8 @@ PROFILE_M = 1.2
 CAPPED_FEATURES = 500
 SEEDS = 4
 THETA = 0.35
+TURN_THETA = 0.995
+SWEEP_STEPS = 3
 THETA_GRID = (0.25, 0.30, 0.35, 0.40, 0.45, 0.50)
 # Entries per bucket: of the lookups, and of the queries whose subject is the limit.
 CAP = 500
@@ -239,7 +242,7 @@ def _band(column: str) -> str:
     return f"CASE {cases} ELSE '{SWEEP_LAST}' END"
 
 
-def _replay(source: str, cap: int) -> str:
+def _replay(source: str, cap: int, theta: float = THETA) -> str:
     """Step every bucket through its arrivals; ``entries`` is the bucket in list order.
 
     ``source`` has (id, cluster, v). One arrival per bucket and round.
@@ -258,7 +261,7 @@ run AS (
     hit, CASE WHEN hit THEN t END, s,
     CASE WHEN NOT hit AND len(grown) > {cap} THEN sorted[{cap} + 1].t END
   FROM (
-    SELECT a.cluster, a.n, coalesce(m.s, -1.0) AS s, coalesce(m.s, -1.0) >= {THETA} AS hit, m.t AS t,
+    SELECT a.cluster, a.n, coalesce(m.s, -1.0) AS s, coalesce(m.s, -1.0) >= {theta} AS hit, m.t AS t,
       list_transform(r.entries, lambda x: {{'h': x.h + CASE WHEN x.t = m.t THEN 1 ELSE 0 END, 't': x.t}}) AS touched,
       list_append(r.entries, {{'h': CAST(0 AS BIGINT), 't': a.n}}) AS grown,
       list_reverse_sort(list_append(r.entries, {{'h': CAST(0 AS BIGINT), 't': a.n}})) AS sorted
@@ -287,7 +290,73 @@ _LOG_SELECT = (
 )
 
 
+def _sweep_steps(steps: int) -> str:
+    parts, rows = [_VECTORS], []
+    for i, m in enumerate(M_GRID):
+        parts.append(_memberships(m, out=f"m{i}u0"))
+        for t in range(1, steps + 1):
+            parts.append(_update(m, f"m{i}u{t - 1}", f"m{i}v{t}"))
+            parts.append(_memberships(m, centers=f"m{i}v{t}", out=f"m{i}u{t}"))
+        parts.append(f"m{i}o AS (SELECT id, list(u ORDER BY u DESC) AS us FROM m{i}u{steps} GROUP BY id)")
+        band = next((text for limit, text in FUZZINESS_BANDS if m <= limit), FUZZINESS_LAST)
+        rows.append(
+            f"SELECT CAST({m} AS DOUBLE) AS m, {_r('avg(us[1])', 'mean_certainty', 4)}, "
+            f"{_r('avg(CASE WHEN us[1] > 0.8 THEN 1.0 ELSE 0.0 END)', 'pct_high_certainty', 4)}, "
+            f"{_r('avg(CASE WHEN us[2] > 0.15 THEN 1.0 ELSE 0.0 END)', 'frac_dual_membership', 4)}, "
+            f"CAST({steps} AS BIGINT) AS n_iter, '{band}' AS interpretation FROM m{i}o"
+        )
+    return _with(*parts) + "\nUNION ALL\n".join(rows)
+
+
+# Documents and user turns projected on the mean weights of each source.
+_TURN_VECTORS = ",\n".join(
+    [
+        _FEATURES.replace("lang AS label", "source AS label"),
+        _TURNS.replace("SELECT conv_id", "SELECT conv_id * 1000000 + turn AS arrival, conv_id"),
+        _postings("turns", "query_id", "asked"),
+        _weights("asked", "query_id", "q"),
+        _PROJECTION,
+        """dv AS (SELECT doc_id AS id, list(x ORDER BY component) AS v FROM proj GROUP BY 1),
+e AS (SELECT dv.id, CASE WHEN list_dot_product(v, v) > 0 THEN list_transform(v, lambda x: x / sqrt(list_dot_product(v, v)))
+    ELSE v END AS v, clean.label FROM dv JOIN clean ON clean.doc_id = dv.id)""",
+        "dims AS (SELECT id, label, unnest(range(0, len(v))) AS d, unnest(v) AS x FROM e)",
+        """means AS (SELECT names.component AS cluster, d, avg(x) AS x FROM dims JOIN names USING (label) GROUP BY 1, 2),
+cent AS (SELECT cluster, list(x ORDER BY d) AS v FROM means GROUP BY 1)""",
+        """qx AS (SELECT t.arrival AS id, nm.component, coalesce(p.x, 0.0) AS x FROM turns t CROSS JOIN names nm LEFT JOIN (
+    SELECT q.query_id, v.component, sum(q.w * v.x) AS x FROM q JOIN v USING (term_id) GROUP BY 1, 2
+  ) p ON p.query_id = t.query_id AND p.component = nm.component),
+qw AS (SELECT id, list(x ORDER BY component) AS v FROM qx GROUP BY 1),
+qe AS (SELECT id, CASE WHEN list_dot_product(v, v) > 0 THEN list_transform(v, lambda x: x / sqrt(list_dot_product(v, v)))
+    ELSE v END AS v FROM qw)""",
+        _memberships(PROFILE_M),
+        _HARD,
+        """cats AS (SELECT h.cluster, e.label AS category, count(*) AS n, min(e.id) AS first_id FROM hard h JOIN e USING (id) GROUP BY 1, 2),
+hr AS (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY n DESC, first_id, category) AS rank FROM cats)""",
+        _memberships(PROFILE_M, query_epsilon=True, rows="qe", out="ru"),
+        _HARD.replace("hard AS", "rhard AS").replace("FROM u", "FROM ru"),
+        "src AS (SELECT qe.id, CAST(h.cluster AS BIGINT) AS cluster, qe.v FROM qe JOIN rhard h USING (id))",
+        _replay("src", REPLAY_CAP, TURN_THETA),
+        "lt AS (SELECT 'doc_' || id AS id, v FROM e)",
+        "qv AS (SELECT l.query_id, qe.v FROM log l JOIN qe ON qe.id = l.query_id WHERE NOT l.hit)",
+        _topk("lt", 5),
+        "res AS (SELECT query_id, string_agg(id, ',' ORDER BY rank) AS ids FROM top GROUP BY 1)",
+    ]
+)
+_RAW_TURNS = "(SELECT conv_id * 1000000 + turn AS id, conv_id || ':' || turn AS name, text FROM conversations WHERE role = 'user')"
+
+
 SQL: dict[str, str] = {
+    "fuzziness_sweep_steps": _sweep_steps(SWEEP_STEPS),
+    "pca_norms": _with(_E, _DIMS, "mu AS (SELECT d, avg(x) AS m FROM dims GROUP BY 1)")
+    + f"SELECT id, {_r('sum((x - m) * (x - m))', 'squared_length')} FROM dims JOIN mu USING (d) GROUP BY id",
+    "answer_turns": "WITH RECURSIVE "
+    + _TURN_VECTORS
+    + f"""
+SELECT t.name AS query_id, l.hit AS cache_hit, o.text AS matched_query, {_r('l.similarity', 'similarity_score', 4)},
+  l.cluster AS dominant_cluster, coalesce(hr.category, 'unknown') AS cluster_label, res.ids AS result_ids
+FROM log l JOIN {_RAW_TURNS} t ON t.id = l.query_id LEFT JOIN {_RAW_TURNS} o ON o.id = l.source_id
+LEFT JOIN res ON res.query_id = coalesce(l.source_id, l.query_id)
+LEFT JOIN hr ON hr.cluster = l.cluster AND hr.rank = 1""",
     "clean_documents": _with(_CLEAN) + "SELECT doc_id, cleaned, length(cleaned) AS n_chars FROM clean",
     "clean_pages": "SELECT page_id, "
     + _clean_document("concat_ws(chr(10), url, html)")

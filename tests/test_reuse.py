@@ -262,3 +262,16 @@ def test_replay_with_many_equal_similarities(spark, cap):
     want, left = simulate(x, cluster, 0.8, cap)
     same(rows_of(log), want)
     assert {r["entry_id"]: r["hit_count"] for r in replay.surviving_entries(log).collect()} == left
+
+
+def test_replay_of_text_ids(spark):
+    x, cluster = unit(120), np.arange(120) % 2
+    numbers = log_frame(spark, x, cluster)
+    named = numbers.withColumn("query_id", F.concat(F.lit("turn:"), "query_id"))
+    want = {f"turn:{r['query_id']}": (r["hit"], r["source_id"], r["evicted_id"]) for r in replay.replay(numbers, 0.9, 3).collect()}
+    got = replay.replay(named, 0.9, 3)
+    tag = lambda x: None if x is None else f"turn:{x}"
+    assert {r["query_id"]: (r["hit"], r["source_id"], r["evicted_id"]) for r in got.collect()} == {
+        q: (hit, tag(source), tag(evicted)) for q, (hit, source, evicted) in want.items()
+    }
+    assert replay.surviving_entries(got.checkpoint()).schema["entry_id"].dataType.simpleString() == "string"
