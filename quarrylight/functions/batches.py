@@ -19,16 +19,20 @@ def map_batches(
     run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
     schema: T.StructType,
     summary: bool = False,
+    tasks: int | None = None,
 ) -> DataFrame:
     """``mapInArrow`` with this package at hand in the tasks.
 
     With ``summary`` each task returns about the same amount however much it read, so
     neighbouring input partitions are read by one task: what is shuffled afterwards
-    grows with the cores and not with the data. Batches stream through either way.
+    grows with the cores and not with the data. ``tasks`` bounds their number further,
+    where a summary is large beside its share of the input. Batches stream through
+    either way.
     """
     ship(df.sparkSession)
     if summary:
-        df = df.coalesce(_SUMMARY_TASKS_PER_CORE * df.sparkSession.sparkContext.defaultParallelism)
+        most = _SUMMARY_TASKS_PER_CORE * df.sparkSession.sparkContext.defaultParallelism
+        df = df.coalesce(most if tasks is None else max(1, min(most, tasks)))
     return df.mapInArrow(run, schema)
 
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import shutil
 import tempfile
 import uuid
 from pathlib import Path
 
+from py4j.protocol import Py4JError
 from pyspark.sql import SparkSession
 
 # One BLAS thread per Python worker: parallelism comes from Spark tasks.
@@ -68,6 +70,27 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+_scratch: set[str] = set()
+
+
+def _remove(jvm, conf, path: str) -> None:
+    """Delete a folder of the shared file system, if the JVM is still there."""
+    try:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(conf).delete(folder, True)
+    except (Py4JError, OSError):
+        pass
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder.
+
+    Frames are read when they are used, so what an application has written there stays
+    until the driver ends, and goes then.
+    """
+    context = spark.sparkContext
+    base = f"{checkpoint_root(spark).rstrip('/')}/scratch-{context.applicationId}"
+    if base not in _scratch:
+        _scratch.add(base)
+        atexit.register(_remove, context._jvm, context._jsc.hadoopConfiguration(), base)
+    return f"{base}/{name}-{uuid.uuid4().hex}"
