@@ -34,7 +34,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarrylight.llm.common import same, slices, staged, table, text_bytes, text_hash
-from quarrylight.llm.decontaminate import _small
 from quarrylight.session import ship
 
 LENGTH = 200
@@ -106,12 +105,12 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in slices(batches):
         data, offsets = text_bytes(part.column("text"))
         doc, anchor, first, last, key = segments(data, offsets)
-        at = offsets[doc]
+        # one number: the first window, how far on the anchor lies, and how many windows follow
+        place = (first - offsets[doc]) << 16 | (anchor - first) << 8 | (last - first)
         row = pa.array(doc)
         yield pa.RecordBatch.from_arrays(
-            [part.column("doc_id").take(row), part.column("hash").take(row)]
-            + [pa.array(x) for x in (key, anchor - at, first - at, last - at)],
-            names=["doc_id", "hash", "key", "anchor", "first", "last"],
+            [part.column("doc_id").take(row), part.column("hash").take(row), pa.array(key), pa.array(place)],
+            names=["doc_id", "hash", "key", "place"],
         )
 
 
@@ -121,15 +120,15 @@ def _signed(x: int) -> int:
 
 def _parts(text: bytes, s: dict) -> Iterator[tuple[int, int, int, int]]:
     """key, anchor, first and last window of a segment, or of its parts if its anchor is hot."""
+    window = s["place"] >> 16
+    anchor, end = window + (s["place"] >> 8 & 255), window + (s["place"] & 255)
     if not s["hot"]:
-        yield s["key"], s["anchor"], s["first"], s["last"]
+        yield s["key"], anchor, window, end
         return
-    anchor = s["anchor"]
-    window = s["first"]
-    while window <= s["last"]:
+    while window <= end:
         number = (window - anchor + _REACH) // PART
         low = number * PART + anchor - _REACH  # of all windows that such a part can have
-        last = min(s["last"], low + PART - 1)
+        last = min(end, low + PART - 1)
         core = text[low + PART - 1 : low + LENGTH]
         yield _signed(xxhash.xxh64_intdigest(core, number)), anchor, window, last
         window = last + 1
@@ -316,13 +315,12 @@ def spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
     ship(docs.sparkSession)
     docs = _hashed(docs)
     long = T.LongType()
-    anchors = docs.mapInArrow(_anchors, _schema(docs, ("key", long), ("anchor", long), ("first", long), ("last", long)))
-    anchors = staged(anchors, "anchors")
+    anchors = staged(docs.mapInArrow(_anchors, _schema(docs, ("key", long), ("place", long))), "anchors")
     shared = anchors.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key", (F.col("n") > hot).alias("hot"))
-    few = anchors.join(_small(staged(shared, "shared-anchors")), "key").groupBy("doc_id", "hash").agg(
-        F.collect_set(F.struct("key", "anchor", "first", "last", "hot")).alias("segments")
+    # No broadcasts here: anchors and spans grow with the texts.
+    few = anchors.join(shared, "key").groupBy("doc_id", "hash").agg(
+        F.collect_set(F.struct("key", "place", "hot")).alias("segments")
     )
-    few = _small(staged(few, "segments"))
     texts = docs.join(few, same(docs, few, "doc_id", "hash")).select(docs["doc_id"], docs["hash"], "text", "segments")
     fields = [("key", long), ("first", long), ("windows", long), ("align", long), ("segment", T.BinaryType())]
     sent = texts.mapInArrow(_send, _schema(docs, *fields))
@@ -332,7 +330,7 @@ def spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
 
 def cut(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """doc_id, counts, the digest of the remaining bytes and the bytes themselves."""
-    found = _small(staged(spans(docs, hot), "spans"))
+    found = spans(docs, hot)
     docs = _hashed(docs)
     joined = docs.join(found, same(docs, found, "doc_id", "hash"), "left").select(docs["doc_id"], "text", "spans")
     kinds = [T.StructField(n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")]
