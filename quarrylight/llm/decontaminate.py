@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from quarrylight.llm.common import same, staged, table, text_hash, whole
 
 WINDOW = 10
-BROADCAST_BYTES = 64 << 20
+BROADCAST_BYTES = 8 << 20
 #: Everything between words.
 _BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"

@@ -3,8 +3,8 @@
 Lines are the ``\\n``-separated parts with a word. Equal lines are one line at its earliest
 place, in the order of doc_id, text hash, line number. Lines of ten or more words are also
 within the bound of each other if one word is replaced, put in or left out. Candidates are
-distinct lines whose first or last five words begin or end another distinct line: an edit
-of one word leaves one of the two untouched, so no pair is lost. Each emits its deletion
+distinct lines that share a beginning or an end with another, up to half of their words: an
+edit of one word leaves one of the two untouched, so no pair is lost. Each emits its deletion
 neighbourhood, the line without each word in turn and the whole line, as hashed keys.
 Equal keys with equal places are a replaced word; a whole line that equals another's
 deletion is a word more. The distance is then verified on the words. A line goes if an
@@ -34,7 +34,7 @@ from quarrylight.session import ship
 
 #: Shortest line, in words, that a near line may replace; at least twice ENDS.
 MIN_WORDS = 10
-#: Words at either end that name a candidate.
+#: Fewest words at either end that name a candidate; longer lines use twice, four times as many, and so on.
 ENDS = 5
 _MASK = (1 << 64) - 1
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -44,13 +44,22 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
+def _end_lengths(n: int) -> list[int]:
+    """Lengths of the ends that a line of n words shares with lines of n - 1 to n + 1 words."""
+    found = set()
+    for m in (n - 1, n, n + 1):
+        if m >= MIN_WORDS:
+            found.add(ENDS << (m // (2 * ENDS)).bit_length() - 1)
+    return sorted(h for h in found if h <= n)
+
+
 def _texts(part: pa.RecordBatch) -> list[bytes]:
     return [t or b"" for t in part.column("text").cast(pa.large_binary()).to_pylist()]
 
 
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in slices(batches):
-        row, line, high, low, first, last = [], [], [], [], [], []
+        row, line, high, low, ends = [], [], [], [], []
         for r, text in enumerate(_texts(part)):
             for i, raw in enumerate(text.split(b"\n")):
                 words = raw.split()
@@ -61,14 +70,17 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 line.append(i)
                 high.append(_signed(digest >> 64))
                 low.append(_signed(digest & _MASK))
-                long = len(words) >= MIN_WORDS
-                first.append(_signed(xxhash.xxh64_intdigest(b" ".join(words[:ENDS]))) if long else None)
-                last.append(_signed(xxhash.xxh64_intdigest(b" ".join(words[-ENDS:]), 1)) if long else None)
+                here = []
+                if len(words) >= MIN_WORDS:
+                    for h in _end_lengths(len(words)):
+                        here.append(_signed(xxhash.xxh64_intdigest(b" ".join(words[:h]), 2 * h)))
+                        here.append(_signed(xxhash.xxh64_intdigest(b" ".join(words[-h:]), 2 * h + 1)))
+                ends.append(here)
         taken = pa.array(row, pa.int64())
         yield pa.RecordBatch.from_arrays(
             [part.column("doc_id").take(taken), part.column("hash").take(taken), pa.array(line, pa.int32())]
-            + [pa.array(x, pa.int64()) for x in (high, low, first, last)],
-            names=["doc_id", "hash", "line", "high", "low", "first", "last"],
+            + [pa.array(high, pa.int64()), pa.array(low, pa.int64()), pa.array(ends, pa.list_(pa.int64()))],
+            names=["doc_id", "hash", "line", "high", "low", "ends"],
         )
 
 
@@ -149,20 +161,20 @@ def lines(docs: DataFrame) -> DataFrame:
     """Every line with a word: place, digest, and the keys of its ends if it is long."""
     ship(docs.sparkSession)
     docs = _hashed(docs)
-    kinds = [("line", T.IntegerType())] + [(n, T.LongType()) for n in ("high", "low", "first", "last")]
+    kinds = [("line", T.IntegerType()), ("high", T.LongType()), ("low", T.LongType()), ("ends", T.ArrayType(T.LongType()))]
     schema = T.StructType([docs.schema["doc_id"], docs.schema["hash"], *[T.StructField(n, k) for n, k in kinds]])
     return docs.mapInArrow(_lines, schema)
 
 
 def distinct_lines(found: DataFrame) -> DataFrame:
-    return found.select("high", "low", "first", "last", _pos()).groupBy("high", "low").agg(
-        F.min("pos").alias("pos"), F.count(F.lit(1)).alias("n"), F.min("first").alias("first"), F.min("last").alias("last")
+    return found.select("high", "low", "ends", _pos()).groupBy("high", "low").agg(
+        F.min("pos").alias("pos"), F.count(F.lit(1)).alias("n"), F.min("ends").alias("ends")
     )
 
 
 def _candidates(distinct: DataFrame) -> DataFrame:
     """doc_id, hash and the numbers of its earliest lines that share an end with another line."""
-    ends = distinct.filter(F.col("first").isNotNull()).select("pos", F.explode(F.array("first", "last")).alias("end"))
+    ends = distinct.select("pos", F.explode("ends").alias("end"))
     shared = ends.groupBy("end").agg(F.min("pos").alias("a"), F.max("pos").alias("b")).filter("a < b").select("end")
     few = staged(ends.join(_small(staged(shared, "ends")), "end", "left_semi").select("pos"), "sharing")
     return few.select("pos.doc_id", "pos.hash", "pos.line").groupBy("doc_id", "hash").agg(
@@ -172,7 +184,7 @@ def _candidates(distinct: DataFrame) -> DataFrame:
 
 def _near(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     """The places of distinct lines with an earlier line within one word."""
-    few = staged(_candidates(distinct), "candidates")
+    few = _small(staged(_candidates(distinct), "candidates"))
     texts = _hashed(docs)
     texts = texts.join(few, same(texts, few, "doc_id", "hash")).select(
         texts["doc_id"], texts["hash"], "text", "lines"
@@ -180,9 +192,8 @@ def _near(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     kinds = [("line", T.IntegerType()), ("key", T.LongType()), ("place", T.IntegerType()), ("words", T.BinaryType())]
     schema = T.StructType([texts.schema["doc_id"], texts.schema["hash"], *[T.StructField(n, k) for n, k in kinds]])
     keys = staged(texts.mapInArrow(_neighbourhood, schema).select("key", "place", "words", _pos()), "neighbourhood")
-    shared = (
-        keys.groupBy("key").agg(F.min("pos").alias("a"), F.max("pos").alias("b")).filter("a < b").select("key")
-    )
+    # A line can have a key at two places, so this keeps a few keys too many, and no fewer.
+    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
     few_keys = staged(keys.join(_small(staged(shared, "keys")), "key", "left_semi").select("key", "place", "pos"), "shared")
     replaced = few_keys.groupBy("key", "place").agg(F.min("pos").alias("a"))
     entire = few_keys.filter("place < 0").groupBy("key").agg(F.min("pos").alias("w"))
