@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -324,18 +324,17 @@ def _regions(docs: DataFrame, frequent: DataFrame) -> DataFrame:
     counts = np.array([r["count"] for r in top], np.int64)
     order = np.argsort(keys)
     known, ranks = spark.sparkContext.broadcast(keys[order]), spark.sparkContext.broadcast(counts[order])
-    places = staged(
-        docs.select(docs["text"].cast("string").alias("text")).mapInArrow(_prefixes(known, ranks), "key long, class long, n long"),
-        "places",
-    )
-    shared = places.groupBy("key").agg(F.min("class").alias("x"), F.max("class").alias("y")).filter("x < y").select("key")
-    few = places.join(_small(staged(shared, "shared")), "key", "left_semi")
+    texts = docs.select(docs["text"].cast("string").alias("text"))
+    places = texts.mapInArrow(_prefixes(known, ranks), "key long, class long, n long")
+    # Places are dealt by key once; both windows read them so. A key in very many documents
+    # is among the frequent ones, and what is left of it streams through its task and may spill.
+    of_key, of_region = Window.partitionBy("key"), Window.partitionBy("key", "band")
+    few = places.withColumns({"x": F.min("class").over(of_key), "y": F.max("class").over(of_key)}).filter("x < y")
     band = F.floor(F.log(F.col("n").cast("double")) / _BAND).cast("int")
-    few = few.withColumn("band", F.explode(F.array(band, band + 1)))
-    few = staged(few, "few")
-    pivots = few.groupBy("key", "band").agg(F.min(F.struct("n", "class")).alias("p"), F.max(F.struct("n", "class")).alias("q"))
-    pivots = pivots.filter("p != q").select("key", "band", F.col("p.class").alias("pivot"))
-    return few.join(_small(staged(pivots, "pivots")), ["key", "band"]).select("pivot", "band", "class", "n").distinct()
+    few = few.select("key", "class", "n", F.explode(F.array(band, band + 1)).alias("band"))
+    member = F.struct("n", "class")
+    regions = few.withColumns({"p": F.min(member).over(of_region), "q": F.max(member).over(of_region)}).filter("p != q")
+    return regions.select(F.col("p.class").alias("pivot"), "band", "class", "n").distinct()
 
 
 def links(docs: DataFrame, signed: DataFrame, frequent: DataFrame) -> DataFrame:
