@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarrylight.llm.common import same, slices, staged, table, text_bytes, text_hash
+from quarrylight.llm.common import slices, staged, table, text_bytes, text_hash
 from quarrylight.session import ship
 
 LENGTH = 200
@@ -109,8 +109,7 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = (first - offsets[doc]) << 16 | (anchor - first) << 8 | (last - first)
         row = pa.array(doc)
         yield pa.RecordBatch.from_arrays(
-            [part.column("doc_id").take(row), part.column("hash").take(row), pa.array(key), pa.array(place)],
-            names=["doc_id", "hash", "key", "place"],
+            [part.column("hash").take(row), pa.array(key), pa.array(place)], names=["hash", "key", "place"]
         )
 
 
@@ -156,9 +155,9 @@ def _send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row, key, first, windows, align, text = zip(*rows)
         row = pa.array(row, pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [part.column("doc_id").take(row), part.column("hash").take(row), pa.array(key, pa.int64()), pa.array(first, pa.int64()),
+            [part.column("hash").take(row), pa.array(key, pa.int64()), pa.array(first, pa.int64()),
              pa.array(windows, pa.int64()), pa.array(align, pa.int64()), pa.array(text, pa.binary())],
-            names=["doc_id", "hash", "key", "first", "windows", "align", "segment"],
+            names=["hash", "key", "first", "windows", "align", "segment"],
         )
 
 
@@ -265,10 +264,10 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             start.append(first[which[heads]] + window[heads])
             stop.append(first[which[heads]] + window[tails])
         at = pa.array(np.concatenate(at))
-        doc_id, hashed = (block.column(c).combine_chunks() for c in ("doc_id", "hash"))
+        hashed = block.column("hash").combine_chunks()
         yield pa.RecordBatch.from_arrays(
-            [doc_id.take(at), hashed.take(at), pa.array(np.concatenate(start)), pa.array(np.concatenate(stop) + LENGTH)],
-            names=["doc_id", "hash", "start", "stop"],
+            [hashed.take(at), pa.array(np.concatenate(start)), pa.array(np.concatenate(stop) + LENGTH)],
+            names=["hash", "start", "stop"],
         )
 
 
@@ -306,33 +305,29 @@ def _hashed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", text_hash().alias("hash"), docs["text"].cast("string").alias("text"))
 
 
-def _schema(docs: DataFrame, *fields: tuple[str, T.DataType]) -> T.StructType:
-    return T.StructType([docs.schema["doc_id"], docs.schema["hash"], *[T.StructField(*f) for f in fields]])
-
-
 def spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
-    """doc_id, hash and the byte spans (start, stop) of repeated windows, where there are any."""
+    """Text hash and the byte spans (start, stop) of repeated windows, where there are any.
+
+    Equal texts have equal spans, so a text's hash names its rows all along.
+    """
     ship(docs.sparkSession)
-    docs = _hashed(docs)
-    long = T.LongType()
-    anchors = staged(docs.mapInArrow(_anchors, _schema(docs, ("key", long), ("place", long))), "anchors")
+    docs = _hashed(docs).drop("doc_id")
+    anchors = staged(docs.mapInArrow(_anchors, "hash long, key long, place long"), "anchors")
     shared = anchors.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key", (F.col("n") > hot).alias("hot"))
     # No broadcasts here: anchors and spans grow with the texts.
-    few = anchors.join(shared, "key").groupBy("doc_id", "hash").agg(
-        F.collect_set(F.struct("key", "place", "hot")).alias("segments")
-    )
-    texts = docs.join(few, same(docs, few, "doc_id", "hash")).select(docs["doc_id"], docs["hash"], "text", "segments")
-    fields = [("key", long), ("first", long), ("windows", long), ("align", long), ("segment", T.BinaryType())]
-    sent = texts.mapInArrow(_send, _schema(docs, *fields))
-    found = sent.repartition("key").sortWithinPartitions("key").mapInArrow(_compare, _schema(docs, ("start", long), ("stop", long)))
-    return found.groupBy("doc_id", "hash").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
+    few = anchors.join(shared, "key").groupBy("hash").agg(F.collect_set(F.struct("key", "place", "hot")).alias("segments"))
+    few = staged(few, "segments")
+    sent = docs.join(few, "hash").select("hash", "text", "segments")
+    sent = sent.mapInArrow(_send, "hash long, key long, first long, windows long, align long, segment binary")
+    found = sent.repartition("key").sortWithinPartitions("key").mapInArrow(_compare, "hash long, start long, stop long")
+    return found.groupBy("hash").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
 
 
 def cut(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """doc_id, counts, the digest of the remaining bytes and the bytes themselves."""
-    found = spans(docs, hot)
+    found = staged(spans(docs, hot), "spans")
     docs = _hashed(docs)
-    joined = docs.join(found, same(docs, found, "doc_id", "hash"), "left").select(docs["doc_id"], "text", "spans")
+    joined = docs.join(found, "hash", "left").select("doc_id", "text", "spans")
     kinds = [T.StructField(n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")]
     kinds += [T.StructField("kept_sha256", T.StringType()), T.StructField("kept", T.BinaryType())]
     return joined.mapInArrow(_cut, T.StructType([docs.schema["doc_id"], *kinds]))
