@@ -3,7 +3,9 @@
 Whole texts, and every line of them, are brought to one form: lower case, copyright lines
 gone, punctuation as one space, equivalent spellings replaced. The SHA-256 of the form is
 joined with the digests of known licences: full texts and notices ("Licensed under the
-...") made from a rule, in the same form. So a match is the entire text or line.
+...") made from a rule, in the same form. So a match is the entire text or line. A full text
+is known with and without its title and "All rights reserved", and the long ones, files in
+``licence_texts``, also without their appendix and with earlier addresses of their publisher.
 
 The known table has a fixed size and is broadcast; documents are never shuffled with their
 text, only the few matches are. Null text is empty and matches nothing. Rows with equal
@@ -13,6 +15,9 @@ not read.
 
 from __future__ import annotations
 
+import re
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,6 +81,28 @@ TEXTS = {
     "BSD-3-Clause": _BSD_START + _BSD_NAMES + _BSD_END,
     "Apache-2.0": _APACHE_HEADER,
 }
+#: Titles that stand above the short texts; each text is known without one, too.
+TITLES = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)"),
+    "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD", "0BSD License"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The BSD 2-Clause License", "BSD License", "Simplified BSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The BSD 3-Clause License", "BSD License", "New BSD License"),
+}
+RESERVED = "All rights reserved."
+#: Whole long texts by identifier, one file each, as their publishers give them.
+LONG = Path(__file__).with_name("licence_texts")
+_ADDRESS = r"51 Franklin St(?:reet)?, Fifth Floor,\s+Boston,\s+MA\s+02110-1301,?\s+USA"
+ADDRESSES = (
+    "51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA", "51 Franklin St, Fifth Floor, Boston, MA 02110-1301 USA",
+    "59 Temple Place, Suite 330, Boston, MA 02111-1307 USA", "675 Mass Ave, Cambridge, MA 02139, USA",
+)
+#: Titles added above long texts that have none.
+_HEADS = {"Unlicense": ("The Unlicense", "Unlicense")}
+#: Where a long text ends if what tells how to apply it is left out.
+_TERMS_END = re.compile(r"^\s*END OF TERMS AND CONDITIONS\s*$", re.MULTILINE)
+_MORE = "For more information, please refer to <https://unlicense.org/>"
+_FIELDS = re.compile(r"^[ \t]*Copyright (?:\[yyyy\]|\{yyyy\}).*$", re.MULTILINE)
 #: Fixed names of licences in notices, by identifier.
 NAMES = {
     "MIT": ("MIT License", "MIT"),
@@ -123,9 +150,28 @@ def _digest(form: Column) -> Column:
     return F.sha2(F.trim(F.regexp_replace(form, r"[ \n]+", " ")), 256)
 
 
+def full_texts() -> list[tuple[str, str]]:
+    """(licence, text) of all known whole texts, in each of their standard forms."""
+    pairs = []
+    for licence, text in TEXTS.items():
+        bodies = {text, re.sub(r"(?m)^[0-9]\. ", "", text)}  # numbered, or with other marks
+        heads = [f"{t}\n{r}\n" for t in ("", *TITLES.get(licence, ())) for r in ("", RESERVED)]
+        pairs += [(licence, head + x) for x in sorted(bodies) for head in heads]
+    for path in sorted(LONG.glob("*.txt")):
+        text = path.read_text("utf-8")
+        end = _TERMS_END.search(text)
+        forms = {text, _FIELDS.sub("", text)}
+        forms |= {text[: end.end()], text[: end.start()]} if end else set()
+        forms |= {text.partition(_MORE)[0]}
+        forms |= {re.sub(_ADDRESS, a, x) for x in forms for a in ADDRESSES}
+        forms |= {f"{t}\n{x}" for x in forms for t in _HEADS.get(path.stem, ())}
+        pairs += [(path.stem, x) for x in sorted(forms)]
+    return pairs
+
+
 def known(spark: SparkSession) -> DataFrame:
     """digest and licence of all known texts and notices; a fixed number of rows."""
-    pairs = list(TEXTS.items())
+    pairs = full_texts()
     for licence, names in NAMES.items():
         for name in names:
             pairs += [(licence, f"{s} {p} {the}{name}") for s in SUBJECTS for p in PHRASES for the in ("", "the ")]

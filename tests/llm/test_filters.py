@@ -125,6 +125,26 @@ def test_licences(documents, odd_texts):
     assert licences.scan(docs).count() == len(odd_texts) + len(texts)
 
 
+def test_standard_licence_files(documents):
+    owner = "Copyright (c) 2020, Some One <one@example.com>\n"
+    long = {p.stem: p.read_text("utf-8") for p in licences.LONG.glob("*.txt")}
+    files = [
+        ("MIT", f"MIT License\n\n{owner}\n" + licences.TEXTS["MIT"]),
+        ("MIT", f"The MIT License (MIT)\n\n{owner}\n" + licences.TEXTS["MIT"]),
+        ("ISC", f"ISC License\n\n{owner}\n" + licences.TEXTS["ISC"]),
+        ("BSD-3-Clause", f"BSD 3-Clause License\n\n{owner}All rights reserved.\n\n" + licences.TEXTS["BSD-3-Clause"]),
+        ("BSD-2-Clause", f"{owner}All rights reserved.\n\n" + licences.TEXTS["BSD-2-Clause"].replace("1. ", "* ").replace("2. ", "* ")),
+        ("Apache-2.0", long["Apache-2.0"].replace("[yyyy] [name of copyright owner]", "2020 Some One")),
+        ("Apache-2.0", long["Apache-2.0"].partition("   APPENDIX")[0]),
+        ("GPL-2.0", long["GPL-2.0"].replace("51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA", "59 Temple Place, Suite 330, Boston, MA  02111-1307  USA")),
+        *long.items(),
+    ]
+    docs = documents(list(enumerate(text for _, text in files)) + [(99, long["GPL-3.0"] + "\nand more")])
+    got = {r["doc_id"]: r["text_licence"] for r in licences.scan(docs).collect()}
+    assert [got[i] for i in range(len(files))] == [name for name, _ in files] and got[99] is None
+    assert {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0", "Unlicense"} <= set(long)
+
+
 def test_empty_tables(documents, spark):
     none = documents([])
     bench = spark.createDataFrame([], "item_id long, text string")
