@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from quarrylight.llm import decontaminate, jaccard_join, line_dedup, packing, quality
 from quarrylight.llm.common import staged, table
 
+#: Near-duplicates in training data: shingles of five words, similar from 80 percent on.
+SHINGLE, PERCENT = 5, 80
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.keep_good(docs)
@@ -24,7 +27,7 @@ def deduplicated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return jaccard_join.keep_one(docs)
+    return jaccard_join.keep_one(docs, SHINGLE, PERCENT)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,9 +1,9 @@
 """Exact join of documents by the Jaccard distance of their word n-gram sets.
 
-The distance is a metric; documents link within radius r = 0.15. Unrelated documents are
+The distance is a metric; documents link within radius r = 1 - percent / 100. Unrelated documents are
 at distance 1 from nearly every document, so the first pivots are the shingles themselves,
 as sets of one: a document lies in the regions of its rarest shingles, in so many that a
-link cannot miss all common regions (|x| - ceil(0.85 |x|) + 1 of them). Shingles that are
+link cannot miss all common regions (|x| - ceil(percent |x| / 100) + 1 of them). Shingles that are
 frequent within slices of the corpus come last in the order, so they make no regions; the
 order can be any, so this costs no link. Sizes are distances from the empty set, scaled:
 each region is cut into size bands, and documents are replicated into the next band, which
@@ -41,16 +41,15 @@ from quarrylight.llm.decontaminate import _small
 from quarrylight.llm.graph import components
 from quarrylight.session import ship
 
-SHINGLE = 4
-#: A link needs 100 * intersection >= PERCENT * union.
-PERCENT = 85
+#: Words of a shingle; a link needs 100 * intersection >= percent * union. These are the
+#: query's, and what functions take if nothing else is given.
+SHINGLE, PERCENT = 4, 85
 #: A shingle in so many documents of a slice is reported as frequent.
 LOCAL = 4
 #: So many of the most frequent shingles, at most, are moved to the end of the order.
 FREQUENT = 1 << 18
 #: Rows of a region, and shingles of a coarse region, that one task takes.
 ROWS, SHINGLES = 20_000, 4_000_000
-_BAND = math.log(1 / (PERCENT / 100 - 0.001))
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -98,43 +97,51 @@ def parity(shingles: np.ndarray) -> bytes:
     return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
-def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["doc_id", "hash", "n", "class", "bits", "key", "count"]
-    for part in slices(batches):
-        sets = shingle_sets(part.column("text"))
-        n = [len(s) for s in sets]
-        of = [_class_of(s) if len(s) else None for s in sets]
-        bits = [parity(s) if len(s) else None for s in sets]
-        none = pa.nulls(len(n), pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [part.column("doc_id"), part.column("hash"), pa.array(n, pa.int64()), pa.array(of, pa.int64()),
-             pa.array(bits, pa.binary()), none, none], names=names,
-        )
-        keys, counts = np.unique(np.concatenate(sets), return_counts=True)
-        often = counts >= LOCAL
-        if often.any():
-            k = int(often.sum())
-            nothing = [pa.nulls(k, t) for t in (part.schema.field("doc_id").type, pa.int64(), pa.int64(), pa.int64(), pa.binary())]
+def _signatures(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["doc_id", "hash", "n", "class", "bits", "key", "count"]
+        for part in slices(batches):
+            sets = shingle_sets(part.column("text"), size)
+            n = [len(s) for s in sets]
+            of = [_class_of(s) if len(s) else None for s in sets]
+            bits = [parity(s) if len(s) else None for s in sets]
+            none = pa.nulls(len(n), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                nothing + [pa.array(keys[often].view(np.int64)), pa.array(counts[often], pa.int64())], names=names
+                [part.column("doc_id"), part.column("hash"), pa.array(n, pa.int64()), pa.array(of, pa.int64()),
+                 pa.array(bits, pa.binary()), none, none], names=names,
             )
+            keys, counts = np.unique(np.concatenate(sets), return_counts=True)
+            often = counts >= LOCAL
+            if often.any():
+                k = int(often.sum())
+                nothing = [pa.nulls(k, t) for t in (part.schema.field("doc_id").type, pa.int64(), pa.int64(), pa.int64(), pa.binary())]
+                yield pa.RecordBatch.from_arrays(
+                    nothing + [pa.array(keys[often].view(np.int64)), pa.array(counts[often], pa.int64())], names=names
+                )
+
+    return run
 
 
 def prefix_length(n: int, percent: int = PERCENT) -> int:
     return n + -percent * n // 100 + 1
 
 
-def _prefixes(frequent_keys, frequent_ranks):
+def band_width(percent: int = PERCENT) -> float:
+    """Logarithm of the widest ratio of the sizes of two linked sets, and a little more."""
+    return math.log(1 / (percent / 100 - 0.001))
+
+
+def _prefixes(frequent_keys, frequent_ranks, size: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, ranks = frequent_keys.value, frequent_ranks.value
         seen: set[int] = set()  # classes of this task
         for part in slices(batches):
             keys, classes, sizes, counts = [], [], [], []
-            for s in shingle_sets(part.column("text")):
+            for s in shingle_sets(part.column("text"), size):
                 if not len(s) or (of := _class_of(s)) in seen:
                     continue
                 seen.add(of)
-                p = prefix_length(len(s))
+                p = prefix_length(len(s), percent)
                 if len(known):
                     at = np.minimum(np.searchsorted(known, s), len(known) - 1)
                     rank = np.where(known[at] == s, ranks[at], 0)
@@ -185,33 +192,37 @@ def _fold(bits: bytes, size: int) -> np.ndarray:
     return x
 
 
-def _coarse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _coarse(percent: int):
     """Edges that connect all members of a region which the bitmaps cannot keep apart."""
-    a, b = [], []
-    for region in groups(batches, ["pivot", "band", "i", "j"]):
-        classes = region.column("class").to_numpy()
-        if len(classes) < 2:
-            continue
-        n = region.column("n").to_numpy()
-        raw = region.column("bits").to_pylist()
-        width = min(map(len, raw))
-        bits = np.stack([_fold(x, width) for x in raw])
-        left = np.arange(len(classes))
-        while len(left):
-            root, queue, left = left[0], [left[0]], left[1:]
-            while queue and len(left):
-                x = queue.pop()
-                apart = np.bitwise_count(bits[left] ^ bits[x]).sum(1, dtype=np.int64)
-                near = (100 + PERCENT) * apart <= (100 - PERCENT) * (n[left] + n[x])
-                queue += left[near].tolist()
-                b += classes[left[near]].tolist()
-                a += [int(classes[root])] * int(near.sum())
-                left = left[~near]
-        if len(a) > 50_000:
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        a, b = [], []
+        for region in groups(batches, ["pivot", "band", "i", "j"]):
+            classes = region.column("class").to_numpy()
+            if len(classes) < 2:
+                continue
+            n = region.column("n").to_numpy()
+            raw = region.column("bits").to_pylist()
+            width = min(map(len, raw))
+            bits = np.stack([_fold(x, width) for x in raw])
+            left = np.arange(len(classes))
+            while len(left):
+                root, queue, left = left[0], [left[0]], left[1:]
+                while queue and len(left):
+                    x = queue.pop()
+                    apart = np.bitwise_count(bits[left] ^ bits[x]).sum(1, dtype=np.int64)
+                    near = (100 + percent) * apart <= (100 - percent) * (n[left] + n[x])
+                    queue += left[near].tolist()
+                    b += classes[left[near]].tolist()
+                    a += [int(classes[root])] * int(near.sum())
+                    left = left[~near]
+            if len(a) > 50_000:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                a, b = [], []
+        if a:
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-            a, b = [], []
-    if a:
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return run
 
 
 def region_join(sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[int, int]]:
@@ -261,23 +272,29 @@ def region_join(sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[in
     return links
 
 
-def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for region in groups(batches, ["region", "i", "j"]):
-        classes = region.column("class").to_pylist()
-        sets = [np.frombuffer(x, np.uint64) for x in region.column("shingles").to_pylist()]
-        links = region_join(sets) if len(sets) > 1 else []
-        if links:
-            a, b = zip(*[(classes[x], classes[y]) for x, y in links])
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+def _exact(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for region in groups(batches, ["region", "i", "j"]):
+            classes = region.column("class").to_pylist()
+            sets = [np.frombuffer(x, np.uint64) for x in region.column("shingles").to_pylist()]
+            links = region_join(sets, percent) if len(sets) > 1 else []
+            if links:
+                a, b = zip(*[(classes[x], classes[y]) for x, y in links])
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
+    return run
 
-def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in slices(batches, 1 << 20):
-        sets = shingle_sets(part.column("text"))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([_class_of(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
-            names=["class", "shingles"],
-        )
+
+def _full_sets(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, 1 << 20):
+            sets = shingle_sets(part.column("text"), size)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([_class_of(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
+                names=["class", "shingles"],
+            )
+
+    return run
 
 
 def _in_blocks(df: DataFrame, keys: list[str], weight, limit: int) -> DataFrame:
@@ -303,7 +320,7 @@ def _dealt(df: DataFrame, keys: list[str], function: Callable) -> DataFrame:
     return df.repartition(*keys).sortWithinPartitions(*keys, "n", "class").mapInArrow(function, "a long, b long")
 
 
-def signatures(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def signatures(docs: DataFrame, size: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
     """doc_id, hash, n, class and bits per row; and the frequent shingles with their counts."""
     ship(docs.sparkSession)
     docs = docs.select("doc_id", text_hash().alias("hash"), docs["text"].cast("string").alias("text"))
@@ -311,12 +328,12 @@ def signatures(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         [T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("hash", T.LongType()), T.StructField("n", T.LongType()), T.StructField("class", T.LongType()),
          T.StructField("bits", T.BinaryType()), T.StructField("key", T.LongType()), T.StructField("count", T.LongType())]
     )
-    found = staged(docs.mapInArrow(_signatures, schema), "signatures")
+    found = staged(docs.mapInArrow(_signatures(size), schema), "signatures")
     frequent = found.filter("key IS NOT NULL").groupBy("key").agg(F.sum("count").alias("count"))
     return found.filter("n IS NOT NULL").drop("key", "count"), frequent
 
 
-def _regions(docs: DataFrame, frequent: DataFrame) -> DataFrame:
+def _regions(docs: DataFrame, frequent: DataFrame, size: int, percent: int) -> DataFrame:
     """pivot, band, class and n of all regions with two members or more."""
     spark = docs.sparkSession
     top = frequent.orderBy(F.desc("count"), "key").limit(FREQUENT).collect()  # at most FREQUENT rows
@@ -325,24 +342,24 @@ def _regions(docs: DataFrame, frequent: DataFrame) -> DataFrame:
     order = np.argsort(keys)
     known, ranks = spark.sparkContext.broadcast(keys[order]), spark.sparkContext.broadcast(counts[order])
     texts = docs.select(docs["text"].cast("string").alias("text"))
-    places = texts.mapInArrow(_prefixes(known, ranks), "key long, class long, n long")
+    places = texts.mapInArrow(_prefixes(known, ranks, size, percent), "key long, class long, n long")
     # Places are dealt by key once; both windows read them so. A key in very many documents
     # is among the frequent ones, and what is left of it streams through its task and may spill.
     of_key, of_region = Window.partitionBy("key"), Window.partitionBy("key", "band")
     few = places.withColumns({"x": F.min("class").over(of_key), "y": F.max("class").over(of_key)}).filter("x < y")
-    band = F.floor(F.log(F.col("n").cast("double")) / _BAND).cast("int")
+    band = F.floor(F.log(F.col("n").cast("double")) / band_width(percent)).cast("int")
     few = few.select("key", "class", "n", F.explode(F.array(band, band + 1)).alias("band"))
     member = F.struct("n", "class")
     regions = few.withColumns({"p": F.min(member).over(of_region), "q": F.max(member).over(of_region)}).filter("p != q")
     return regions.select(F.col("p.class").alias("pivot"), "band", "class", "n").distinct()
 
 
-def links(docs: DataFrame, signed: DataFrame, frequent: DataFrame) -> DataFrame:
+def links(docs: DataFrame, signed: DataFrame, frequent: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Pairs of classes that connect exactly what links connect."""
-    regions = staged(_regions(docs, frequent), "regions")
+    regions = staged(_regions(docs, frequent, size, percent), "regions")
     bits = signed.filter("class IS NOT NULL").select("class", "bits").dropDuplicates(["class"])
     with_bits = _in_blocks(regions, ["pivot", "band"], F.lit(1), ROWS).join(bits, "class")
-    coarse = staged(_dealt(with_bits, ["pivot", "band", "i", "j"], _coarse), "coarse")
+    coarse = staged(_dealt(with_bits, ["pivot", "band", "i", "j"], _coarse(percent)), "coarse")
     region = staged(components(coarse).select(F.col("node").alias("class"), F.col("label").alias("region")), "coarse-regions")
     first = signed.select("class", "n", F.struct("doc_id", "hash").alias("row")).join(_small(region), "class")
     first = first.groupBy("class", "region", "n").agg(F.min("row").alias("row"))
@@ -350,33 +367,42 @@ def links(docs: DataFrame, signed: DataFrame, frequent: DataFrame) -> DataFrame:
     texts = docs.select("doc_id", text_hash().alias("hash"), docs["text"].cast("string").alias("text"))
     few = _small(first.select("doc_id", "hash"))
     texts = texts.join(few, same(texts, few, "doc_id", "hash"), "left_semi").select("text")
-    sets = texts.mapInArrow(_full_sets, "class long, shingles binary").dropDuplicates(["class"])
+    sets = texts.mapInArrow(_full_sets(size), "class long, shingles binary").dropDuplicates(["class"])
     members = _in_blocks(first.select("class", "region", "n"), ["region"], F.col("n"), SHINGLES)
-    return staged(_dealt(members.join(sets, "class"), ["region", "i", "j"], _exact), "links")
+    return staged(_dealt(members.join(sets, "class"), ["region", "i", "j"], _exact(percent)), "links")
 
 
-def join(docs: DataFrame) -> DataFrame:
-    """doc_id, hash, n_shingles and component_id of every row."""
-    signed, frequent = signatures(docs)
-    labels = components(links(docs, signed, frequent)).select(F.col("node").alias("class"), "label")
-    classes = signed.filter("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("smallest"))
+def _joined(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """doc_id, hash, n_shingles, component_id and, for rows with shingles, the component's ``first`` row."""
+    signed, frequent = signatures(docs, size)
+    labels = components(links(docs, signed, frequent, size, percent)).select(F.col("node").alias("class"), "label")
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash")
+    classes = signed.filter("class IS NOT NULL").groupBy("class").agg(F.min(row).alias("smallest"))
     classes = classes.join(labels, "class", "left").withColumn("label", F.coalesce("label", "class"))
     classes = staged(classes, "classes")
-    lowest = classes.groupBy("label").agg(F.min("smallest").alias("component_id"))
-    named = classes.join(lowest, "label").select("class", "component_id")
+    lowest = classes.groupBy("label").agg(F.min("smallest").alias("first"))
+    named = classes.join(lowest, "label").select("class", "first")
     has, none = signed.filter("class IS NOT NULL"), signed.filter("class IS NULL")
-    return has.join(named, "class").select("doc_id", "hash", F.col("n").alias("n_shingles"), "component_id").unionByName(
-        none.select("doc_id", "hash", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    names = ["doc_id", "hash", F.col("n").alias("n_shingles")]
+    return has.join(named, "class").select(*names, F.col("first.doc_id").alias("component_id"), "first").unionByName(
+        none.select(*names, F.col("doc_id").alias("component_id")), allowMissingColumns=True
     )
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """The document with the smallest id of each component, with all its columns.
+def join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """doc_id, hash, n_shingles and component_id of every row."""
+    return _joined(docs, size, percent).drop("first")
+
+
+def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The first document of each component, with all its columns.
 
-    Documents without words stay. Rows with equal doc_id and text stay or go together.
+    Documents are ordered by their ids, null last, then by their texts' hashes. Those without
+    words stay. Rows with equal doc_id and text stay or go together.
     """
-    found = staged(join(docs).filter("n_shingles > 0").select("doc_id", "hash", "component_id"), "near")
-    gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "hash").distinct()
+    found = staged(_joined(docs, size, percent).filter("n_shingles > 0").select("doc_id", "hash", "first"), "near")
+    stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("hash") == F.col("first.hash"))
+    gone = found.filter(~stays).select("doc_id", "hash").distinct()
     gone = _small(staged(gone, "near-gone"))
     tagged = docs.withColumn("__ql_hash", text_hash(docs["text"]))
     match = tagged["doc_id"].eqNullSafe(gone["doc_id"]) & (tagged["__ql_hash"] == gone["hash"])

@@ -104,6 +104,40 @@ def test_one_of_each_group(documents, near):
     assert Counter(r["doc_id"] for r in kept.collect()) == want
 
 
+def _components(pairs, size, percent):
+    sets = [brute.shingles(t, size) for _, t in pairs]
+    label = list(range(len(sets)))
+    for a in range(len(sets)):
+        for b in range(a):
+            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                low, high = sorted((label[a], label[b]))
+                label = [low if x == high else x for x in label]
+    return label
+
+
+def test_jaccard_of_five_words_and_eighty_percent(documents, near):
+    head = [f"h{i}" for i in range(900)]
+    ends = [[f"{k}{i}" for i in range(100)] for k in "xy"]
+    pairs = [(i, t) for i, t in near if i is not None and i != 4] + [(1000 + k, " ".join(head + e)) for k, e in enumerate(ends)]
+    label = _components(pairs, 5, 80)
+    ids = {}
+    for (i, t), x in zip(pairs, label):
+        if brute.shingles(t, 5):
+            ids[x] = min(i, ids.get(x, i))
+    want = {i for (i, t), x in zip(pairs, label) if not brute.shingles(t, 5) or ids[x] == i}
+    docs = documents(pairs)
+    assert {r["doc_id"] for r in jaccard_join.keep_one(docs, 5, 80).collect()} == want
+    assert 1000 in want and 1001 not in want
+
+
+def test_one_stays_of_equal_and_null_ids(documents):
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(words[:k]) for k in (60, 59, 58)]
+    for i in (None, 7):
+        assert jaccard_join.keep_one(documents([(i, t) for t in texts])).count() == 1
+    assert jaccard_join.keep_one(documents([(None, texts[0]), (7, texts[1]), (7, texts[2])])).collect()[0]["doc_id"] == 7
+
+
 def test_region_join_connects_what_links_connect():
     rng = np.random.default_rng(7)
     for _ in range(30):
