@@ -5,7 +5,7 @@ those; slices that hold the name of a special token are only split at spaces. Id
 longer than a sequence are cut; whole pieces of one sequence need no packing. The others
 are dealt into blocks of at most ``BLOCK`` pieces by an exact shuffle; each block is packed
 by best fit and then improved: moves, one-for-one and two-for-one exchanges that raise the
-sum of squared fills, until underfull bins are empty or no exchange helps. A block leaves
+sum of squared fills, until no exchange between any two underfull bins helps. A block leaves
 about one sequence that is not full, so blocks cost one sequence in tens of thousands.
 
 Null text is the empty text and gives one piece of one token. Repeated rows are packed
@@ -16,8 +16,8 @@ from __future__ import annotations
 
 import os
 import zlib
-from bisect import bisect_left
 from collections.abc import Iterator
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +33,6 @@ from quarrylight.session import ship
 LENGTH = 4096
 END_ID = 1
 BLOCK = 100_000
-#: Exchanges tried per block before the packing stands as it is.
-MAX_STEPS = 5_000
 _COLUMNS = ("piece", "start", "length", "ids_crc32")
 
 
@@ -179,59 +177,115 @@ def best_fit(sizes: np.ndarray, length: int) -> list[list[int]]:
     return bins
 
 
-def improve(bins: list[list[int]], sizes: np.ndarray, length: int, max_steps: int = MAX_STEPS) -> list[list[int]]:
+def improve(bins: list[list[int]], sizes: np.ndarray, length: int) -> list[list[int]]:
     """Raise the sum of squared fills by moves and exchanges between underfull bins.
 
-    Tokens only flow from an emptier bin to a fuller one, so every step raises the sum.
-    The emptiest bin is worked on until it is empty or no step helps; then the next.
+    Tokens only flow from an emptier bin to a fuller one, so every step raises the sum. A
+    pass works on the bins from the emptiest on, each until it is empty or no step helps;
+    a bin that became emptier meets the bins before it in the next pass. Passes go on until
+    one changes nothing: then no step is left for any two bins.
     """
-    fill = np.array([int(sizes[b].sum()) for b in bins], np.int64)
-    live = [i for i in np.argsort(fill, kind="stable").tolist() if fill[i] < length]
-    stuck: set[int] = set()
-    for _ in range(max_steps):
-        source = min((i for i in live if i not in stuck and bins[i]), key=lambda i: (fill[i], i), default=None)
-        others = [i for i in live if i != source and bins[i] and fill[i] < length]
-        if source is None or not others:
-            break
-        others = [i for i in others if (fill[i], i) > (fill[source], source)]
-        step = _step(bins, sizes, fill, source, others, length) if others else None
-        if step is None:
-            stuck.add(source)
-            continue
-        target, out, back = step
-        for item in out:
-            bins[source].remove(item)
-        if back is not None:
-            bins[target].remove(back)
-            bins[source].append(back)
-        bins[target].extend(out)
-        moved = int(sizes[out].sum()) - (int(sizes[back]) if back is not None else 0)
-        fill[source] -= moved
-        fill[target] += moved
-        stuck.discard(target)
-    return [b for b in bins if b]
-
-
-def _step(bins, sizes, fill, source, others, length):
-    """(target, items that go there, item that comes back) with the largest flow, or None."""
-    spaces = {i: int(length - fill[i]) for i in others}
-    widest = max(spaces.values())
-    own = sorted(bins[source], key=lambda x: (-sizes[x], x))
-    for item in own:  # a move takes a whole item away
-        fitting = [i for i in others if spaces[i] >= sizes[item]]
-        if fitting:
-            return min(fitting, key=lambda i: (spaces[i], i)), [item], None
-    theirs = sorted(((int(sizes[x]), x, i) for i in others for x in bins[i]), key=lambda t: t[:2])
-    keys = [t[0] for t in theirs]
-    best, found = 0, None
-    groups = [(int(sizes[x]), [x]) for x in own]
-    few = own[:64]
-    groups += [(int(sizes[x] + sizes[y]), [x, y]) for k, x in enumerate(few) for y in few[k + 1 :]]
-    for total, out in groups:  # what comes back is a little shorter than what goes
-        for size, x, i in theirs[bisect_left(keys, total - widest) : bisect_left(keys, total)]:
-            if best < total - size <= spaces[i]:
-                best, found = total - size, (i, out, x)
-    return found
+    packing = [list(b) for b in bins]
+    fill = [int(sizes[b].sum()) for b in packing]
+    while _Pass(packing, fill, sizes, length).run():
+        pass
+    return [b for b in packing if b]
+
+
+class _Pass:
+    """The bins that are still to be worked on, by space and by the sizes of their items."""
+
+    def __init__(self, bins: list[list[int]], fill: list[int], sizes: np.ndarray, length: int) -> None:
+        self.bins, self.fill, self.sizes, self.length = bins, fill, sizes, length
+        self.version = [0] * len(bins)  # -1: not a target any more
+        self.queue: list[tuple[int, int, int]] = []
+        self.by_space: list[set[int]] = [set() for _ in range(length + 1)]
+        self.spaces = 0  # bit s: a bin with s tokens of space
+        self.holders: list[list[tuple[int, int, int]]] = [[] for _ in range(length + 1)]  # by item size, widest first
+        self.reach = np.full(length + 1, -1)  # size + widest space of a bin that holds it
+        for i, b in enumerate(bins):
+            if b and fill[i] < length:
+                self._add(i)
+
+    def _sizes(self, i: int) -> set[int]:
+        return {int(x) for x in self.sizes[self.bins[i]]}
+
+    def _add(self, i: int) -> None:
+        space = self.length - self.fill[i]
+        heappush(self.queue, (self.fill[i], i, self.version[i]))
+        self.by_space[space].add(i)
+        self.spaces |= 1 << space
+        for size in self._sizes(i):
+            heappush(self.holders[size], (-space, i, self.version[i]))
+            self.reach[size] = max(self.reach[size], size + space)
+
+    def _drop(self, i: int, version: int) -> None:
+        """Take bin ``i`` out, as it is filled now."""
+        space = self.length - self.fill[i]
+        self.by_space[space].discard(i)
+        if not self.by_space[space]:
+            self.spaces &= ~(1 << space)
+        self.version[i] = version
+        for size in self._sizes(i):
+            heap = self.holders[size]
+            while heap and heap[0][2] != self.version[heap[0][1]]:
+                heappop(heap)
+            self.reach[size] = size - heap[0][0] if heap else -1
+
+    def run(self) -> bool:
+        changed = False
+        while self.queue:
+            _, source, version = heappop(self.queue)
+            if version != self.version[source]:
+                continue
+            self._drop(source, -1)
+            while self.bins[source] and (step := self._step(source)):
+                target, out, back = step
+                changed = True
+                self._drop(target, self.version[target] + 1)
+                for item in out:
+                    self.bins[source].remove(item)
+                if back is not None:
+                    self.bins[target].remove(back)
+                    self.bins[source].append(back)
+                self.bins[target].extend(out)
+                moved = int(self.sizes[out].sum()) - (int(self.sizes[back]) if back is not None else 0)
+                self.fill[source] -= moved
+                self.fill[target] += moved
+                if self.fill[target] < self.length:
+                    self._add(target)
+        return changed
+
+    def _step(self, source: int) -> tuple[int, list[int], int | None] | None:
+        """(target, items that go there, item that comes back): a move, or the exchange with the largest flow."""
+        own: dict[int, list[int]] = {}
+        for item in self.bins[source]:
+            own.setdefault(int(self.sizes[item]), []).append(item)
+        distinct = sorted(own, reverse=True)
+        for size in distinct:  # a move takes a whole item away
+            if fitting := self.spaces >> size:
+                space = size + (fitting & -fitting).bit_length() - 1
+                return min(self.by_space[space]), [own[size][0]], None
+        values = np.array(distinct)
+        ones, others = np.triu_indices(len(values))
+        several = np.array([len(own[x]) > 1 for x in distinct])
+        pairs = (ones != others) | several[ones]
+        ones, others = ones[pairs], others[pairs]
+        totals = np.concatenate((values, values[ones] + values[others]))
+        # The smallest size that may come back for each total: its bin has room for the rest.
+        back = np.searchsorted(np.maximum.accumulate(self.reach), totals)
+        flow = totals - back
+        best = int(np.argmax(flow))
+        if flow[best] <= 0:
+            return None
+        target = self.holders[back[best]][0][1]
+        if best < len(values):
+            out = [own[distinct[best]][0]]
+        else:
+            x, y = distinct[ones[best - len(values)]], distinct[others[best - len(values)]]
+            out = [own[x][0], own[y][1 if x == y else 0]]
+        returned = next(x for x in self.bins[target] if self.sizes[x] == back[best])
+        return target, out, returned
 
 
 def _pack(length: int):

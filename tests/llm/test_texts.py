@@ -237,6 +237,41 @@ def test_exchanges_empty_a_bin():
     assert len(packed) == 2
 
 
+def _helps(bins, sizes, length):
+    """A move or exchange, by trying all, that takes tokens from a bin to a fuller one."""
+    fill = [int(sizes[b].sum()) for b in bins]
+    for s, source in enumerate(bins):
+        outs = [[x] for x in source] + [[x, y] for k, x in enumerate(source) for y in source[k + 1 :]]
+        for t, target in enumerate(bins):
+            if s == t or not fill[s] <= fill[t] < length:
+                continue
+            for out in outs:
+                for back in [0, *map(int, sizes[target])]:
+                    flow = int(sizes[out].sum()) - back
+                    if flow > 0 and fill[t] + flow <= length and (back or len(out) == 1):
+                        return True
+    return False
+
+
+def test_improvement_stops_only_when_nothing_helps():
+    rng = np.random.default_rng(13)
+    for k in range(12):
+        sizes = rng.integers(35, 60, 60) if k % 2 else rng.choice([25, 26, 27, 3, 5], 60)
+        packed = packing.improve(packing.best_fit(sizes, 100), sizes, 100)
+        assert sorted(x for b in packed for x in b) == list(range(60)) and not _helps(packed, sizes, 100)
+
+
+def test_improvement_of_many_underfull_bins_and_small_pieces():
+    # 5,100 bins that no step helps lie before the one that can give a piece
+    sizes = np.array([51] * 5_100 + [80, 5] + [80, 6])
+    bins = [[i] for i in range(5_100)] + [[5_100, 5_101], [5_102, 5_103]]
+    assert max(int(sizes[b].sum()) for b in packing.improve(bins, sizes, 100)) == 91
+    # the source's first 64 pieces are equal; only a pair of later ones can go
+    sizes = np.array([10] * 65 + [7, 6] + [12, 979])
+    packed = packing.improve([list(range(67)), [67, 68]], sizes, 992)
+    assert sorted(int(sizes[b].sum()) for b in packed) == [662, 992]
+
+
 def test_improvement_keeps_items_and_limits():
     rng = np.random.default_rng(12)
     for _ in range(20):
