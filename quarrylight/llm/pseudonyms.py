@@ -7,7 +7,10 @@ whose rounds add a keyed SHA-256 of one half to the other, modulo the size of th
 Equal values get equal pseudonyms in every document, different values different ones, and
 who has the key can invert them.
 
-- Numbers keep their length, separators and Luhn remainder, so valid cards stay valid.
+- Numbers keep their length, separators and Luhn remainder, so valid cards stay valid. In a
+  row of digit groups whole groups make a number: one run of 13 to 19 digits or a card's
+  grouping that is valid comes first, then such ones that are not valid, then other groups
+  that are valid together, then others; short groups beside them stay as they are.
 - Dates move within 1700-01-01 to 2099-12-31, whose 146,097 days are 189 x 773.
 - Phone numbers keep their country code and punctuation; addresses stay addresses.
 - E-mail addresses keep their domain; letters and digits of the name move in their class.
@@ -30,11 +33,15 @@ _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*\.[A-Za-z]{2,}",
     "ip": rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9])(?!\.[0-9])",
-    "date": r"(?<![0-9A-Za-z])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9A-Za-z])",
+    "date": r"(?<![0-9A-Za-z])(?:[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}(?=[Tt][0-9]{2}:?[0-9]{2})|(?:[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}|[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})(?![0-9A-Za-z]))",
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
     "phone": r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}|\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4})(?![0-9A-Za-z])",
-    "number": r"(?<![0-9A-Za-z+])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])",
 }
+#: Digit groups with at least 13 digits in all, up to what another kind takes.
+_OTHERS = "|".join(f"(?:{p})" for p in PATTERNS.values())
+PATTERNS["number"] = rf"(?<![0-9A-Za-z+])(?=(?:[0-9][ -]?){{12}}[0-9])[0-9]++(?![A-Za-z])(?:[ -](?!{_OTHERS})[0-9]++(?![A-Za-z]))*+"
+#: Lengths of the groups of cards as they are written, and of one run.
+CARDS = ("4-4-4-4", "4-4-4-4-3", "4-6-5", "4-6-4", "4-5-6", "4-4-5", "8-8", "6-13", *map(str, range(13, 20)))
 _ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 _FIRST_DAY, _ROWS, _SLOTS = "1700-01-01", 189, 773
 
@@ -101,17 +108,81 @@ def _luhn(body: Column) -> Column:
     return (10 - F.aggregate(values, F.lit(0), lambda a, x: a + x) % 10) % 10
 
 
-def _number(hit: Column, key: str) -> Column:
-    def renewed(digits: Column) -> Column:
-        n = F.length(digits)
-        body, last = F.substring(digits, F.lit(1), n - 1), F.substring(digits, n, F.lit(1)).cast("int")
-        kept = (last - _luhn(body) + 10) % 10
-        return _let(
-            _permute_digits(body, key, "number"),
-            lambda new: F.concat(new, ((_luhn(new) + kept) % 10).cast("string")),
-        )
+def _renewed(digits: Column, key: str) -> Column:
+    n = F.length(digits)
+    body, last = F.substring(digits, F.lit(1), n - 1), F.substring(digits, n, F.lit(1)).cast("int")
+    kept = (last - _luhn(body) + 10) % 10
+    return _let(
+        _permute_digits(body, key, "number"),
+        lambda new: F.concat(new, ((_luhn(new) + kept) % 10).cast("string")),
+    )
+
+
+def _choices(groups: Column, i: Column) -> Column:
+    """Numbers that start at group i, best first: (rank, order, count of groups)."""
+
+    def choice(part: Column) -> Column:
+        digits, n = F.array_join(part, ""), F.size(part)
+        card = F.array_join(F.transform(part, lambda g: F.length(g).cast("string")), "-").isin(*CARDS)
+        valid = _luhn(F.substring(digits, F.lit(1), F.length(digits) - 1)).cast("string") == F.substring(digits, -1, 1)
+        rank = F.when(card & valid, 1).when(card, 2).when(valid, 3).otherwise(4)
+        return _let(rank, lambda r: F.struct(r.alias("rank"), F.when(r % 2 == 1, n).otherwise(-n).alias("order"), n.alias("n")))
+
+    after = F.slice(groups, i + 1, 19)
+    parts = F.transform(F.sequence(F.lit(1), F.size(after)), lambda k: F.slice(after, F.lit(1), k))
+    fits = F.filter(parts, lambda p: F.length(F.array_join(p, "")).between(13, 19))
+    return F.array_sort(F.transform(fits, choice))
+
+
+def _apart(choices: Column, others: Column) -> Column:
+    """``choices`` per group without those that reach over the start of a better one of ``others``."""
+    better = lambda c, i: F.exists(F.slice(others, i + 2, c["n"] - 1), lambda o: F.get(o, F.lit(0))["rank"] < c["rank"])
+    return F.transform(choices, lambda cs, i: F.filter(cs, lambda c: ~F.coalesce(better(c, i), F.lit(False))))
+
+
+def _numbers(hit: Column) -> Column:
+    """The numbers in a row of digit groups, as (start, length) of text, in order."""
+    size = lambda groups, i, n: F.aggregate(F.slice(groups, i + 1, n), F.lit(-1), lambda a, g: a + F.length(g) + 1)
+
+    def chosen(groups: Column) -> Column:
+        every = F.transform(F.sequence(F.lit(0), F.size(groups) - 1), lambda i: _choices(groups, i))
+        left = _let(every, lambda all_: _let(_apart(all_, all_), lambda some: _apart(all_, some)))
+        none = F.array().cast("array<struct<at:int,n:int>>")
 
-    return _refill(hit, _let(_digits(hit), renewed))
+        def step(cs: Column, a: Column, i: Column) -> Column:
+            here = F.element_at(cs, i + 1)
+            past = (a["at"] + F.length(F.element_at(groups, i + 1)) + 1).alias("at")
+            n = F.get(here, F.lit(0))["n"]
+            number = F.struct(a["at"].alias("at"), size(groups, i, n).alias("n"))
+            return F.when(
+                (i < a["next"]) | (F.size(here) == 0), F.struct(a["next"].alias("next"), past, a["out"].alias("out"))
+            ).otherwise(F.struct((i + n).alias("next"), past, F.concat(a["out"], F.array(number)).alias("out")))
+
+        return _let(left, lambda cs: F.aggregate(
+            F.sequence(F.lit(0), F.size(groups) - 1),
+            F.struct(F.lit(0).alias("next"), F.lit(1).alias("at"), none.alias("out")),
+            lambda a, i: step(cs, a, i),
+            lambda a: a["out"],
+        ))
+
+    return _let(F.split(hit, "[ -]"), chosen)
+
+
+def _number(hit: Column, numbers: Column, key: str) -> Column:
+    """``hit`` with its numbers replaced."""
+    end = F.length(hit) + 1
+    new = F.aggregate(
+        numbers,
+        F.struct(F.lit("").alias("out"), F.lit(1).alias("at")),
+        lambda a, x: F.struct(
+            F.concat(
+                a["out"], F.substring(hit, a["at"], x["at"] - a["at"]),
+                _let(F.substring(hit, x["at"], x["n"]), lambda s: _refill(s, _let(_digits(s), lambda d: _renewed(d, key)))),
+            ).alias("out"),
+            (x["at"] + x["n"]).alias("at"),
+        ),
+    )
+    return _let(new, lambda a: F.concat(a["out"], F.substring(hit, a["at"], end - a["at"])))
 
 
 def _phone(hit: Column, key: str) -> Column:
@@ -137,34 +208,37 @@ def _ip(hit: Column, key: str) -> Column:
 
 
 def _date(hit: Column, key: str) -> Column:
-    """ISO, or day first with / or ., or month first with / if no day-first date fits; others stay."""
-    middle = F.substring(hit, 4, 2)
-    form = (
-        F.when(hit.contains("-"), F.lit("yyyy-MM-dd"))
-        .when(hit.contains("."), F.lit("dd.MM.yyyy"))
-        .when(middle > "12", F.lit("MM/dd/yyyy"))
-        .otherwise(F.lit("dd/MM/yyyy"))
-    )
+    """Year first, or day first with / or ., or month first with / if no day-first date fits; others stay.
+
+    A date without leading zeros gets one without; numbers are the same date with or without.
+    """
+    mark = F.regexp_extract(hit, "[^0-9]", 0)
+    parts = F.split(hit, "[-/.]")
+    year_first = F.length(parts[0]) == 4
+    month_first = ~year_first & (mark == "/") & (parts[1].cast("int") > 12)
+    short = F.exists(parts, lambda x: F.length(x) == 1)
 
     def moved(day: Column) -> Column:
         halves = _feistel(F.floor(day / _SLOTS), day % _SLOTS, F.lit(_ROWS), F.lit(_SLOTS), key, "date")
         new = _let(halves, lambda h: F.date_add(F.lit(_FIRST_DAY).cast("date"), (h["l"] * _SLOTS + h["r"]).cast("int")))
         return F.when(day.between(0, _ROWS * _SLOTS - 1), F.date_format(new, "yyyy-MM-dd")).otherwise(F.lit(None).cast("string"))
 
+    two = lambda x: F.lpad(x, 2, "0")
     iso = (
-        F.when(hit.contains("-"), hit)
-        .when(form == "MM/dd/yyyy", F.concat_ws("-", F.substring(hit, 7, 4), F.substring(hit, 1, 2), middle))
-        .otherwise(F.concat_ws("-", F.substring(hit, 7, 4), middle, F.substring(hit, 1, 2)))
+        F.when(year_first, F.concat_ws("-", parts[0], two(parts[1]), two(parts[2])))
+        .when(month_first, F.concat_ws("-", parts[2], two(parts[0]), two(parts[1])))
+        .otherwise(F.concat_ws("-", parts[2], two(parts[1]), two(parts[0])))
     )
+
+    def written(new: Column) -> Column:
+        plain = lambda x: F.when(short, F.regexp_replace(x, "^0", "")).otherwise(x)
+        y, m, d = F.substring(new, 1, 4), plain(F.substring(new, 6, 2)), plain(F.substring(new, 9, 2))
+        joined = lambda *xs: F.concat(xs[0], mark, xs[1], mark, xs[2])
+        text = F.when(year_first, joined(y, m, d)).when(month_first, joined(m, d, y)).otherwise(joined(d, m, y))
+        return F.when(new.isNull(), hit).otherwise(text)
+
     new = _let(F.datediff(F.try_to_date(iso, "yyyy-MM-dd"), F.lit(_FIRST_DAY).cast("date")), moved)
-    y, m, d = F.substring(new, 1, 4), F.substring(new, 6, 2), F.substring(new, 9, 2)
-    written = (
-        F.when(form == "yyyy-MM-dd", new)
-        .when(form == "dd.MM.yyyy", F.concat_ws(".", d, m, y))
-        .when(form == "MM/dd/yyyy", F.concat_ws("/", m, d, y))
-        .otherwise(F.concat_ws("/", d, m, y))
-    )
-    return F.when(new.isNull(), hit).otherwise(written)
+    return _let(new, written)
 
 
 def _shift(chars: Column, stream: Column) -> Column:
@@ -195,7 +269,7 @@ def _email(hit: Column, key: str) -> Column:
     return _let(halves, lambda h: F.concat(h["l"], h["r"], F.lit("@"), domain))
 
 
-_MAKERS = {"email": _email, "ip": _ip, "date": _date, "ssn": _ssn, "phone": _phone, "number": _number}
+_MAKERS = {"email": _email, "ip": _ip, "date": _date, "ssn": _ssn, "phone": _phone}
 
 
 def _kind(hit: Column) -> Column:
@@ -205,8 +279,8 @@ def _kind(hit: Column) -> Column:
     return found
 
 
-def _replaced(kind: Column, hit: Column, key: str) -> Column:
-    new = hit
+def _replaced(kind: Column, hit: Column, numbers: Column, key: str) -> Column:
+    new = F.when(kind == "number", _number(hit, numbers, key)).otherwise(hit)
     for name, maker in _MAKERS.items():
         new = F.when(kind == name, maker(hit, key)).otherwise(new)
     return new
@@ -219,12 +293,16 @@ def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
     hits = F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, F.lit(_ANY), F.lit(0)))
     found = base.withColumn("hits", F.coalesce(hits, F.array().cast("array<string>")))
     found = found.withColumn("kinds", F.transform("hits", _kind))
-    new = F.zip_with("kinds", "hits", lambda k, h: _replaced(k, h, key))
+    none = F.array().cast("array<struct<at:int,n:int>>")
+    found = found.withColumn("numbers", F.zip_with("kinds", "hits", lambda k, h: F.when(k == "number", _numbers(h)).otherwise(none)))
+    steps = F.arrays_zip("kinds", "hits", "numbers")
+    new = F.transform(steps, lambda x: _replaced(x["kinds"], x["hits"], x["numbers"], key))
     joined = F.array_join(
         F.zip_with(F.split(text, _ANY, -1), new, lambda gap, x: F.concat(gap, F.coalesce(x, F.lit("")))), ""
     )
     count = lambda kind: F.size(F.filter("kinds", lambda k: k == kind)).cast("long")
-    counts = [count(kind).alias(f"n_{kind}") for kind in PATTERNS]
+    total = F.aggregate("numbers", F.lit(0), lambda a, x: a + F.size(x)).cast("long")
+    counts = [(total if kind == "number" else count(kind)).alias(f"n_{kind}") for kind in PATTERNS]
     return found.select("row", F.when(F.size("hits") > 0, joined).otherwise(text).alias("text"), *counts)
 
 

@@ -166,6 +166,37 @@ def test_pseudonyms_keep_formats_and_leave_the_rest(documents, odd_texts):
     assert pseudonyms.pseudonymise(documents([])).count() == 0
 
 
+def test_one_card_in_different_surroundings(documents):
+    card, spaced = "4111111111111111", "4111 1111 1111 1111"
+    texts = [card, spaced, f"{spaced} 12/27", f"{card} 123", f"order 12 {card}", f"order 12 {spaced} 10.0.0.1", f"{card} {card}", f"({spaced} 2024-05-01)"]
+    rows = pseudonyms.pseudonymise(documents(list(enumerate(texts)))).select("row.doc_id", "text", "n_number", "n_date", "n_ip").collect()
+    new = {r["doc_id"]: r for r in rows}
+    card_, spaced_ = new[0]["text"], new[1]["text"]
+    assert card_ != card and spaced_.replace(" ", "") == card_ and spaced_.count(" ") == 3
+    assert new[2]["text"] == f"{spaced_} 12/27" and new[3]["text"] == f"{card_} 123" and new[4]["text"] == f"order 12 {card_}"
+    assert new[5]["text"].startswith(f"order 12 {spaced_} ") and new[5]["n_ip"] == 1 and new[6]["text"] == f"{card_} {card_}"
+    assert new[7]["text"].startswith(f"({spaced_} ") and new[7]["n_date"] == 1
+    assert [new[i]["n_number"] for i in range(8)] == [1, 1, 1, 1, 1, 1, 2, 1]
+
+
+def test_groups_that_are_no_card_and_long_rows_of_groups(documents):
+    texts = ["12 345 678 901 234 56", "1234 5678 9012 3457", " ".join(["12 345"] * 8_000), "12345678901234567890", "1 2 3"]
+    got = {r["doc_id"]: r["text"] for r in pseudonyms.replace_text(documents(list(enumerate(texts)))).collect()}
+    for i, text in enumerate(texts):
+        assert [len(x) for x in got[i].split(" ")] == [len(x) for x in text.split(" ")]
+        assert (got[i] == text) == (i > 2)
+
+
+def test_dates_with_times_and_single_digits(documents):
+    texts = ["2024-05-01", "2024-05-01T10:00:00Z", "2024/05/01", "1/5/2024", "01/05/2024", "5/13/2024", "13.5.2024", "2024/13/45", "2024-05-01Tx"]
+    got = {r["doc_id"]: r["text"] for r in pseudonyms.replace_text(documents(list(enumerate(texts)))).collect()}
+    y, m, d = got[0].split("-")
+    assert got[0] != texts[0] and got[1] == f"{got[0]}T10:00:00Z" and got[2] == f"{y}/{m}/{d}"
+    assert got[3] == f"{int(d)}/{int(m)}/{y}" and got[4] == f"{d}/{m}/{y}"
+    assert got[5].split("/")[::-1] == [got[6].split(".")[2], got[6].split(".")[0], got[6].split(".")[1]]
+    assert got[7] == texts[7] and got[8] == texts[8]
+
+
 # -- packing ----------------------------------------------------------------------
 
 
