@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from quarrylight.llm import decontaminate, jaccard_join, licences, line_dedup, packing, pseudonyms, quality, repeated_bytes, secret_scan, warc_store
+from quarrylight.llm import (
+    decontaminate, jaccard_join, licences, line_dedup, packing, periodic_runs, pseudonyms, quality, repeated_bytes,
+    secret_scan, simplex_clusters, suffix_tree_lm, warc_store,
+)
 
 QUERIES = {
     "op1_licence_scan": licences.query,
@@ -15,6 +18,9 @@ QUERIES = {
     "op8_warc_store": warc_store.query,
     "op9_pseudonyms": pseudonyms.query,
     "op10_best_fit_packing": packing.query,
+    "op11_simplex_clusters": simplex_clusters.query,
+    "op12_periodic_runs": periodic_runs.query,
+    "op13_suffix_tree_lm": suffix_tree_lm.query,
 }
 
 SQL = {
@@ -23,4 +29,5 @@ SQL = {
     "op3_quality_rules": quality.SQL,
     "op6_benchmark_decontamination": decontaminate.SQL,
     "op8_warc_store": warc_store.SQL,
+    "op11_simplex_clusters": simplex_clusters.SQL,
 }

@@ -50,7 +50,7 @@ from quarrylight.llm.common import Words, slices, staged, table
 from quarrylight.session import ship
 
 #: Longest context in words, fewest occurrences of a context, gain in nats per occurrence, weight of the shorter state.
-DEPTH, LEAST, DIVERGENCE, PRIOR = 3, 8, 0.05, 4.0
+DEPTH, LEAST, DIVERGENCE, PRIOR = 3, 8, 0.2, 256.0
 SLICE_BYTES = 8 << 20
 #: Tokens of all texts for each bucket.
 BUCKET_TOKENS = 1_000_000
@@ -65,8 +65,8 @@ def _pack(values: np.ndarray) -> bytes:
     """Numbers as compressed bytes, first bytes first; sorted keys as their differences."""
     if values.dtype == np.uint64:
         values = np.diff(values, prepend=np.uint64(0))
-    width = values.dtype.itemsize
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values.view(np.uint8).reshape(-1, width).T).tobytes())
+    flat = np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.dtype.itemsize)
+    return zstandard.ZstdCompressor(level=1).compress(flat.T.tobytes())
 
 
 def _unpack(packed: bytes, dtype: type) -> np.ndarray:
@@ -78,7 +78,7 @@ def _unpack(packed: bytes, dtype: type) -> np.ndarray:
 
 def _mixed(keys: np.ndarray, salt: int) -> np.ndarray:
     """Keys spread over all 64 bits; different salts give unrelated keys."""
-    keys = keys + np.uint64(salt * 2 + 1) * _BASE
+    keys = keys + np.uint64((salt * 2 + 1) * int(_BASE) & (1 << 64) - 1)
     for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
         keys = (keys ^ (keys >> np.uint64(shift))) * np.uint64(factor)
     return keys ^ (keys >> np.uint64(31))
@@ -185,7 +185,7 @@ class Slice:
         """Keys of the contexts and the gains of the n-grams that this slice is the first to hold."""
         self.totals = totals[self.gram]
         self.occurred = self.before[self.at - 1]
-        keys, self.context = np.unique(_mixed(self.contexts, -length), return_inverse=True)
+        keys, self.context = np.unique(_mixed(self.contexts, 64 + length), return_inverse=True)
         mine = np.flatnonzero(first & (totals > 0))
         place = self.example[mine]
         count, occurred, shorter = totals[mine].astype(np.float64), self.occurred[place], self.p[self.at[place]]
@@ -218,23 +218,18 @@ class Slice:
 def _ahead(row: dict, settings: Settings, n: int, v: int) -> tuple[Slice, list]:
     """A slice after all answers it has, and its next requests (kind, keys, values)."""
     part = Slice(row, settings)
-    answers = row["answers"]
-    if not answers:
-        return part, [(0, *part.words())]
-    part.take_words(answers[0][0][0], n, v)
-    if len(answers) == 1:
-        return part, [(0, *part.grams(1))] if settings.depth else []
-    requests: list = []
-    for length in range(1, len(answers)):
-        if length > 1:
-            # the n-grams of this length are named before the test of the length before is applied
-            part.take_gains(answers[length][1][0])
-        if length > settings.depth:
-            return part, []
-        requests = [(1, *part.take_grams(*answers[length][0], length))]
-        part.step()
-        if length < settings.depth:
-            requests.append((0, *part.grams(length + 1)))
+    requests = [(0, *part.words())]
+    for number, answer in enumerate(row["answers"]):
+        requests = []
+        if number == 0:
+            part.take_words(answer[0][0], n, v)
+        if number > 1:
+            part.take_gains(answer[1][0])
+        if 0 < number <= settings.depth:
+            requests.append((1, *part.take_grams(*answer[0], number)))
+            part.step()
+        if number < settings.depth:
+            requests.append((0, *part.grams(number + 1)))
     return part, requests
 
 
