@@ -22,7 +22,7 @@ Rounds alternate counts of the next length, asked only behind contexts with enou
 occurrences, and sums of gains by context, to which each n-gram is added by the first
 slice that holds it. A frequent word or passage is one key for each slice, however often it
 occurs. Gains are added as whole numbers, so results do not depend on the slices. Slices
-stay where they are: answers are joined to them by a partitioning they keep.
+are a table bucketed by slice, so joins with the answers leave them where they are.
 
 Results in special cases: null and empty texts have the end only; a null id counts as
 the empty text's checksum (training) and stays null; repeated ids are separate texts; an
@@ -33,6 +33,7 @@ are not read.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -40,20 +41,21 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarrylight.functions.batches import map_batches
 from quarrylight.llm.common import Words, slices, staged, table
-from quarrylight.session import ship
+from quarrylight.session import scratch_path
 
 #: Longest context in words, fewest occurrences of a context, gain in nats per occurrence, weight of the shorter state.
 DEPTH, LEAST, DIVERGENCE, PRIOR = 3, 8, 0.2, 256.0
 SLICE_BYTES = 8 << 20
 #: Tokens of all texts for each bucket.
 BUCKET_TOKENS = 1_000_000
+#: Files of the table of slices; Spark's own limit of buckets.
+MOST_FILES = 100_000
 #: Gains are added in units of 2^-16.
 _UNIT = 1 << 16
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -96,7 +98,10 @@ class Settings:
 
 
 def _sliced(docs: DataFrame) -> DataFrame:
-    """Texts packed into slices: ids, whether held out, tokens, and the digests of the distinct words."""
+    """Texts packed into slices: ids, whether held out, tokens, and 96-bit digests of the distinct words.
+
+    Tokens are numbers of words in the order of their digests.
+    """
     id_type = docs.schema["doc_id"].dataType
     schema = T.StructType(
         [
@@ -105,7 +110,8 @@ def _sliced(docs: DataFrame) -> DataFrame:
             T.StructField("held", T.ArrayType(T.BooleanType())),
             T.StructField("sizes", T.ArrayType(T.IntegerType())),
             T.StructField("tokens", T.BinaryType()),
-            T.StructField("words", T.BinaryType()),
+            T.StructField("names", T.BinaryType()),
+            T.StructField("more", T.BinaryType()),
             T.StructField("n_tokens", T.LongType()),
             T.StructField("train_tokens", T.LongType()),
         ]
@@ -118,15 +124,20 @@ def _sliced(docs: DataFrame) -> DataFrame:
         for part in slices(batches, SLICE_BYTES):
             words = Words(part.column("text"), lower=True)
             end = len(words.distinct)
-            tokens = np.insert(words.ids, words.bounds[1:], end).astype(np.int32)
+            digests = b"".join(xxhash.xxh3_128_digest(w) for w in [*words.distinct.to_pylist(), _END])
+            names, more = np.frombuffer(digests, ">u8").astype(np.uint64).reshape(-1, 2).T
+            more = (more >> np.uint64(32)).astype(np.int32)
+            order = np.lexsort((more, names))
+            number_of = np.empty(end + 1, np.int32)
+            number_of[order] = np.arange(end + 1)
+            tokens = number_of[np.insert(words.ids, words.bounds[1:], end)]
             sizes = words.per_row + 1
             held = part.column("held").to_numpy(zero_copy_only=False).astype(bool)
-            digests = [xxhash.xxh3_128_digest(w) for w in [*words.distinct.to_pylist(), _END]]
             one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([number]), one(part.column("doc_id")), one(pa.array(held)), one(pa.array(sizes.astype(np.int32))),
-                    pa.array([_pack(tokens)], pa.binary()), pa.array([b"".join(digests)], pa.binary()),
+                    *(pa.array([_pack(x)], pa.binary()) for x in (tokens, names[order], more[order])),
                     pa.array([len(tokens)]), pa.array([int(sizes[~held].sum())]),
                 ],
                 names=schema.fieldNames(),
@@ -151,21 +162,16 @@ class Slice:
         self.starts = np.cumsum(sizes) - sizes
         self.place = np.arange(len(self.tokens)) - np.repeat(self.starts, sizes)
         self.train = np.repeat(~np.asarray(row["held"], bool), sizes)
-        digests = np.frombuffer(row["words"], ">u8").astype(np.uint64).reshape(-1, 2)
-        self.order = np.lexsort((digests[:, 1], digests[:, 0]))
-        self.digests = digests[self.order]
-        self.names = digests[:, 0][self.tokens]
+        self.digests = _unpack(row["names"], np.uint64)
+        self.names = self.digests[self.tokens]
         self.hashes = self.names
 
     def words(self) -> tuple[np.ndarray, np.ndarray]:
         """Keys of the distinct words and their training counts."""
-        counts = np.bincount(self.tokens[self.train], minlength=len(self.order))
-        return self.digests, counts[self.order]
+        return self.digests, np.bincount(self.tokens[self.train], minlength=len(self.digests))
 
     def take_words(self, totals: np.ndarray, n: int, v: int) -> None:
-        counts = np.empty(len(self.order), np.int64)
-        counts[self.order] = totals
-        self.before = counts[self.tokens]
+        self.before = totals[self.tokens]
         self.p = (self.before + 0.5) / (n + 0.5 * (v + 1))
         self.known, self.base = self.before > 0, np.log10(self.p)
 
@@ -235,6 +241,7 @@ def _ahead(row: dict, settings: Settings, n: int, v: int) -> tuple[Slice, list]:
 
 # -- rounds -----------------------------------------------------------------------
 
+_SLICE = ("slice", "held", "sizes", "tokens", "names", "more")
 _REQUEST = "bucket long, slice long, kind int, keys binary, more binary, counts binary"
 _ANSWER = "slice long, kind int, bucket long, totals binary, first binary, n_known long"
 
@@ -243,15 +250,13 @@ def _requests(batch: pa.RecordBatch, settings: Settings, n: int, v: int, buckets
     for row in _rows(batch):
         _, requests = _ahead(row, settings, n, v)
         out: list = [[], [], [], [], [], []]
+        more = _unpack(row["more"], np.int32) if "more" in row else np.zeros(0, np.int32)
         for kind, keys, values in requests:
-            high = keys if keys.ndim == 1 else keys[:, 0]
-            bucket = ((high >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+            bucket = ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
             heads = np.flatnonzero(np.diff(bucket, prepend=-1))
             for start, stop in zip(heads, [*heads[1:], len(bucket)]):
-                more = keys[start:stop, 1].view(np.int64) if keys.ndim == 2 else np.zeros(0, np.int64)
-                mine = (
-                    int(bucket[start]) * 2 + kind, row["slice"], kind, _pack(high[start:stop]), _pack(more), _pack(values[start:stop])
-                )
+                packed = (_pack(x[start:stop]) for x in (keys, more, values))
+                mine = (int(bucket[start]) * 2 + kind, row["slice"], kind, *packed)
                 for column, value in zip(out, mine):
                     column.append(value)
         types = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
@@ -263,7 +268,7 @@ def _requests(batch: pa.RecordBatch, settings: Settings, n: int, v: int, buckets
 def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
     """Slices of a batch, each with its answers: by round and kind, (totals, first) in the order of keys."""
     for i in range(batch.num_rows):
-        row = {name: batch.column(name)[i].as_py() for name in ("slice", "held", "sizes", "tokens", "words")}
+        row = {name: batch.column(name)[i].as_py() for name in batch.schema.names if name in _SLICE}
         answers = []
         for name in batch.schema.names:
             if name.startswith("answer"):
@@ -282,7 +287,7 @@ def _added(requests: pa.Table) -> pa.Table:
     """Sums of equal keys of one bucket, answered to every slice; the lowest slice with a key is its first."""
     requests = requests.sort_by("slice")
     keys = [_unpack(x.as_py(), np.uint64) for x in requests.column("keys")]
-    more = [_unpack(x.as_py(), np.int64) for x in requests.column("more")]
+    more = [_unpack(x.as_py(), np.int32) for x in requests.column("more")]
     sizes = np.array([len(k) for k in keys])
     joined, values = np.concatenate(keys), np.concatenate([_unpack(x.as_py(), np.int64) for x in requests.column("counts")])
     rest = np.concatenate(more)
@@ -311,13 +316,12 @@ def _added(requests: pa.Table) -> pa.Table:
 
 def _round(state: DataFrame, number: int, settings: Settings, n: int, v: int, buckets: int) -> DataFrame:
     """The answers to the next requests of all slices, written to the shared folder."""
-    columns = [c for c in state.columns if c in ("slice", "held", "sizes", "tokens", "words") or c.startswith("answer")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield from _requests(batch, settings, n, v, buckets)
 
-    asked = map_batches(state.select(*columns), run, _REQUEST)
+    asked = map_batches(state, run, _REQUEST)
     return staged(asked.groupBy("bucket").applyInArrow(_added, _ANSWER), f"answers-{number}")
 
 
@@ -327,23 +331,42 @@ def _joined(state: DataFrame, answers: DataFrame, number: int) -> DataFrame:
     return state.join(by_slice.hint("merge"), "slice", "left")
 
 
+def _stored(parts: DataFrame, files: int) -> str:
+    """Name of a table of the slices, bucketed by slice, so that joins by slice leave it where it is."""
+    spark = parts.sparkSession
+    name = f"quarrylight_slices_{uuid.uuid4().hex}"
+    parts.write.bucketBy(files, "slice").option("path", scratch_path(spark, "slices")).format("parquet").saveAsTable(name)
+    return name
+
+
 def score(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of each (doc_id, text, held).
 
     Texts with ``held`` are scored and not learned from.
     """
     spark = docs.sparkSession
-    ship(spark)
-    parts = staged(_sliced(docs.select("doc_id", "text", "held")), "slices")
-    size = parts.agg(F.count("*"), F.coalesce(F.sum("n_tokens"), F.lit(0)), F.coalesce(F.sum("train_tokens"), F.lit(0))).first()
-    n, v, buckets = size[2], 0, 1 + size[1] // BUCKET_TOKENS
-    state = parts.repartition(max(1, size[0]), "slice").persist(StorageLevel.DISK_ONLY)
+    docs = docs.select("doc_id", "text", "held")
+    text_bytes = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    files = max(text_bytes // SLICE_BYTES + 1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    name = _stored(_sliced(docs), min(files, MOST_FILES))
+    parts = spark.table(name)
+    size = parts.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.coalesce(F.sum("train_tokens"), F.lit(0))).first()
+    n, v, buckets = size[1], 0, 1 + size[0] // BUCKET_TOKENS
+    state = parts.select("slice", "ids", "held", "sizes", "tokens", "names")
     for number in range(settings.depth + 2 if settings.depth else 1):
-        answers = _round(state, number, settings, n, v, buckets)
+        asking = state.drop("ids") if number else parts.select(*_SLICE)
+        answers = _round(asking, number, settings, n, v, buckets)
         if number == 0:
             v = answers.agg(F.coalesce(F.sum("n_known"), F.lit(0))).first()[0]
         state = _joined(state, answers, number)
-    id_type = docs.schema["doc_id"].dataType
+    scored = staged(_scored(state, settings, n, v), "scores")
+    spark.sql(f"DROP TABLE {name}")
+    return scored
+
+
+def _scored(state: DataFrame, settings: Settings, n: int, v: int) -> DataFrame:
+    """The texts of all slices with their measures."""
+    id_type = state.schema["ids"].dataType.elementType
     schema = T.StructType(
         [
             T.StructField("doc_id", id_type), T.StructField("held_out", T.BooleanType()), T.StructField("n_tokens", T.LongType()),
@@ -364,7 +387,7 @@ def score(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
                     names=schema.fieldNames(),
                 )
 
-    return map_batches(state.drop("n_tokens", "train_tokens"), run, schema)
+    return map_batches(state, run, schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
