@@ -50,7 +50,7 @@ from quarrylight.llm.common import Words, slices, staged, table
 from quarrylight.session import scratch_path
 
 #: Longest context in words, fewest occurrences of a context, gain in nats per occurrence, weight of the shorter state.
-DEPTH, LEAST, DIVERGENCE, PRIOR = 3, 8, 0.2, 256.0
+DEPTH, LEAST, DIVERGENCE, PRIOR = 2, 8, 0.2, 256.0
 SLICE_BYTES = 8 << 20
 #: Tokens of all texts for each bucket.
 BUCKET_TOKENS = 1_000_000
@@ -86,6 +86,17 @@ def _mixed(keys: np.ndarray, salt: int) -> np.ndarray:
     return keys ^ (keys >> np.uint64(31))
 
 
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct keys, the place of one of each, and the number of the key at each place."""
+    order = np.argsort(keys)
+    ranked = keys[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    number = np.empty(len(keys), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return ranked[new], order[new], number
+
+
 @dataclass(frozen=True)
 class Settings:
     depth: int = DEPTH
@@ -165,6 +176,7 @@ class Slice:
         self.digests = _unpack(row["names"], np.uint64)
         self.names = self.digests[self.tokens]
         self.hashes = self.names
+        self.keys, self.number = self.digests, self.tokens
 
     def words(self) -> tuple[np.ndarray, np.ndarray]:
         """Keys of the distinct words and their training counts."""
@@ -180,26 +192,31 @@ class Slice:
         enough = np.zeros(len(self.tokens), bool)
         enough[1:] = self.before[:-1] >= self.settings.least
         self.at = np.flatnonzero(enough & (self.place >= length))
-        self.contexts = self.hashes[self.at - 1]
         shifted = np.zeros_like(self.hashes)
         shifted[1:] = self.hashes[:-1] * _BASE
         self.hashes = shifted + self.names
-        keys, self.example, self.gram = np.unique(_mixed(self.hashes[self.at], length), return_index=True, return_inverse=True)
+        keys, self.example, self.gram = _distinct(_mixed(self.hashes[self.at], length))
+        # a context is an n-gram of the round before, and named like it
+        context = self.number[self.at - 1]
+        used = np.zeros(len(self.keys), bool)
+        used[context] = True
+        self.context_keys, self.context = self.keys[used], (np.cumsum(used) - 1)[context]
+        self.keys, self.number = keys, np.full(len(self.tokens), -1)
+        self.number[self.at] = self.gram
         return keys, np.bincount(self.gram[self.train[self.at]], minlength=len(keys))
 
-    def take_grams(self, totals: np.ndarray, first: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    def take_grams(self, totals: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Keys of the contexts and the gains of the n-grams that this slice is the first to hold."""
         self.totals = totals[self.gram]
         self.occurred = self.before[self.at - 1]
-        keys, self.context = np.unique(_mixed(self.contexts, 64 + length), return_inverse=True)
         mine = np.flatnonzero(first & (totals > 0))
         place = self.example[mine]
         count, occurred, shorter = totals[mine].astype(np.float64), self.occurred[place], self.p[self.at[place]]
         prior = self.settings.prior
         gain = count * np.log((count - 1 + prior * shorter) / ((occurred - 1 + prior) * shorter))
-        gains = np.zeros(len(keys), np.int64)
-        np.add.at(gains, self.context[place], np.rint(gain * _UNIT).astype(np.int64))
-        return keys, gains
+        # sums of whole numbers, exact in doubles
+        gains = np.bincount(self.context[place], np.rint(gain * _UNIT), minlength=len(self.context_keys))
+        return self.context_keys, gains.astype(np.int64)
 
     def step(self) -> None:
         """Make the counted n-grams the contexts of the next length, keeping what the test of this one needs."""
@@ -232,7 +249,7 @@ def _ahead(row: dict, settings: Settings, n: int, v: int) -> tuple[Slice, list]:
         if number > 1:
             part.take_gains(answer[1][0])
         if 0 < number <= settings.depth:
-            requests.append((1, *part.take_grams(*answer[0], number)))
+            requests.append((1, *part.take_grams(*answer[0])))
             part.step()
         if number < settings.depth:
             requests.append((0, *part.grams(number + 1)))
@@ -314,29 +331,38 @@ def _added(requests: pa.Table) -> pa.Table:
     )
 
 
-def _round(state: DataFrame, number: int, settings: Settings, n: int, v: int, buckets: int) -> DataFrame:
-    """The answers to the next requests of all slices, written to the shared folder."""
+def _answered(state: DataFrame, settings: Settings, n: int, v: int, buckets: int) -> DataFrame:
+    """The answers to the next requests of all slices."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield from _requests(batch, settings, n, v, buckets)
 
     asked = map_batches(state, run, _REQUEST)
-    return staged(asked.groupBy("bucket").applyInArrow(_added, _ANSWER), f"answers-{number}")
+    return asked.groupBy("bucket").applyInArrow(_added, _ANSWER)
 
 
 def _joined(state: DataFrame, answers: DataFrame, number: int) -> DataFrame:
-    """``state`` with its answers; it keeps its partitioning by slice, so only the answers move."""
+    """``state`` with its answers. Both are bucketed by slice, so neither moves."""
     by_slice = answers.groupBy("slice").agg(F.collect_list(F.struct("kind", "bucket", "totals", "first")).alias(f"answer{number}"))
     return state.join(by_slice.hint("merge"), "slice", "left")
 
 
-def _stored(parts: DataFrame, files: int) -> str:
-    """Name of a table of the slices, bucketed by slice, so that joins by slice leave it where it is."""
-    spark = parts.sparkSession
-    name = f"quarrylight_slices_{uuid.uuid4().hex}"
-    parts.write.bucketBy(files, "slice").option("path", scratch_path(spark, "slices")).format("parquet").saveAsTable(name)
-    return name
+class _Tables:
+    """Tables bucketed by slice, so that joins by slice leave them where they are."""
+
+    def __init__(self, spark: SparkSession, files: int) -> None:
+        self.spark, self.files, self.names = spark, files, []
+
+    def store(self, df: DataFrame) -> DataFrame:
+        name = f"quarrylight_slices_{uuid.uuid4().hex}"
+        df.write.bucketBy(self.files, "slice").option("path", scratch_path(self.spark, "slices")).format("parquet").saveAsTable(name)
+        self.names.append(name)
+        return self.spark.table(name)
+
+    def drop(self) -> None:
+        for name in self.names:
+            self.spark.sql(f"DROP TABLE {name}")
 
 
 def score(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -347,20 +373,20 @@ def score(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text", "held")
     text_bytes = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    files = max(text_bytes // SLICE_BYTES + 1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    name = _stored(_sliced(docs), min(files, MOST_FILES))
-    parts = spark.table(name)
+    files = min(MOST_FILES, max(text_bytes // SLICE_BYTES + 1, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    tables = _Tables(spark, files)
+    parts = tables.store(_sliced(docs))
     size = parts.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.coalesce(F.sum("train_tokens"), F.lit(0))).first()
     n, v, buckets = size[1], 0, 1 + size[0] // BUCKET_TOKENS
     state = parts.select("slice", "ids", "held", "sizes", "tokens", "names")
     for number in range(settings.depth + 2 if settings.depth else 1):
         asking = state.drop("ids") if number else parts.select(*_SLICE)
-        answers = _round(asking, number, settings, n, v, buckets)
+        answers = tables.store(_answered(asking, settings, n, v, buckets).repartition(files, "slice"))
         if number == 0:
             v = answers.agg(F.coalesce(F.sum("n_known"), F.lit(0))).first()[0]
         state = _joined(state, answers, number)
     scored = staged(_scored(state, settings, n, v), "scores")
-    spark.sql(f"DROP TABLE {name}")
+    tables.drop()
     return scored
 
 
