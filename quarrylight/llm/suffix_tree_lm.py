@@ -51,7 +51,7 @@ from quarrylight.session import scratch_path
 
 #: Longest context in words, fewest occurrences of a context, gain in nats per occurrence, weight of the shorter state.
 DEPTH, LEAST, DIVERGENCE, PRIOR = 2, 8, 0.2, 256.0
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 5 << 20
 #: Tokens of all texts for each bucket.
 BUCKET_TOKENS = 1_000_000
 #: Files of the table of slices; Spark's own limit of buckets.
@@ -92,8 +92,8 @@ def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     ranked = keys[order]
     new = np.ones(len(keys), bool)
     new[1:] = ranked[1:] != ranked[:-1]
-    number = np.empty(len(keys), np.int64)
-    number[order] = np.cumsum(new) - 1
+    number = np.empty(len(keys), np.int32)
+    number[order] = np.cumsum(new, dtype=np.int32) - 1
     return ranked[new], order[new], number
 
 
@@ -168,14 +168,13 @@ class Slice:
 
     def __init__(self, row: dict, settings: Settings) -> None:
         self.settings = settings
-        self.tokens = _unpack(row["tokens"], np.int32).astype(np.int64)
+        self.tokens = _unpack(row["tokens"], np.int32)
         sizes = np.asarray(row["sizes"], np.int64)
         self.starts = np.cumsum(sizes) - sizes
-        self.place = np.arange(len(self.tokens)) - np.repeat(self.starts, sizes)
+        self.place = (np.arange(len(self.tokens)) - np.repeat(self.starts, sizes)).astype(np.int32)
         self.train = np.repeat(~np.asarray(row["held"], bool), sizes)
         self.digests = _unpack(row["names"], np.uint64)
-        self.names = self.digests[self.tokens]
-        self.hashes = self.names
+        self.hashes = self.digests[self.tokens]
         self.keys, self.number = self.digests, self.tokens
 
     def words(self) -> tuple[np.ndarray, np.ndarray]:
@@ -183,9 +182,9 @@ class Slice:
         return self.digests, np.bincount(self.tokens[self.train], minlength=len(self.digests))
 
     def take_words(self, totals: np.ndarray, n: int, v: int) -> None:
+        self.counts, self.size = totals, n + 0.5 * (v + 1)
         self.before = totals[self.tokens]
-        self.p = (self.before + 0.5) / (n + 0.5 * (v + 1))
-        self.known, self.base = self.before > 0, np.log10(self.p)
+        self.p = (self.before + 0.5) / self.size
 
     def grams(self, length: int) -> tuple[np.ndarray, np.ndarray]:
         """Keys of the distinct n-grams of a context of ``length`` words and a token, and their training counts."""
@@ -194,14 +193,15 @@ class Slice:
         self.at = np.flatnonzero(enough & (self.place >= length))
         shifted = np.zeros_like(self.hashes)
         shifted[1:] = self.hashes[:-1] * _BASE
-        self.hashes = shifted + self.names
+        shifted += self.digests[self.tokens]
+        self.hashes = shifted
         keys, self.example, self.gram = _distinct(_mixed(self.hashes[self.at], length))
         # a context is an n-gram of the round before, and named like it
         context = self.number[self.at - 1]
         used = np.zeros(len(self.keys), bool)
         used[context] = True
-        self.context_keys, self.context = self.keys[used], (np.cumsum(used) - 1)[context]
-        self.keys, self.number = keys, np.full(len(self.tokens), -1)
+        self.context_keys, self.context = self.keys[used], (np.cumsum(used, dtype=np.int32) - 1)[context]
+        self.keys, self.number = keys, np.full(len(self.tokens), -1, np.int32)
         self.number[self.at] = self.gram
         return keys, np.bincount(self.gram[self.train[self.at]], minlength=len(keys))
 
@@ -235,7 +235,8 @@ class Slice:
     def scores(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Known tokens, base score and score of each text."""
         add = lambda values: np.add.reduceat(values, self.starts)
-        return add(self.known.astype(np.int64)), add(self.base), add(np.log10(self.p))
+        base = np.log10((self.counts + 0.5) / self.size)
+        return add((self.counts > 0).astype(np.int64)[self.tokens]), add(base[self.tokens]), add(np.log10(self.p))
 
 
 def _ahead(row: dict, settings: Settings, n: int, v: int) -> tuple[Slice, list]:
