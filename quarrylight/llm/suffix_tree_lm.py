@@ -50,8 +50,8 @@ from quarrylight.llm.common import Words, slices, staged, table
 from quarrylight.session import scratch_path
 
 #: Longest context in words, fewest occurrences of a context, gain in nats per occurrence, weight of the shorter state.
-DEPTH, LEAST, DIVERGENCE, PRIOR = 2, 8, 0.2, 256.0
-SLICE_BYTES = 5 << 20
+DEPTH, LEAST, DIVERGENCE, PRIOR = 2, 4, 0.2, 256.0
+SLICE_BYTES = 4 << 20
 #: Tokens of all texts for each bucket.
 BUCKET_TOKENS = 1_000_000
 #: Files of the table of slices; Spark's own limit of buckets.
