@@ -49,6 +49,19 @@ def unit_rows(matrix: np.ndarray) -> np.ndarray:
     return matrix / norms
 
 
+def pair_distances(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Euclidean distances between all rows of two matrices.
+
+    From one matrix product; distances so small beside the rows that it loses their digits
+    are computed from the differences.
+    """
+    scale = (left * left).sum(axis=1)[:, None] + (right * right).sum(axis=1)[None, :]
+    squares = scale - 2.0 * (left @ right.T)
+    a, b = np.nonzero(squares < 1e-6 * scale)
+    squares[a, b] = ((left[a] - right[b]) ** 2).sum(axis=1)
+    return np.sqrt(squares)
+
+
 def l2_normalise(df: DataFrame, vector: str = "vector", out: str = "vector") -> DataFrame:
     """Scale vectors to length one; the zero vector stays zero."""
     return add_columns(

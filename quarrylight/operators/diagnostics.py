@@ -3,20 +3,24 @@
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.batches import add_columns
-from ..functions.vectors import VECTOR, argmax, as_vector, from_matrix, second_largest, to_matrix
-from .fuzzy import distances
+from ..functions.vectors import VECTOR, argmax, as_vector, from_matrix, pair_distances, second_largest, to_matrix
+from ..session import scratch_path, ship
 
 # Limits of the certainty report.
 HIGH_CERTAINTY = 0.8
 DUAL_MEMBERSHIP = 0.15
-# Points that each row of a silhouette is compared with at a time, in bytes.
+# Points in a block of a silhouette, in bytes, and rows that are compared with a block at a time.
 SILHOUETTE_BLOCK_BYTES = 16 << 20
+_STRIP = 256
 
 
 def row_sample(df: DataFrame, size: int, seed: int = 42, id_col: str = "id") -> DataFrame:
@@ -58,6 +62,99 @@ def certainty_metrics(df: DataFrame, membership: str = "membership") -> DataFram
     )
 
 
+@dataclass(frozen=True)
+class _Labellings:
+    """Side by side, the clusters of several labellings: names, sizes and first columns."""
+
+    names: tuple[np.ndarray, ...]
+    counts: tuple[np.ndarray, ...]
+
+    @property
+    def firsts(self) -> np.ndarray:
+        return np.cumsum([0] + [len(n) for n in self.names])
+
+    def columns(self, labels: np.ndarray) -> np.ndarray:
+        """The column of each row's cluster in each labelling."""
+        return np.stack([np.searchsorted(n, labels[:, j]) + first for j, (n, first) in enumerate(zip(self.names, self.firsts))], axis=1)
+
+    def indicator(self, labels: np.ndarray) -> np.ndarray:
+        member = np.zeros((len(labels), int(self.firsts[-1])))
+        np.put_along_axis(member, self.columns(labels), 1.0, axis=1)
+        return member
+
+    def scores(self, labels: np.ndarray, sums: np.ndarray) -> np.ndarray:
+        """The silhouette of each row in each labelling, from its sums of distances to all clusters."""
+        out = np.zeros(labels.shape)
+        at = np.arange(len(labels))
+        for j, (counts, first, home) in enumerate(zip(self.counts, self.firsts, self.columns(labels).T)):
+            total, home = sums[:, first:first + len(counts)], home - first
+            inner = total[at, home] / np.maximum(counts[home] - 1, 1)
+            mean = total / counts
+            mean[at, home] = np.inf
+            outer = mean.min(axis=1)
+            top = np.maximum(inner, outer)
+            fair = (counts[home] > 1) & np.isfinite(outer) & (top > 0)
+            out[fair, j] = (outer[fair] - inner[fair]) / top[fair]
+        return out
+
+
+def _label_matrix(column: pa.Array, n: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
+
+
+def _tile(known: _Labellings, pairs: pa.Table) -> pa.Table:
+    """Sums of distances by cluster for the rows of two blocks, or of one with itself."""
+    pairs = pairs.combine_chunks()
+    low, high = pairs.column("low")[0].as_py(), pairs.column("high")[0].as_py()
+    block = pairs.column("block").to_numpy()
+    row, points = pairs.column("row").to_numpy(), to_matrix(pairs.column("vector"))
+    labels = _label_matrix(pairs.column("labels").combine_chunks(), pairs.num_rows)
+    left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
+    to_right, to_left = known.indicator(labels[right]), known.indicator(labels[left])
+    sums = np.zeros((pairs.num_rows, to_right.shape[1]))
+    for start in range(0, len(left), _STRIP):
+        strip = slice(start, start + _STRIP)
+        gaps = pair_distances(points[left[strip]], points[right])
+        sums[left[strip]] += gaps @ to_right
+        if low != high:
+            sums[right] += gaps.T @ to_left[strip]
+    return pa.table({"row": row, "sums": from_matrix(sums)})
+
+
+def _scored(df: DataFrame, labels: Column, vector: str, id_col: str, block_bytes: int) -> DataFrame:
+    """id, labels, silhouettes; ``labels`` is an array of clusters."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "points")
+    df.select(
+        F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), labels.cast("array<int>").alias("labels"),
+        as_vector(vector).alias("vector"),
+    ).write.parquet(path)
+    points = spark.read.parquet(path)
+    found = points.select(F.posexplode("labels").alias("place", "cluster")).groupBy("place", "cluster").count().collect()
+    n, size = points.agg(F.count("*"), F.coalesce(F.sum(8 * F.size("vector") + 16), F.lit(0))).first()
+    places = range(1 + max((r["place"] for r in found), default=-1))
+    ordered = [sorted((r["cluster"], r["count"]) for r in found if r["place"] == j) for j in places]
+    known = _Labellings(
+        tuple(np.array([c for c, _ in x]) for x in ordered), tuple(np.array([k for _, k in x], dtype=np.float64) for x in ordered)
+    )
+    # As many blocks as their bound asks for, and enough pairs of blocks for all cores.
+    blocks = max(math.ceil(size / block_bytes), math.ceil(math.sqrt(4 * spark.sparkContext.defaultParallelism)))
+    blocks = max(1, min(blocks, n))
+    other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    placed = points.select("row", "labels", "vector", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int").alias("block"), other.alias("other"))
+    pairs = placed.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other")).drop("other")
+    ship(spark)
+    parts = pairs.groupBy("low", "high").applyInArrow(lambda t: _tile(known, t), "row long, sums array<double>")
+    sums = parts.groupBy("row").agg(vector_to_array(Summarizer.sum(array_to_vector("sums"))).alias("sums"))
+
+    def score(labels: pa.Array, totals: pa.Array) -> list[pa.Array]:
+        return [from_matrix(known.scores(_label_matrix(labels, len(labels)), to_matrix(totals)))]
+
+    rows = points.select("row", "id", "labels").join(sums, "row")
+    scored = add_columns(rows, ["labels", "sums"], [T.StructField("silhouettes", VECTOR)], score, drop=["sums"])
+    return scored.drop("row")
+
+
 def silhouette_rows(
     df: DataFrame,
     vector: str = "vector",
@@ -68,65 +165,23 @@ def silhouette_rows(
     """Euclidean silhouette of every row: id, cluster, silhouette.
 
     Exact, so its work is the square of the rows; hand in :func:`row_sample` of a large
-    table for an estimate. Rows are compared with blocks of bounded size, one block after
-    the other, and carry their sum of distances to each cluster on from block to block:
-    no pair is ever a row, and no task or driver holds more than a block.
+    table for an estimate. Rows are dealt out to blocks of bounded size, and each pair of
+    blocks is one task, which computes its distances once and returns for the rows of both
+    sides their sums by cluster. One aggregation adds these up: no pair is ever a row, and no
+    task holds more than two blocks.
     """
-    spark = df.sparkSession
-    points = df.select(
-        F.col(id_col).alias("id"), F.col(cluster).cast("int").alias("cluster"), as_vector(vector).alias("vector")
-    ).persist()
-    try:
-        found = points.groupBy("cluster").agg(F.count("*").alias("n"), F.sum(8 * F.size("vector") + 16).alias("bytes")).collect()
-        if not found:
-            return points.select("id", "cluster", F.lit(0.0).alias("silhouette"))
-        names = np.array(sorted(r["cluster"] for r in found))
-        counts = np.array([n for _, n in sorted((r["cluster"], r["n"]) for r in found)], dtype=np.float64)
-        blocks = max(1, math.ceil(sum(r["bytes"] for r in found) / block_bytes))
-        at_least = spark.sparkContext.defaultParallelism
-        scored = points if points.rdd.getNumPartitions() >= at_least else points.repartition(at_least, "id")
-        scored = scored.withColumn("total", F.array_repeat(F.lit(0.0), len(names)))
-        for number in range(blocks):
-            part = points.filter(F.pmod(F.xxhash64("id", "vector"), F.lit(blocks)) == number).toArrow().combine_chunks()
-            if part.num_rows:
-                scored = _with_distances(scored, part, names)
-    finally:
-        points.unpersist()
-
-    def score(cluster_of: pa.Array, totals: pa.Array) -> list[pa.Array]:
-        total = to_matrix(totals)
-        home = np.searchsorted(names, cluster_of.to_numpy(zero_copy_only=False))
-        at = np.arange(len(total))
-        inner = total[at, home] / np.maximum(counts[home] - 1, 1)
-        mean = total / counts
-        mean[at, home] = np.inf
-        outer = mean.min(axis=1)
-        top = np.maximum(inner, outer)
-        fair = (counts[home] > 1) & np.isfinite(outer) & (top > 0)
-        value = np.zeros(len(total))
-        value[fair] = (outer[fair] - inner[fair]) / top[fair]
-        return [pa.array(value)]
-
-    scored = add_columns(scored, ["cluster", "total"], [T.StructField("silhouette", T.DoubleType())], score)
-    return scored.select("id", "cluster", "silhouette")
-
-
-def _with_distances(rows: DataFrame, block: pa.Table, names: np.ndarray) -> DataFrame:
-    """Add each row's distances to the points of a block, summed by cluster, to ``total``."""
-    own = np.searchsorted(names, block.column("cluster").to_numpy())
-    member = np.zeros((block.num_rows, len(names)))
-    member[np.arange(len(own)), own] = 1.0
-    shared = rows.sparkSession.sparkContext.broadcast((to_matrix(block.column("vector")), member))
-
-    def add(vectors: pa.Array, totals: pa.Array) -> list[pa.Array]:
-        others, indicator = shared.value
-        x, total = to_matrix(vectors), to_matrix(totals).copy()
-        for start in range(0, len(x), 256):
-            part = slice(start, start + 256)
-            total[part] += distances(x[part], others) @ indicator
-        return [from_matrix(total)]
-
-    return add_columns(rows, ["vector", "total"], [T.StructField("total", VECTOR)], add)
+    scored = _scored(df, F.array(cluster), vector, id_col, block_bytes)
+    return scored.select("id", F.get("labels", F.lit(0)).alias("cluster"), F.get("silhouettes", F.lit(0)).alias("silhouette"))
+
+
+def silhouettes(
+    df: DataFrame, labels: str = "labels", vector: str = "vector", id_col: str = "id", block_bytes: int = SILHOUETTE_BLOCK_BYTES
+) -> DataFrame:
+    """place, n and mean silhouette of several labellings, the entries of an array column, from one pass over the pairs."""
+    scored = _scored(df, F.col(labels), vector, id_col, block_bytes)
+    return scored.select(F.posexplode("silhouettes").alias("place", "silhouette")).groupBy("place").agg(
+        F.count("*").alias("n"), F.avg("silhouette").alias("silhouette")
+    )
 
 
 def silhouette(df: DataFrame, **columns: str) -> DataFrame:

@@ -423,6 +423,14 @@ def k_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tidy(sweep.drop("elapsed_s"))
 
 
+def k_sweep_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sweep after one step from the first rows as centres."""
+    rows = _vectors(spark, sf_dir).select("id", "vector")
+    first = np.array([r["vector"] for r in rows.orderBy("id").limit(max(sweeps.K_GRID)).collect()])
+    sweep = sweeps.k_sweep(rows, max_iter=1, tol=0.0, starts={k: first[:k] for k in sweeps.K_GRID})
+    return _tidy(sweep.drop("elapsed_s", "note"))
+
+
 def fuzziness_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _reduced(spark, sf_dir)
     centers = fuzzy.centers_from(
@@ -646,7 +654,7 @@ QUERIES: dict[str, Query] = {
         vector_save_load, retrieve_formatted, fuzzy_membership, fuzzy_membership_query, fuzzy_step,
         fuzzy_objective, fuzzy_fit_trace, distance_seeding, hard_assignment, certainty_metrics,
         row_sample, silhouette_exact, cluster_profile_hard, cluster_summary, cluster_profile_soft,
-        cluster_report, cluster_label_table, boundary_docs, pca_reduce, kmeans_restarts, k_sweep,
+        cluster_report, cluster_label_table, boundary_docs, pca_reduce, kmeans_restarts, k_sweep, k_sweep_steps,
         fuzziness_sweep, fuzziness_sweep_steps, pca_norms, answer_turns, reuse_seed, reuse_lookup, threshold_sweep, reuse_stats, bucket_sizes,
         reuse_flush, hit_evaluation, bucket_compaction, membership_top5, cluster_label_lookup,
         blank_queries, query_replay, replay_entries, answer_queries, stream_replay, stream_lookup,

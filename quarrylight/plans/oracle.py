@@ -8,7 +8,7 @@ from ..functions.vectors import SIMILARITY_DIGITS
 from ..operators.fuzzy import EPSILON, MIN_DISTANCE
 from ..operators.reuse import SWEEP_BANDS, SWEEP_LAST
 from ..operators.tfidf import MAX_DF, MAX_FEATURES, MIN_DF
-from .sweeps import FUZZINESS_BANDS, FUZZINESS_LAST, M_GRID
+from .sweeps import FUZZINESS_BANDS, FUZZINESS_LAST, K_GRID, M_GRID
 
 # Parameters shared by the Spark and the SQL form of the registered queries.
 DIGITS = 6
@@ -348,7 +348,37 @@ hr AS (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY n DESC, first_
 _RAW_TURNS = "(SELECT conv_id * 1000000 + turn AS id, conv_id || ':' || turn AS name, text FROM conversations WHERE role = 'user')"
 
 
+def _k_sweep_steps() -> str:
+    parts = [_VECTORS, "pd AS (SELECT a.id AS a, b.id AS b, list_distance(a.v, b.v) AS d FROM e a CROSS JOIN e b)"]
+    rows = []
+    for k in K_GRID:
+        parts += [
+            f"s{k} AS (SELECT row_number() OVER (ORDER BY id) - 1 AS cluster, v FROM e ORDER BY id LIMIT {k})",
+            _memberships(2.0, centers=f"s{k}", out=f"a{k}"),
+            _update(2.0, f"a{k}", f"v{k}"),
+            _memberships(2.0, centers=f"v{k}", out=f"b{k}"),
+            f"h{k} AS (SELECT id, arg_min(cluster, (-u, cluster)) AS c, max(u) AS top FROM b{k} GROUP BY id)",
+            f"z{k} AS (SELECT c, count(*) AS n FROM h{k} GROUP BY c)",
+            f"""t{k} AS (SELECT a.id, a.c AS own, b.c AS other, sum(pd.d) AS t
+  FROM pd JOIN h{k} a ON a.id = pd.a JOIN h{k} b ON b.id = pd.b GROUP BY 1, 2, 3)""",
+            f"""g{k} AS (SELECT t.id, any_value(o.n) AS n, max(CASE WHEN own = other THEN t / greatest(o.n - 1, 1) END) AS a,
+  min(CASE WHEN own <> other THEN t / z.n END) AS b
+  FROM t{k} t JOIN z{k} z ON z.c = t.other JOIN z{k} o ON o.c = t.own GROUP BY t.id)""",
+        ]
+        shape = "avg(CASE WHEN n <= 1 OR b IS NULL OR greatest(a, b) <= 0 THEN 0.0 ELSE (b - a) / greatest(a, b) END)"
+        rows.append(
+            f"SELECT CAST({k} AS BIGINT) AS k, (SELECT sum(u * u * d * d) FROM b{k}) AS o, "
+            f"(SELECT {shape} FROM g{k}) AS s, (SELECT avg(top) FROM h{k}) AS m"
+        )
+    before = "lag(o) OVER (ORDER BY k)"
+    return _with(*parts, "r AS (" + " UNION ALL ".join(rows) + ")") + (
+        f"SELECT k, {_r('o', 'objective', 2)}, {_r(f'({before} - o) * 100.0 / {before}', 'improvement_pct', 2)}, "
+        f"{_r('s', 'silhouette', 4)}, {_r('m', 'mean_certainty', 4)} FROM r"
+    )
+
+
 SQL: dict[str, str] = {
+    "k_sweep_steps": _k_sweep_steps(),
     "fuzziness_sweep_steps": _sweep_steps(SWEEP_STEPS),
     "pca_norms": _with(_E, _DIMS, "mu AS (SELECT d, avg(x) AS m FROM dims GROUP BY 1)")
     + f"SELECT id, {_r('sum((x - m) * (x - m))', 'squared_length')} FROM dims JOIN mu USING (d) GROUP BY id",
