@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarrylight.llm.common import Words, same, slices, staged, table, text_hash
+from quarrylight.llm.common import Words, rows, same, slices, staged, table, text_hash
 from quarrylight.llm.decontaminate import _small
 from quarrylight.llm.graph import components
 from quarrylight.session import ship
@@ -395,18 +395,27 @@ def join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFr
 
 
 def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The first document of each component, with all its columns.
+    """One document of each component, with all its columns.
 
-    Documents are ordered by their ids, null last, then by their texts' hashes. Those without
-    words stay. Rows with equal doc_id and text stay or go together.
+    Documents are ordered by their ids, null last, then by their texts' hashes. Of rows with
+    equal doc_id and text the one whose JSON form has the smallest digest stays, and one of
+    rows that are equal in all columns. Documents without words are in no component and stay.
+    Other columns may have any names.
     """
     found = staged(_joined(docs, size, percent).filter("n_shingles > 0").select("doc_id", "hash", "first"), "near")
-    stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("hash") == F.col("first.hash"))
-    gone = found.filter(~stays).select("doc_id", "hash").distinct()
-    gone = _small(staged(gone, "near-gone"))
-    tagged = docs.withColumn("__ql_hash", text_hash(docs["text"]))
-    match = tagged["doc_id"].eqNullSafe(gone["doc_id"]) & (tagged["__ql_hash"] == gone["hash"])
-    return tagged.join(gone, match, "left_anti").drop("__ql_hash")
+    first = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("hash") == F.col("first.hash"))
+    marked = found.groupBy("doc_id", "hash", first.alias("stays")).agg((F.count(F.lit(1)) > 1).alias("repeated"))
+    marked = staged(marked.filter("repeated OR NOT stays"), "near-marked")
+    base = rows(docs, text_hash(docs["text"]).alias("hash"))
+    pair = lambda other: F.col("row.doc_id").eqNullSafe(other["doc_id"]) & (base["hash"] == other["hash"])
+    few = _small(marked.select("doc_id", "hash"))
+    single = base.join(few, pair(few), "left_anti").select("row")
+    several = _small(marked.filter("stays").select("doc_id", "hash"))
+    equal = base.join(several, pair(several), "left_semi")
+    # partial minima: thousands of equal rows make one row per task
+    one = equal.groupBy(F.col("row.doc_id").alias("doc_id"), "hash").agg(F.min_by("row", F.sha2(F.to_json("row"), 256)).alias("row"))
+    kept = single.unionByName(one.select("row"))
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -136,10 +136,19 @@ SPELLINGS = (
 )
 
 
+#: Copyright lines of lower-case text, which are no part of a licence: lines with a sign or a year behind the
+#: word, or a sign of their own, and short paragraphs that begin with the word. Clauses marked (c) stay.
+COPYRIGHT = (
+    (r"(?m)^[^\p{L}\p{N}\n(©]*(?:copyright[ \t]+(?:©|\(c\)|[0-9])|©|\(c\)[ \t]*(?:copyright|©|[12][0-9]{3}))[^\n]{0,120}$", ""),
+    (r"(\A|\n[ \t\r]*\n)[ \t]*copyright\b[^\n]{0,120}((?:\n[ \t]*all rights reserved[^\n]{0,20})?(?:\n[ \t\r]*\n|\z))", "$1$2"),
+)
+
+
 def canonical(text: Column) -> Column:
     """The text's form, with its line ends."""
     form = F.lower(text)
-    form = F.regexp_replace(form, r"(?m)^[^\p{L}\p{N}\n(©]*(?:copyright[ \t]+(?:©|\(c\)|[0-9])|©|\(c\))[^\n]*$", "")
+    for pattern, left in COPYRIGHT:
+        form = F.regexp_replace(form, pattern, left)
     form = F.regexp_replace(form, r"[^\p{L}\p{N}\n]+", " ")
     for pattern, spelling in SPELLINGS:
         form = F.regexp_replace(form, pattern, spelling)
@@ -150,6 +159,11 @@ def _digest(form: Column) -> Column:
     return F.sha2(F.trim(F.regexp_replace(form, r"[ \n]+", " ")), 256)
 
 
+def unwrapped(text: str) -> str:
+    """The text with each paragraph on one line."""
+    return "\n\n".join(" ".join(p.split()) for p in re.split(r"\n\s*\n", text))
+
+
 def full_texts() -> list[tuple[str, str]]:
     """(licence, text) of all known whole texts, in each of their standard forms."""
     pairs = []
@@ -165,6 +179,7 @@ def full_texts() -> list[tuple[str, str]]:
         forms |= {text.partition(_MORE)[0]}
         forms |= {re.sub(_ADDRESS, a, x) for x in forms for a in ADDRESSES}
         forms |= {f"{t}\n{x}" for x in forms for t in _HEADS.get(path.stem, ())}
+        forms |= {unwrapped(x) for x in forms}
         pairs += [(path.stem, x) for x in sorted(forms)]
     return pairs
 
@@ -218,9 +233,8 @@ def query(spark, sf_dir: str) -> DataFrame:
 def _sql() -> str:
     def form(text: str) -> str:
         out = f"lower({text})"
-        steps = [(r"(?m)^[^\p{L}\p{N}\n(©]*(?:copyright[ \t]+(?:©|\(c\)|[0-9])|©|\(c\))[^\n]*$", ""), (r"[^\p{L}\p{N}\n]+", " "), *SPELLINGS]
-        for pattern, to in steps:
-            out = f"regexp_replace({out}, '{pattern}', '{to.replace('$1', chr(92) + '1')}', 'g')"
+        for pattern, to in [*COPYRIGHT, (r"[^\p{L}\p{N}\n]+", " "), *SPELLINGS]:
+            out = f"regexp_replace({out}, '{pattern}', '{to.replace('$', chr(92))}', 'g')"
         return out
 
     digest = lambda x: f"sha256(trim(regexp_replace({x}, '[ \\n]+', ' ', 'g')))"

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarrylight.llm.common import same, slices, staged, table, text_hash, whole
+from quarrylight.llm.common import rows, same, slices, staged, table, text_hash, whole
 from quarrylight.llm.decontaminate import _small
 from quarrylight.session import ship
 
@@ -235,25 +235,26 @@ def report(docs: DataFrame) -> DataFrame:
     )
 
 
-def remove_lines(docs: DataFrame) -> DataFrame:
+def remove_lines(docs: DataFrame, least_left: float = 0.0) -> DataFrame:
     """``docs`` without the lines that go; documents of which no word is left go as well.
 
-    n_chars, where it is a column, counts the new text.
+    So do documents that keep less than the share ``least_left`` of their characters: what is
+    left of a near copy are fragments cut out of their context. n_chars, where it is a column,
+    counts the new text. Other columns stay, whatever their names.
     """
     gone = staged(repeated_lines(docs), "gone")
-    tagged = docs.withColumn("__ql_hash", text_hash(docs["text"]))
-    hit = gone.select(F.col("doc_id").alias("__ql_id"), F.col("hash").alias("__ql_of"), F.col("gone").alias("__ql_gone"))
-    joined = tagged.join(hit, tagged["doc_id"].eqNullSafe(hit["__ql_id"]) & (tagged["__ql_hash"] == hit["__ql_of"]), "left")
-    split = F.split("text", "\n")
-    left = F.filter(split, lambda x, i: ~F.array_contains("__ql_gone", i))
-    text = F.when(F.col("__ql_gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
-    joined = joined.withColumn("text", text)
-    joined = joined.filter(F.col("__ql_gone").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        counted = F.when(F.col("__ql_gone").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(kind))
-        joined = joined.withColumn("n_chars", counted)
-    return joined.select(*docs.columns)
+    base = rows(docs, text_hash(docs["text"]).alias("hash"))
+    joined = base.join(gone, F.col("row.doc_id").eqNullSafe(gone["doc_id"]) & (base["hash"] == gone["hash"]), "left")
+    before = F.col("row.text")
+    left = F.array_join(F.filter(F.split(before, "\n"), lambda x, i: ~F.array_contains("gone", i)), "\n")
+    cut = joined.select("row", F.col("gone").isNotNull().alias("cut"), F.when(F.col("gone").isNull(), before).otherwise(left).alias("text"))
+    enough = F.col("text").rlike(r"[^\x20\x09-\x0D]") & (F.length("text") >= least_left * F.length(before))
+    kept = cut.filter(~F.col("cut") | enough)
+    columns = {c: F.col("row").getField(c) for c in docs.columns} | {"text": F.col("text")}
+    if "n_chars" in columns:
+        counted = F.length("text").cast(docs.schema["n_chars"].dataType)
+        columns["n_chars"] = F.when(F.col("cut"), counted).otherwise(columns["n_chars"])
+    return kept.select(*[c.alias(name) for name, c in columns.items()])
 
 
 def query(spark, sf_dir: str) -> DataFrame:

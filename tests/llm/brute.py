@@ -110,9 +110,9 @@ def shingles(text, size=4):
     return frozenset(tuple(words[i : i + size]) for i in range(len(words) - size + 1))
 
 
-def components(texts, percent=85):
+def components(texts, percent=85, size=4):
     """The smallest index of each text's component."""
-    sets = [shingles(t) for t in texts]
+    sets = [shingles(t, size) for t in texts]
     label = list(range(len(texts)))
     for i, a in enumerate(sets):
         for j in range(i):

@@ -4,6 +4,7 @@ from collections import Counter
 import brute
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from quarrylight.llm import graph, jaccard_join, line_dedup, repeated_bytes
 
 
@@ -96,12 +97,50 @@ def test_jaccard_in_blocks_and_with_frequent_shingles(documents, near, monkeypat
     assert Counter(tuple(r) for r in got) == _expected(near)
 
 
-def test_one_of_each_group(documents, near):
+def _survivors(pairs, size, percent):
+    """doc_id of the documents that stay: all without words, and the first of each component."""
+    order = sorted(range(len(pairs)), key=lambda i: (pairs[i][0] is None, pairs[i][0] or 0))
+    label = _components([pairs[i] for i in order], size, percent)
+    return Counter(pairs[i][0] for at, i in enumerate(order) if not brute.shingles(pairs[i][1], size) or label[at] == at)
+
+
+@pytest.mark.parametrize("size, percent", [(4, 85), (5, 80)])
+def test_one_of_each_group(documents, near, size, percent):
     docs = documents(near)
-    kept = jaccard_join.keep_one(docs)
+    kept = jaccard_join.keep_one(docs, size, percent)
+    assert kept.schema == docs.schema
+    got = Counter(r["doc_id"] for r in kept.collect())
+    assert got == _survivors(near, size, percent) and sum(got.values()) < len(near)
+
+
+def test_one_of_equal_rows(spark, documents):
+    """Copies with one id, without ids, equal in all columns or in id and text alone."""
+    text = " ".join(f"w{i}" for i in range(30))
+    for doc_id in (None, 7):
+        kept = jaccard_join.keep_one(documents([(doc_id, text)] * 5 + [(9, "another text of some words")]), 5, 80)
+        assert sorted((r["doc_id"] or 0) for r in kept.collect()) == sorted([doc_id or 0, 9])
+    rows = [(1, text, "b", {"k": 2}), (1, text, "a", {"k": 1}), (1, text, "a", {"k": 1}), (2, None, "c", None), (2, None, "c", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `__ql_hash` string, hash map<string,int>")
+    kept = jaccard_join.keep_one(docs, 5, 80)
     assert kept.columns == docs.columns
-    want = Counter(i for (i, n, c), k in _expected(near).items() for _ in range(k) if n == 0 or i == c)
-    assert Counter(r["doc_id"] for r in kept.collect()) == want
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 2, 2]
+    assert jaccard_join.keep_one(docs.limit(0)).count() == 0
+
+
+def test_strongly_cut_documents_go(documents):
+    line = lambda k, n: " ".join(f"{k}{i}" for i in range(n))
+    pairs = [
+        (1, "\n".join([line("a", 12), line("b", 12), line("c", 12)])),
+        (2, "\n".join([line("a", 12), line("b", 12), line("d", 12)])),
+        (3, "\n".join([line("a", 12), line("e", 12), line("f", 12)])),
+        (4, None),
+    ]
+    docs = documents(pairs)
+    assert line_dedup.remove_lines(docs).count() == 4
+    kept = {r["doc_id"]: r["text"] for r in line_dedup.remove_lines(docs, 0.5).collect()}
+    assert kept == {1: pairs[0][1], 3: "\n".join([line("e", 12), line("f", 12)]), 4: None}
+    clash = docs.withColumn("__ql_hash", F.lit("mine"))
+    assert {r["__ql_hash"] for r in line_dedup.remove_lines(clash, 0.5).collect()} == {"mine"}
 
 
 def _components(pairs, size, percent):

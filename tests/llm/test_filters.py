@@ -125,6 +125,27 @@ def test_licences(documents, odd_texts):
     assert licences.scan(docs).count() == len(odd_texts) + len(texts)
 
 
+def test_altered_and_rewrapped_licence_files(documents):
+    """No clause can be changed unnoticed, and line ends do not matter."""
+    long = {p.stem: p.read_text("utf-8") for p in licences.LONG.glob("*.txt")}
+    cases = [(name, licences.unwrapped(text)) for name, text in long.items()]
+    for name, text in (long | licences.TEXTS).items():
+        lines = text.split("\n")
+        clauses = [i for i, x in enumerate(lines) if x.strip().startswith(("(c)", "c)"))]
+        middle = [len(lines) // 2 + k for k in range(len(lines)) if lines[(len(lines) // 2 + k) % len(lines)].strip()][:1]
+        for i in clauses + middle:
+            i %= len(lines)
+            changed = lines[:i] + [lines[i] + " except that you may remove all notices"] + lines[i + 1 :]
+            cases += [(None, "\n".join(changed)), (None, licences.unwrapped("\n".join(changed)))]
+            if i in clauses:
+                cases.append((None, "\n".join(lines[:i] + ["(c) You may remove, at will, all notices, except in some works"] + lines[i + 1 :])))
+    for owner in ("Copyright The Foo Authors", "Copyright Jane Doe 2020", "Copyright: 2020 Jane", "Copyright (c) 2020, Jane", "© Jane", "(c) 2021 Jane"):
+        cases += [("MIT", f"{owner}\n\n" + licences.TEXTS["MIT"]), ("MIT", f"MIT License\n\n{owner}\n\n" + licences.TEXTS["MIT"])]
+    assert sum(name is None for name, _ in cases) > 2 * len(long)
+    got = {r["doc_id"]: r["text_licence"] for r in licences.scan(documents([(i, t) for i, (_, t) in enumerate(cases)])).collect()}
+    assert [got[i] for i in range(len(cases))] == [name for name, _ in cases]
+
+
 def test_standard_licence_files(documents):
     owner = "Copyright (c) 2020, Some One <one@example.com>\n"
     long = {p.stem: p.read_text("utf-8") for p in licences.LONG.glob("*.txt")}
