@@ -1,10 +1,15 @@
 """From raw documents to packed sequences, in five stages.
 
 Each stage works on all rows that the one before kept. The first four return the columns
-of documents: quality rules drop the documents they reject; line dedup drops repeated lines
-from the texts, and documents of which nothing is left; the Jaccard join keeps the document
-with the smallest id of each group; decontamination drops documents that hold a benchmark
-window. The last one packs the tokens of what is left.
+of documents, more of them included: quality rules drop the documents they reject; line dedup
+drops repeated lines from the texts, and documents of which less than half is left, since
+the rest of a near copy is fragments; the Jaccard join keeps one row of each group of near
+or equal texts, that with the smallest id; decontamination drops documents that hold a
+benchmark window. The last one packs the tokens of what is left.
+
+Null and empty texts and texts without words fail the quality rules. A null id ranks last
+where ids decide. Equal rows are one row after the join. Very long texts are handled whole.
+An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -16,6 +21,8 @@ from quarrylight.llm.common import staged, table
 
 #: Near-duplicates in training data: shingles of five words, similar from 80 percent on.
 SHINGLE, PERCENT = 5, 80
+#: Share of its characters that a document keeps in line dedup, at least.
+LEAST_LEFT = 0.5
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,7 +30,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def deduplicated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return line_dedup.remove_lines(docs)
+    return line_dedup.remove_lines(docs, LEAST_LEFT)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
