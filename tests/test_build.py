@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -41,6 +43,25 @@ def test_stages_run_once(spark, built):
     assert 0 < spark.read.parquet(f"{out}/explained").first()["explained_ratio"] <= 1.0
 
 
+def test_other_settings_and_texts_are_built_anew(spark, built, tmp_path):
+    corpus, _, small, _ = built
+    out = str(tmp_path / "again")
+    assert build.staged_build(spark, corpus, out, small) == ["features", "vectors", "clusters"]
+    assert build.staged_build(spark, corpus.repartition(5), out, small) == []
+    other = replace(small, clusters=2)
+    assert build.staged_build(spark, corpus, out, other) == ["clusters"]
+    assert spark.read.parquet(f"{out}/centers").count() == 2
+    assert build.staged_build(spark, corpus, out, other) == []
+    # a stage that fails half-way is not taken for the one before it, nor for its own
+    first = small.k_grid
+    with pytest.raises(Exception):
+        build.staged_build(spark, corpus, out, replace(other, k_grid=("none",)))
+    assert build.staged_build(spark, corpus, out, replace(other, k_grid=first)) == ["clusters"]
+    changed = corpus.withColumn("text", F.when(F.col("doc_id") == 3, F.lit("rocket orbit")).otherwise(F.col("text")))
+    assert build.corpus_digest(changed) != build.corpus_digest(corpus)
+    assert build.corpus_digest(corpus.union(corpus.limit(1))) != build.corpus_digest(corpus)
+
+
 def test_answers_end_to_end(spark, built):
     _, out, _, _ = built
     encoder, router = build.load_encoder(spark, out), build.load_router(spark, out)
