@@ -218,14 +218,18 @@ def lsa_embed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lsa_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whether each component is what it should be: σ = |X v|, VᵀV = I, XᵀX v near σ² v."""
+    """Whether each component is what it should be: σ = |X v|, VᵀV = I, XᵀX v near σ² v.
+
+    Components beyond the rank of the matrix are zero.
+    """
     model, weighed = _weighed(spark, sf_dir)
     weighed = weighed.persist()
     lsa = reduction.fit_lsa(weighed, model.width)
+    tiny = 1e-9 * float(lsa.singular_values.max(initial=0.0))
     found = reduction.component_quality(weighed, lsa).select(
         "component",
-        (F.abs(F.col("singular_value") - F.col("image_length")) <= 1e-9 * F.col("singular_value")).alias("length_ok"),
-        (F.col("deviation") <= 1e-9).alias("orthonormal"),
+        (F.abs(F.col("singular_value") - F.col("image_length")) <= tiny).alias("length_ok"),
+        ((F.col("deviation") <= 1e-9) | (F.col("singular_value") <= tiny)).alias("orthonormal"),
         (F.col("residual") <= LSA_RESIDUAL).alias("residual_ok"),
     )
     return _tidy(found)
