@@ -3,12 +3,14 @@
 Every page becomes one WARC record. Its exact header lies in one table, its payload in
 another, once for each SHA-256, which is recomputed and compared when payloads are read.
 Of equal payloads the smallest page_id is the response and the others are revisits without
-a body; joins by digest give every record and every payload back. Records can also be
-written as plain ``.warc`` text files.
+a body; a join by digest gives every record back, byte for byte, to be written as gzipped
+WARC files. These are read again record by record, by the lengths their headers state.
 
 Payloads are cut to one per digest inside the tasks before any shuffle, and headers are
-counted by page before they are joined, so a payload in a third of all rows meets no single
-task. Null html is the empty payload, which is deduplicated like any other from
+counted by page before they are joined; revisits are written without a join and find the
+size and digest of their response by one that carries no payload. A file holds about
+``FILE_BYTES`` of text, a longer record alone; a task that reads holds the compressed files of
+one input partition. Null html is the empty payload, which is deduplicated like any other from
 ``min_bytes`` = 0 on. Null page_ids rank last; among equal page_ids the smaller url is the
 response, and repeated rows give one response and revisits of it. An empty table gives an
 empty archive. Extra columns are not read.
@@ -16,10 +18,16 @@ empty archive. Extra columns are not read.
 
 from __future__ import annotations
 
+import gzip
+import io
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarrylight.functions.batches import map_batches
 from quarrylight.llm.common import table
 from quarrylight.session import scratch_path
 
@@ -27,6 +35,12 @@ VERSION = "WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Written where a page has no capture time of its own.
 DATE = "1970-01-01T00:00:00Z"
+#: Text of a WARC file, and of the records that a task returns at a time.
+FILE_BYTES = 16 << 20
+#: About what a header takes.
+HEADER_BYTES = 400
+#: The first bytes of a gzipped file.
+GZIP = b"\x1f\x8b"
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 
@@ -104,52 +118,113 @@ def write_archive(pages: DataFrame, path: str, min_bytes: int = 0, date: str = D
     payloads(pages).write.parquet(f"{path}/payloads")
 
 
-def read_headers(spark, path: str, id_type: T.DataType) -> DataFrame:
-    """page_id, record_type, refers_to and the payload's names, parsed from the headers."""
-    stored = spark.read.schema("header string, digest string").parquet(f"{path}/headers")
-    value = lambda name, rest=r"([^\r]*)": F.regexp_extract("header", rf"\r\n{name}: {rest}\r\n", 1)
-    page = lambda name: F.url_decode(F.nullif(value(name, r"<urn:x-page:([^:\r]*):\d+>"), F.lit(""))).cast(id_type)
-    return stored.select(
-        page("WARC-Record-ID").alias("page_id"),
-        value("WARC-Type").alias("record_type"),
-        page("WARC-Refers-To").alias("refers_to"),
-        value("WARC-Payload-Digest", r"sha1:([A-Z2-7]*)").alias("named_digest"),
-        "header",
-        "digest",
-    )
-
-
 def read_payloads(spark, path: str) -> DataFrame:
-    """digest, payload, its size and SHA-1; a payload that is not what its digest says fails the job."""
+    """digest and payload; a payload that is not what its digest says fails the job."""
     stored = spark.read.schema("digest string, payload binary").parquet(f"{path}/payloads")
     broken = F.raise_error(F.concat(F.lit("damaged payload "), F.col("digest")))
     payload = F.when(F.sha2("payload", 256) == F.col("digest"), F.col("payload")).otherwise(broken.cast("binary"))
-    return stored.select("digest", payload.alias("payload")).select(
-        "digest", "payload", F.length("payload").cast("long").alias("payload_bytes"), base32(F.sha1("payload")).alias("payload_digest")
-    )
+    return stored.select("digest", payload.alias("payload"))
 
 
 def records(spark, path: str) -> DataFrame:
     """Every original record as bytes: its header, and its payload unless it is a revisit."""
     stored = spark.read.schema("header string, digest string").parquet(f"{path}/headers")
-    body = F.when(F.col("header").contains("\r\nWARC-Type: revisit\r\n"), F.lit("").cast("binary")).otherwise(F.col("payload"))
-    joined = stored.join(read_payloads(spark, path).select("digest", "payload"), "digest")
-    return joined.select(F.concat(F.col("header").cast("binary"), body).alias("record"))
+    revisit = F.col("header").contains("\r\nWARC-Type: revisit\r\n")
+    full = stored.filter(~revisit).join(read_payloads(spark, path), "digest")
+    return (
+        full.select(F.concat(F.col("header").cast("binary"), "payload").alias("record"))
+        .unionByName(stored.filter(revisit).select(F.col("header").cast("binary").alias("record")))
+    )
 
 
-def write_warc_files(spark, path: str, to: str, records_per_file: int = 10_000) -> None:
-    """The archive as plain WARC files: two line ends close each record."""
+def write_warc_files(spark, path: str, to: str, records_per_file: int | None = None) -> None:
+    """The archive as gzipped WARC files of about ``FILE_BYTES``: two line ends close each record."""
+    if records_per_file is None:
+        mean = read_payloads(spark, path).agg(F.avg(F.length("payload"))).first()[0] or 0
+        records_per_file = max(1, int(FILE_BYTES / (HEADER_BYTES + mean)))
     lines = records(spark, path).select(F.col("record").cast("string").alias("value"))
-    lines.write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", records_per_file).text(to)
+    options = {"lineSep": "\r\n\r\n", "compression": "gzip", "maxRecordsPerFile": records_per_file}
+    lines.write.options(**options).text(to)
+
+
+def parse(content: bytes) -> Iterator[tuple[bytes, bytes]]:
+    """(header, body) of each record of a WARC file, gzipped or not, read in order by the lengths it states."""
+    plain = io.BytesIO(content)
+    file = gzip.GzipFile(fileobj=plain) if content[:2] == GZIP else plain
+    while line := file.readline():
+        if not line.startswith(b"WARC/"):
+            raise ValueError(f"damaged record: {line[:40]!r}")
+        header, length = [line], None
+        while (line := file.readline()).strip():
+            header.append(line)
+            name, _, value = line.partition(b":")
+            if name.strip().lower() == b"content-length":
+                length = int(value)
+        body = file.read(length or 0)
+        if length is None or len(body) < length or file.read(4) != b"\r\n\r\n":
+            raise ValueError(f"damaged record: {header[0]!r} without its {length} bytes")
+        yield b"".join(header) + line, body
+
+
+def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The records of files, as many at a time as fill ``FILE_BYTES``."""
+    found, held = [], 0
+
+    def batch() -> pa.RecordBatch:
+        columns = [pa.array([h.decode() for h, _ in found], pa.string()), pa.array([b for _, b in found], pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, names=["header", "body"])
+
+    for files in batches:
+        for content in files.column(0):
+            for record in parse(content.as_py()):
+                found.append(record)
+                held += len(record[0]) + len(record[1])
+                if held >= FILE_BYTES:
+                    yield batch()
+                    found, held = [], 0
+    if found:
+        yield batch()
+
+
+def read_warc_files(spark, folder: str) -> DataFrame:
+    """header and body of each record of the WARC files of a folder."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).select("content")
+    return map_batches(files, _parsed, "header string, body binary")
+
+
+def described(found: DataFrame, id_type: T.DataType) -> DataFrame:
+    """What the headers of records say, and the size and SHA-1 of the bodies beside them."""
+    value = lambda name, rest=r"([^\r]*)": F.regexp_extract("header", rf"\r\n{name}: {rest}\r\n", 1)
+    page = lambda name: F.url_decode(F.nullif(value(name, r"<urn:x-page:([^:\r]*):\d+>"), F.lit(""))).cast(id_type)
+    return found.select(
+        page("WARC-Record-ID").alias("page_id"),
+        value("WARC-Type").alias("record_type"),
+        page("WARC-Refers-To").alias("refers_to"),
+        value("WARC-Record-ID").alias("record_id"),
+        value("WARC-Refers-To").alias("target_id"),
+        value("WARC-Payload-Digest", r"sha1:([A-Z2-7]*)").alias("named_digest"),
+        F.length("body").cast("long").alias("body_bytes"),
+        base32(F.sha1("body")).alias("body_digest"),
+    )
 
 
-def report(spark, path: str, id_type: T.DataType) -> DataFrame:
-    """Per record, what its header and its stored payload say. Payloads are not joined, only their digests."""
-    known = read_payloads(spark, path).select("digest", "payload_bytes", "payload_digest")
-    parsed = read_headers(spark, path, id_type)
-    return parsed.join(known, "digest").select(
+def report(found: DataFrame, id_type: T.DataType) -> DataFrame:
+    """Per record read, the size and digest of its full payload: its own body's, or that of the response it revisits.
+
+    Revisits find their response by record and digest, since page_ids may repeat; bodies
+    are not carried along. One without a response has nulls and is not verified.
+    """
+    known = described(found, id_type)
+    responses = known.filter("record_type = 'response'")
+    bodies = responses.select(
+        F.col("record_id").alias("target_id"), F.col("body_digest").alias("named_digest"),
+        F.col("body_bytes").alias("payload_bytes"), F.col("body_digest").alias("payload_digest"),
+    )
+    own = responses.withColumns({"payload_bytes": F.col("body_bytes"), "payload_digest": F.col("body_digest")})
+    others = known.filter("record_type = 'revisit'").join(bodies, ["target_id", "named_digest"], "left")
+    return own.unionByName(others).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to",
-        (F.col("named_digest") == F.col("payload_digest")).alias("verified"),
+        F.coalesce(F.col("named_digest") == F.col("payload_digest"), F.lit(False)).alias("verified"),
     )
 
 
@@ -157,7 +232,8 @@ def query(spark, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     path = scratch_path(spark, "warc")
     write_archive(pages, path)
-    return report(spark, path, pages.schema["page_id"].dataType)
+    write_warc_files(spark, path, f"{path}/warc")
+    return report(read_warc_files(spark, f"{path}/warc"), pages.schema["page_id"].dataType)
 
 
 #: Base32 of a SHA-1 without such a function: 32 places of five bits.

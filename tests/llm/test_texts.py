@@ -1,4 +1,5 @@
 import base64
+import gzip
 import hashlib
 import random
 import zlib
@@ -29,7 +30,13 @@ def test_warc(spark, min_bytes):
     pages = _pages(spark, [(*r, "x", 1) for r in rows])
     path = scratch_path(spark, "warc-test")
     warc_store.write_archive(pages, path, min_bytes)
-    got = warc_store.report(spark, path, pages.schema["page_id"].dataType).collect()
+    to = scratch_path(spark, "warc-files")
+    warc_store.write_warc_files(spark, path, to, records_per_file=3)
+    read = warc_store.read_warc_files(spark, to)
+    got = warc_store.report(read, pages.schema["page_id"].dataType).collect()
+    assert Counter(bytes(r["header"].encode() + r["body"]) for r in read.collect()) == Counter(
+        bytes(r["record"]) for r in warc_store.records(spark, path).collect()
+    )
     assert len(got) == len(rows) and all(r["verified"] for r in got)
     groups = defaultdict(list)
     for page, _, html in rows:
@@ -46,11 +53,9 @@ def test_warc(spark, min_bytes):
     stored = spark.read.parquet(f"{path}/payloads")
     assert stored.count() == len(groups)
 
-    to = scratch_path(spark, "warc-files")
-    warc_store.write_warc_files(spark, path, to, records_per_file=3)
     lengths = Counter()
     for r in spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(to).select("content").collect():
-        rest = bytes(r["content"])
+        rest = gzip.decompress(r["content"])
         while rest:
             head, rest = rest.split(b"\r\n\r\n", 1)
             fields = dict(x.split(b": ", 1) for x in head.split(b"\r\n")[1:])
@@ -76,7 +81,19 @@ def test_empty_archive(spark):
     path = scratch_path(spark, "warc-empty")
     pages = _pages(spark, [])
     warc_store.write_archive(pages, path)
-    assert warc_store.report(spark, path, pages.schema["page_id"].dataType).count() == 0
+    warc_store.write_warc_files(spark, path, f"{path}/warc")
+    assert warc_store.report(warc_store.read_warc_files(spark, f"{path}/warc"), pages.schema["page_id"].dataType).count() == 0
+
+
+def test_parse_of_foreign_and_damaged_records():
+    one = b"WARC/1.0\r\ncontent-length: 6\r\nX: y\r\n\r\na\r\n\r\nb\r\n\r\n"
+    two = b"WARC/1.1\r\nContent-Length: 0\r\n\r\n\r\n\r\n"
+    want = [(one[: one.index(b"a\r")], b"a\r\n\r\nb"), (two[:-4], b"")]
+    assert list(warc_store.parse(one + two)) == want
+    assert list(warc_store.parse(gzip.compress(one) + gzip.compress(two))) == want
+    for broken in (one[:-6], one[:-4] + two, b"x\r\n", b"WARC/1.1\r\n\r\n\r\n\r\n", one[:-1]):
+        with pytest.raises(ValueError, match="damaged record"):
+            list(warc_store.parse(broken))
 
 
 # -- pseudonyms -------------------------------------------------------------------
