@@ -110,21 +110,45 @@ def test_zero_vector_is_stored_and_never_matches(spark):
     assert [(g[1], g[3]) for g in got] == [(False, -1.0), (False, 0.0)]
 
 
-def test_stream_equals_simulation_over_micro_batches(spark, tmp_path):
-    x, cluster = unit(90), np.arange(90) % 2
-    source, out = tmp_path / "in", tmp_path / "out"
-    log = log_frame(spark, x, cluster)
-    for part in range(3):
-        log.filter(F.floor(F.col("query_id") / 30) == part).coalesce(1).write.mode("append").parquet(str(source))
-    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(str(source))
+def drain(df, out):
     query = (
-        reuse_stream.stream_replay(stream, 0.9, 5)
-        .writeStream.format("parquet").option("path", str(out)).option("checkpointLocation", str(tmp_path / "state"))
+        df.writeStream.format("parquet").option("path", str(out / "data")).option("checkpointLocation", str(out / "state"))
         .trigger(availableNow=True).start()
     )
     query.awaitTermination()
-    assert len(query.recentProgress) >= 3
-    same(rows_of(spark.read.parquet(str(out))), simulate(x, cluster, 0.9, 5)[0])
+    return query
+
+
+@pytest.mark.parametrize("piece_rows, cap", [(100, 5), (7, 3)])
+def test_stream_equals_simulation_over_micro_batches(spark, tmp_path, piece_rows, cap):
+    x, cluster = unit(120), np.arange(120) % 2
+    source = tmp_path / "in"
+    log = log_frame(spark, x, cluster)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        for parts in ((0, 1), (2, 3)):  # the second run goes on from the first one's checkpoint
+            for part in parts:
+                log.filter(F.floor(F.col("query_id") / 30) == part).coalesce(1).write.mode("append").parquet(str(source))
+            stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(str(source))
+            query = drain(reuse_stream.stream_replay(stream, 0.9, cap, piece_rows), tmp_path)
+            assert len(query.recentProgress) >= 2
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4096")
+    same(rows_of(spark.read.parquet(str(tmp_path / "data"))), simulate(x, cluster, 0.9, cap)[0])
+
+
+def test_stream_of_text_ids(spark, tmp_path):
+    x, cluster = unit(90), np.arange(90) % 2
+    named = log_frame(spark, x, cluster).withColumn("query_id", F.format_string("turn:%03d", "query_id"))
+    named = named.withColumn("arrival", F.timestamp_seconds(F.col("arrival") + 1_700_000_000))
+    named.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(named.schema).parquet(str(tmp_path / "in"))
+    drain(reuse_stream.stream_replay(stream, 0.9, 4, piece_rows=20), tmp_path)
+    got = spark.read.parquet(str(tmp_path / "data"))
+    want = replay.replay(named, 0.9, 4)
+    names = ["query_id", "cluster", "hit", "source_id", "evicted_id"]
+    assert got.schema == want.schema
+    assert sorted(map(str, got.select(names).collect())) == sorted(map(str, want.select(names).collect()))
 
 
 def lookup_rows(df):
