@@ -114,8 +114,8 @@ def payloads(pages: DataFrame) -> DataFrame:
 
 def write_archive(pages: DataFrame, path: str, min_bytes: int = 0, date: str = DATE) -> None:
     """Two tables below ``path``: headers and payloads."""
-    headers(pages, min_bytes, date).write.parquet(f"{path}/headers")
-    payloads(pages).write.parquet(f"{path}/payloads")
+    headers(pages, min_bytes, date).write.option("compression", "zstd").parquet(f"{path}/headers")
+    payloads(pages).write.option("compression", "zstd").parquet(f"{path}/payloads")
 
 
 def read_payloads(spark, path: str) -> DataFrame:
