@@ -595,7 +595,7 @@ def answer_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = _table(spark, sf_dir, "embeddings").schema
-    source = spark.readStream.schema(schema).option("pathGlobFilter", "embeddings.parquet").option("maxBytesPerTrigger", "1g").parquet(sf_dir)
+    source = spark.readStream.schema(schema).option("pathGlobFilter", "embeddings.parquet").option("maxBytesPerTrigger", 1 << 30).parquet(sf_dir)
     return source.select(F.col("vec_id").alias("query_id"), F.col("vec_id").alias("arrival"), "label", "embedding")
 
 
