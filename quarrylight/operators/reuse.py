@@ -3,7 +3,7 @@
 Entries live in buckets, one per dominant cluster, and a bucket is cut to ``cap``
 rows. The whole table is therefore at most clusters × cap rows, which is what makes
 sending it to the tasks safe; each lookup is then a map over the incoming queries
-without any shuffle. A table that was not cut is searched in parts.
+without any shuffle. A table that was not cut is joined in parts.
 
 Entry columns: entry_id, query, vector, membership, cluster, result, arrival,
 hit_count and position (place within the bucket, the first one wins ties).
@@ -22,6 +22,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions.batches import add_columns
 from ..functions.vectors import SIMILARITY_DIGITS, as_vector, to_matrix
+from ..session import scratch_path, ship
 from ..sources.schemas import ENTRIES
 from .diagnostics import top_memberships
 
@@ -41,6 +42,8 @@ SWEEP_LAST = "strict: nearly exact-match"
 NOTHING = -1.0
 # Largest part of the entry table sent to the tasks, in bytes.
 ENTRY_BLOCK_BYTES = 64 << 20
+# Similarities that a task of a join of parts computes at a time.
+_CELLS = 4 << 20
 
 
 def is_blank(query: Column) -> Column:
@@ -149,6 +152,76 @@ def _search_part(queries: DataFrame, part: pa.Table, exclude_self: bool, fields:
     return add_columns(queries, ["query_id", "cluster", "vector", *so_far], fields, find)
 
 
+def _join_parts(queries: DataFrame, stored: DataFrame, exclude_self: bool, fields: list[T.StructField]) -> DataFrame:
+    """Best entry of the query's bucket, from a join of parts of the table with blocks of queries.
+
+    Every bucket has as many parts and blocks as its own size asks for, so a hot one is
+    spread and a small one is not multiplied. The best entries of the parts are merged by
+    a maximum, which starts before the shuffle.
+    """
+    spark = queries.sparkSession
+    path = scratch_path(spark, "lookups")
+    # Numbered rows are kept in a table, so that a lost task finds them under the same numbers.
+    rows = queries.select(F.struct(*[queries[c] for c in queries.columns]).alias("row"), F.monotonically_increasing_id().alias("at"))
+    rows.write.parquet(path)
+    kept = spark.read.schema(rows.schema).parquet(path)
+    asked = kept.select("at", "row.query_id", F.col("row.cluster").cast("bigint").alias("cluster"), "row.vector")
+    stored = stored.withColumn("cluster", F.col("cluster").cast("bigint"))
+
+    def pieces(df: DataFrame, name: str) -> DataFrame:
+        size = F.sum(8 * F.size("vector") + 8)
+        return df.groupBy("cluster").agg(F.ceil(size / ENTRY_BLOCK_BYTES).cast("int").alias(name))
+
+    def places(name: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(name) - 1))
+
+    split = pieces(stored, "parts").join(pieces(asked, "blocks"), "cluster")
+    ours = asked.join(split, "cluster").select(
+        "at", "query_id", "vector", "cluster", F.pmod("at", "blocks").cast("int").alias("block"), places("parts").alias("part")
+    )
+    theirs = stored.join(split, "cluster").select(
+        "entry_id", "position", "vector", "cluster", F.pmod(F.xxhash64("entry_id"), "parts").cast("int").alias("part"),
+        places("blocks").alias("block"),
+    )
+    found_type = T.StructType([T.StructField("at", T.LongType()), *fields])
+    kinds = [to_arrow_type(f.dataType) for f in found_type]
+
+    def best(mine: pa.Table, part: pa.Table) -> pa.Table:
+        found: list[list[pa.Array]] = [[] for _ in kinds]
+        if mine.num_rows and part.num_rows:
+            part = part.take(pa.array(np.argsort(part.column("position").to_numpy(), kind="stable")))
+            queried, entry_ids = (t.column(c).to_numpy() for t, c in ((mine, "query_id"), (part, "entry_id")))
+            rows, vectors = (to_matrix(t.column("vector").combine_chunks()) for t in (mine, part))
+            step = max(1, _CELLS // part.num_rows)
+            for start in range(0, mine.num_rows, step):
+                sims = np.round(rows[start : start + step] @ vectors.T, SIMILARITY_DIGITS)
+                if exclude_self:
+                    sims[queried[start : start + step, None] == entry_ids[None, :]] = -np.inf
+                top = sims.argmax(axis=1)
+                value = sims[np.arange(len(top)), top]
+                hits = np.flatnonzero(value > NOTHING)
+                at, chosen = pa.array(start + hits), pa.array(top[hits])
+                columns = mine.column("at").take(at), pa.array(value[hits]), part.column("position").take(chosen), part.column("entry_id").take(chosen)
+                for held, column in zip(found, columns):
+                    held.extend(column.chunks if isinstance(column, pa.ChunkedArray) else [column])
+        columns = [pa.chunked_array(held, kind) for held, kind in zip(found, kinds)]
+        return pa.Table.from_arrays(columns, names=found_type.fieldNames())
+
+    ship(spark)
+    key = ["cluster", "part", "block"]
+    pairs = ours.groupBy(*key).cogroup(theirs.groupBy(*key)).applyInArrow(best, found_type)
+    # The lowest place wins among equal similarities.
+    merged = pairs.groupBy("at").agg(
+        F.max(F.struct("best_similarity", (-F.col("best_position")).alias("place"), "best_id")).alias("best")
+    )
+    return kept.join(merged, "at", "left").select(
+        *[F.col("row").getField(c).alias(c) for c in queries.columns],
+        F.coalesce("best.best_similarity", F.lit(NOTHING)).alias("best_similarity"),
+        (-F.col("best.place")).alias("best_position"),
+        F.col("best.best_id").alias("best_id"),
+    )
+
+
 def best_entries(queries: DataFrame, entries: DataFrame, exclude_self: bool = False) -> DataFrame:
     """Add the most similar entry of the bucket: best_similarity, best_position, best_id.
 
@@ -161,21 +234,24 @@ def best_entries(queries: DataFrame, entries: DataFrame, exclude_self: bool = Fa
 def _best_entries(queries: DataFrame, entries: DataFrame, exclude_self: bool) -> tuple[DataFrame, bool]:
     """The lookups, and whether the entries, texts included, are proven small.
 
-    A table of several parts makes a chain of maps over the same rows, each of which
-    carries the best entry so far on. Rows are never grouped or joined, so repeated and
-    null query ids, and streams, are looked up the same way as anything else.
+    A small table is sent to the tasks. A larger one is joined in parts, and no entry
+    passes the driver. Streams cannot be grouped again, so for them a table of several parts makes a chain
+    of maps over the same rows, each of which carries the best entry so far on. Repeated
+    and null query ids are looked up the same way as anything else.
     """
-    stored = entries.select(
-        "entry_id", "cluster", "position", as_vector("vector").alias("vector"), F.length("query").alias("chars")
-    ).persist()
+    columns = ["entry_id", "cluster", "position", as_vector("vector").alias("vector")]
+    plain = entries.select(*columns)
+    stored = entries.select(*columns, F.length("query").alias("chars")).persist()
     found = queries.withColumn("vector", as_vector("vector"))
     fields = _found_fields(entries)
     try:
         size = stored.agg(F.sum(8 * F.size("vector") + 8 + F.coalesce("chars", F.lit(0)))).first()[0] or 0
         parts = max(1, math.ceil(size / ENTRY_BLOCK_BYTES))
+        if parts > 1 and not queries.isStreaming:
+            return _join_parts(found, plain, exclude_self, fields), False
         for number in range(parts):
             part = stored if parts == 1 else stored.filter(F.pmod(F.xxhash64("entry_id"), F.lit(parts)) == number)
-            found = _search_part(found, part.toArrow(), exclude_self, fields)
+            found = _search_part(found, part.drop("chars").toArrow(), exclude_self, fields)
     finally:
         stored.unpersist()
     return found, parts == 1

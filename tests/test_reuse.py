@@ -182,6 +182,29 @@ def test_lookup_in_parts_equals_lookup_at_once(spark, monkeypatch):
     assert whole == parts and any(r["hit"] for r in whole)
 
 
+@pytest.mark.parametrize("exclude_self", [False, True])
+def test_joined_lookup_of_a_hot_bucket(spark, monkeypatch, exclude_self):
+    """Most rows in one bucket, many equal entries, a null and a foreign bucket: like one plain search."""
+    x = np.repeat(unit(60), 3, axis=0)
+    cluster = np.where(np.arange(180) % 10 == 0, 1, 0)
+    entries, asked = entries_frame(spark, x, cluster), log_frame(spark, x[::-1].copy(), np.where(np.arange(180) % 30 == 0, 8, 0))
+    asked = asked.withColumn("cluster", F.when(F.col("query_id") != 7, F.col("cluster")).cast("bigint")).withColumn("at", F.lit("kept"))
+    monkeypatch.setattr(reuse, "ENTRY_BLOCK_BYTES", 700)
+    monkeypatch.setattr(reuse, "_CELLS", 50)
+    found = reuse.best_entries(asked, entries, exclude_self)
+    assert not found.isStreaming
+    places = {r["entry_id"]: r["position"] for r in entries.collect()}
+    got = {r["query_id"]: (r["best_similarity"], r["best_position"], r["best_id"], r["at"]) for r in found.collect()}
+    assert len(got) == 180
+    for i, vector in enumerate(x[::-1]):
+        here = [j for j in range(180) if cluster[j] == 0] if i % 30 and i != 7 else []
+        sims = {j: float(np.round(x[j] @ vector, 10)) for j in here if not (exclude_self and j == i)}
+        best = max(sims.values(), default=-1.0)
+        source = min((j for j in sims if sims[j] == best), key=places.get, default=None)
+        assert got[i][1:] == (places.get(source), source, "kept")
+        assert abs(got[i][0] - best) < 2e-10
+
+
 _LOOKED_UP = ("query_id", "cluster", "hit", "matched_id", "similarity")
 
 
