@@ -15,8 +15,8 @@ from ..sources import corpus, vector_table
 from ..streaming import reuse_stream
 from . import answer, build, sweeps
 from .oracle import (
-    BUILD_BOUNDARY, BUILD_CLUSTERS, CAP, CAPPED_FEATURES, DIGITS, FUZZINESS, LSA_RESIDUAL, PROFILE_M, REPLAY_CAP, SEED_CAP, SEEDS, SWEEP_STEPS,
-    THETA, THETA_GRID, TURN_THETA,
+    BUILD_BOUNDARY, BUILD_CLUSTERS, CAP, CAPPED_FEATURES, DIGITS, FUZZINESS, KMEANS_STARTS, LSA_RESIDUAL, PROFILE_M, REPLAY_CAP, SEED_CAP, SEEDS,
+    SWEEP_STEPS, THETA, THETA_GRID, TURN_THETA,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -422,6 +422,43 @@ def kmeans_restarts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tidy(spark.createDataFrame([(f.seed, f.inertia) for f in fits], "seed int, inertia double"))
 
 
+def kmeans_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two steps side by side from the rows with the lowest and with the highest ids."""
+    rows = _vectors(spark, sf_dir).persist()
+    low, high = (
+        np.array([r["vector"] for r in rows.orderBy(order).limit(KMEANS_STARTS).collect()])
+        for order in (F.asc("id"), F.desc("id"))
+    )
+    found = [
+        (i, cluster, [float(x) for x in center], inertia)
+        for i, (centers, inertia, _) in enumerate(kmeans.lloyd(rows, [low, high], max_iter=2, tol=0.0))
+        for cluster, center in enumerate(centers)
+    ]
+    rows.unpersist()
+    table = spark.createDataFrame(found, "fit int, cluster int, center array<double>, inertia double")
+    return _tidy(fuzzy.flatten(table, ["fit", "cluster", "inertia"], "center", ("axis", "value")))
+
+
+def pca_axes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether each axis is what it should be, and the variance of all of them."""
+    rows = _vectors(spark, sf_dir).persist()
+    model = reduction.fit_pca(rows, len(rows.first()["vector"]))
+    variances, residuals, inner = reduction.axis_quality(rows, model)
+    rows.unpersist()
+    tiny = 1e-9 * float(variances.max(initial=0.0))
+    total = float(variances.sum())
+    found = [
+        (
+            i, bool(residuals[i] <= tiny), bool(np.abs(inner[i] - np.eye(len(inner))[i]).max() <= 1e-9),
+            bool(i == 0 or variances[i] <= variances[i - 1] + tiny),
+            bool(abs(model.explained[i] * total - variances[i]) <= tiny), total,
+        )
+        for i in range(len(variances))
+    ]
+    schema = "axis int, eigen_ok boolean, orthonormal boolean, descending boolean, share_ok boolean, total_variance double"
+    return _tidy(spark.createDataFrame(found, schema))
+
+
 def k_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     sweep = sweeps.k_sweep(_reduced(spark, sf_dir))
     return _tidy(sweep.drop("elapsed_s"))
@@ -658,7 +695,7 @@ QUERIES: dict[str, Query] = {
         vector_save_load, retrieve_formatted, fuzzy_membership, fuzzy_membership_query, fuzzy_step,
         fuzzy_objective, fuzzy_fit_trace, distance_seeding, hard_assignment, certainty_metrics,
         row_sample, silhouette_exact, cluster_profile_hard, cluster_summary, cluster_profile_soft,
-        cluster_report, cluster_label_table, boundary_docs, pca_reduce, kmeans_restarts, k_sweep, k_sweep_steps,
+        cluster_report, cluster_label_table, boundary_docs, pca_reduce, pca_axes, kmeans_restarts, kmeans_steps, k_sweep, k_sweep_steps,
         fuzziness_sweep, fuzziness_sweep_steps, pca_norms, answer_turns, reuse_seed, reuse_lookup, threshold_sweep, reuse_stats, bucket_sizes,
         reuse_flush, hit_evaluation, bucket_compaction, membership_top5, cluster_label_lookup,
         blank_queries, query_replay, replay_entries, answer_queries, stream_replay, stream_lookup,

