@@ -16,7 +16,8 @@ who has the key can invert them.
 - E-mail addresses keep their domain; letters and digits of the name move in their class.
 
 All of it is a map over rows: nothing is shuffled. Null text stays null, empty text stays
-empty, repeated rows are replaced alike, and all other columns pass through unchanged.
+empty, an empty table stays empty, repeated rows are replaced alike, and all other columns
+pass through unchanged. A task holds one text with its matches, however long.
 """
 
 from __future__ import annotations
@@ -26,7 +27,8 @@ from pyspark.sql import functions as F
 
 from quarrylight.llm.common import rows, table
 
-KEY = "quarrylight"
+#: The key of the registered query, whose pseudonyms are for comparison only.
+TEST_KEY = "quarrylight"
 ROUNDS = 8
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 #: Fixed formats, in order of precedence.
@@ -286,8 +288,13 @@ def _replaced(kind: Column, hit: Column, numbers: Column, key: str) -> Column:
     return new
 
 
-def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
-    """struct column ``row`` of the input and, beside it, the new text and a count per kind."""
+def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
+    """struct column ``row`` of the input and, beside it, the new text and a count per kind.
+
+    Whoever has the key can compute the pseudonyms back; keep it out of the code.
+    """
+    if not key:
+        raise ValueError("a key is needed")
     text = F.col("text")
     base = rows(docs, docs["text"].cast("string").alias("text"))
     hits = F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, F.lit(_ANY), F.lit(0)))
@@ -306,7 +313,7 @@ def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
     return found.select("row", F.when(F.size("hits") > 0, joined).otherwise(text).alias("text"), *counts)
 
 
-def replace_text(docs: DataFrame, key: str = KEY) -> DataFrame:
+def replace_text(docs: DataFrame, key: str) -> DataFrame:
     """``docs`` with the text replaced and all other columns as they were."""
     new = pseudonymise(docs, key)
     return new.select(*[F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns])
@@ -314,4 +321,4 @@ def replace_text(docs: DataFrame, key: str = KEY) -> DataFrame:
 
 def query(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pseudonymise(docs).select("row.doc_id", "text", *[f"n_{kind}" for kind in PATTERNS])
+    return pseudonymise(docs, TEST_KEY).select("row.doc_id", "text", *[f"n_{kind}" for kind in PATTERNS])

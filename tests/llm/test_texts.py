@@ -99,7 +99,7 @@ def test_parse_of_foreign_and_damaged_records():
 # -- pseudonyms -------------------------------------------------------------------
 
 
-def _mix(kind, round_, value, key=pseudonyms.KEY):
+def _mix(kind, round_, value, key=pseudonyms.TEST_KEY):
     return int(hashlib.sha256(f"{key}|{kind}|{round_}|{value}".encode()).hexdigest()[:15], 16)
 
 
@@ -139,7 +139,7 @@ def test_pseudonyms(spark):
     mails = [f"{a}@mail.example.com" for a in ("bob.smith42", "x", "Ab", "né.q", "a-b_c")]
     values = cards + [d.isoformat() for d in days] + ips + mails
     docs = spark.createDataFrame([(i, f"é <{v}>, {v}.", v) for i, v in enumerate(values)], "doc_id long, text string, n_ip string")
-    rows = pseudonyms.pseudonymise(docs).select("row.doc_id", "row.n_ip", "text").collect()
+    rows = pseudonyms.pseudonymise(docs, pseudonyms.TEST_KEY).select("row.doc_id", "row.n_ip", "text").collect()
     new = {}
     for r in rows:
         first = r["text"][3 : r["text"].index(">")]
@@ -169,7 +169,7 @@ def test_pseudonyms_keep_formats_and_leave_the_rest(documents, odd_texts):
     ]
     pairs = odd_texts + [(60 + i, t) for i, t in enumerate(texts)]
     docs = documents(pairs)
-    out = pseudonyms.replace_text(docs)
+    out = pseudonyms.replace_text(docs, pseudonyms.TEST_KEY)
     assert out.columns == docs.columns
     got = out.collect()
     assert Counter((r["doc_id"], r["text"]) for r in got if (r["doc_id"] or 0) < 60) == Counter(odd_texts)
@@ -180,13 +180,15 @@ def test_pseudonyms_keep_formats_and_leave_the_rest(documents, odd_texts):
     assert new[60].startswith("call +1 (") and "31.04.2001" in new[62] and "99.99.9999" in new[62]
     assert _luhn_remainder(_only(new[61].split(", ")[1])) == 0
     assert new[63] == texts[3] and new[64][:100_001] == texts[4][:100_001]
-    assert pseudonyms.pseudonymise(documents([])).count() == 0
+    assert pseudonyms.pseudonymise(documents([]), pseudonyms.TEST_KEY).count() == 0
+    with pytest.raises(ValueError, match="key"):
+        pseudonyms.replace_text(documents([]), "")
 
 
 def test_one_card_in_different_surroundings(documents):
     card, spaced = "4111111111111111", "4111 1111 1111 1111"
     texts = [card, spaced, f"{spaced} 12/27", f"{card} 123", f"order 12 {card}", f"order 12 {spaced} 10.0.0.1", f"{card} {card}", f"({spaced} 2024-05-01)"]
-    rows = pseudonyms.pseudonymise(documents(list(enumerate(texts)))).select("row.doc_id", "text", "n_number", "n_date", "n_ip").collect()
+    rows = pseudonyms.pseudonymise(documents(list(enumerate(texts))), pseudonyms.TEST_KEY).select("row.doc_id", "text", "n_number", "n_date", "n_ip").collect()
     new = {r["doc_id"]: r for r in rows}
     card_, spaced_ = new[0]["text"], new[1]["text"]
     assert card_ != card and spaced_.replace(" ", "") == card_ and spaced_.count(" ") == 3
@@ -198,7 +200,7 @@ def test_one_card_in_different_surroundings(documents):
 
 def test_groups_that_are_no_card_and_long_rows_of_groups(documents):
     texts = ["12 345 678 901 234 56", "1234 5678 9012 3457", " ".join(["12 345"] * 8_000), "12345678901234567890", "1 2 3"]
-    got = {r["doc_id"]: r["text"] for r in pseudonyms.replace_text(documents(list(enumerate(texts)))).collect()}
+    got = {r["doc_id"]: r["text"] for r in pseudonyms.replace_text(documents(list(enumerate(texts))), pseudonyms.TEST_KEY).collect()}
     for i, text in enumerate(texts):
         assert [len(x) for x in got[i].split(" ")] == [len(x) for x in text.split(" ")]
         assert (got[i] == text) == (i > 2)
@@ -206,7 +208,7 @@ def test_groups_that_are_no_card_and_long_rows_of_groups(documents):
 
 def test_dates_with_times_and_single_digits(documents):
     texts = ["2024-05-01", "2024-05-01T10:00:00Z", "2024/05/01", "1/5/2024", "01/05/2024", "5/13/2024", "13.5.2024", "2024/13/45", "2024-05-01Tx"]
-    got = {r["doc_id"]: r["text"] for r in pseudonyms.replace_text(documents(list(enumerate(texts)))).collect()}
+    got = {r["doc_id"]: r["text"] for r in pseudonyms.replace_text(documents(list(enumerate(texts))), pseudonyms.TEST_KEY).collect()}
     y, m, d = got[0].split("-")
     assert got[0] != texts[0] and got[1] == f"{got[0]}T10:00:00Z" and got[2] == f"{y}/{m}/{d}"
     assert got[3] == f"{int(d)}/{int(m)}/{y}" and got[4] == f"{d}/{m}/{y}"
