@@ -9,13 +9,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import text
 from ..functions.vectors import as_vector, l2_normalise
-from ..operators import diagnostics, fuzzy, kmeans, reduction, replay, reuse, search, tfidf
+from ..operators import cells, diagnostics, fuzzy, kmeans, reduction, replay, reuse, search, tfidf
 from ..session import checkpoint_root, scratch_path
 from ..sources import corpus, vector_table
 from ..streaming import reuse_stream
 from . import answer, build, sweeps
 from .oracle import (
-    BUILD_BOUNDARY, BUILD_CLUSTERS, CAP, CAPPED_FEATURES, DIGITS, FUZZINESS, KMEANS_STARTS, LSA_RESIDUAL, PROFILE_M, REPLAY_CAP, SEED_CAP, SEEDS,
+    BUILD_BOUNDARY, BUILD_CLUSTERS, CAP, CAPPED_FEATURES, CELLS, DIGITS, FUZZINESS, KMEANS_STARTS, LSA_RESIDUAL, PROFILE_M, REPLAY_CAP, SEED_CAP, SEEDS,
     SWEEP_STEPS, THETA, THETA_GRID, TURN_THETA,
 )
 
@@ -251,6 +251,15 @@ def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tidy(search.cosine_topk(_label_queries(spark, sf_dir), _vectors(spark, sf_dir), 10))
 
 
+def vector_topk_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of vector_topk, from a table in cells; a cell is skipped if its bound allows."""
+    rows = _vectors(spark, sf_dir)
+    centers = kmeans.seed_many(rows, CELLS, [0])[0]
+    centers = kmeans.lloyd(rows, [centers], max_iter=5)[0][0]
+    table = cells.build_cells(rows.select("id", "vector"), centers, scratch_path(spark, "cells"))
+    return _tidy(cells.cell_topk(_label_queries(spark, sf_dir), table, 10)[0])
+
+
 def vector_topk_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _described(spark, sf_dir, "lang")
     return _tidy(search.cosine_topk(_label_queries(spark, sf_dir), table, 10, F.col("label") == "es"))
@@ -690,7 +699,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         clean_documents, clean_pages, clean_queries, token_counts, vocabulary, vocabulary_capped,
         tfidf_weights, encode_queries, sparse_topk, category_distribution, lsa_projection,
-        explained_variance, lsa_embed, lsa_quality, vector_normalise, vector_table_build, vector_topk,
+        explained_variance, lsa_embed, lsa_quality, vector_normalise, vector_table_build, vector_topk, vector_topk_cells,
         vector_topk_filtered, vector_topk_padded, vector_append_count, vector_by_ids,
         vector_save_load, retrieve_formatted, fuzzy_membership, fuzzy_membership_query, fuzzy_step,
         fuzzy_objective, fuzzy_fit_trace, distance_seeding, hard_assignment, certainty_metrics,

@@ -30,6 +30,7 @@ LSA_RESIDUAL = 0.002
 COMPONENTS = 300
 BUILD_BOUNDARY = 15
 KMEANS_STARTS = 10
+CELLS = 32
 
 
 def _r(expression: str, name: str, digits: int = DIGITS) -> str:
@@ -463,6 +464,7 @@ LEFT JOIN hr ON hr.cluster = l.cluster AND hr.rank = 1""",
     "vector_table_build": _with(_E, _described("lang"))
     + "SELECT id, label, doc_idx, text_preview, CAST(len(v) AS BIGINT) AS dims FROM vt",
     "vector_topk": _with(_VECTORS, _QUERIES, _topk("e", 10)) + _TOP_SELECT,
+    "vector_topk_cells": _with(_VECTORS, _QUERIES, _topk("e", 10)) + _TOP_SELECT,
     "vector_topk_filtered": _with(_VECTORS, _QUERIES, _described("lang"), _topk("vt", 10, "t.label = 'es'"))
     + _TOP_SELECT,
     "vector_topk_padded": _with(
