@@ -14,10 +14,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
 from ..functions.batches import add_columns, map_batches
 from ..functions.vectors import VECTOR, as_vector, from_matrix, to_matrix
+from ..session import complete_tables
 
 # Smallest distance, and the term that keeps sums away from zero.
 MIN_DISTANCE = 1e-12
@@ -189,17 +190,19 @@ def fit(
     tol: float = 1e-5,
     seed: int = 42,
     id_col: str = "id",
+    log: str | None = None,
 ) -> FuzzyModel:
     """Iterate until no membership changes by ``tol``; persist ``df`` beforehand.
 
     Pass t evaluates the centres of iteration t and sums up those of t + 1, so one
-    iteration costs one scan. Without ``init_centers`` rows are drawn as seeds.
+    iteration costs one scan. Without ``init_centers`` rows are drawn as seeds. With
+    ``log`` a fit that was stopped goes on, see :func:`fit_many`.
     """
     if init_centers is None:
         init_centers = distance_seeding(df, n_clusters, seed, id_col)
     if init_centers.shape[0] != n_clusters:
         raise ValueError("one starting centre per cluster is needed")
-    return fit_many(df, [(init_centers, m)], max_iter, tol)[0]
+    return fit_many(df, [(init_centers, m)], max_iter, tol, log)[0]
 
 
 def fit_many(
@@ -207,22 +210,41 @@ def fit_many(
     starts: Sequence[tuple[np.ndarray, float]],
     max_iter: int = 300,
     tol: float = 1e-5,
+    log: str | None = None,
 ) -> list[FuzzyModel]:
     """Fit several (starting centres, m) side by side, sharing each scan.
 
-    A fit that has converged drops out of the scans that follow.
+    A fit that has converged drops out of the scans that follow. With ``log``, a folder
+    that the driver and its successor reach, every iteration is written there as a table
+    of the size of the centres, and a call with the same starts, m and ``tol`` over the
+    same rows goes on behind the last one written to the end; other ones are refused.
+    ``max_iter`` may differ: a finished log is cut to it or continued.
     """
     size = len(starts)
+    spark = df.sparkSession
     current = [np.asarray(c, dtype=np.float64) for c, _ in starts]
     fuzziness = [m for _, m in starts]
     objectives: list[list[float]] = [[] for _ in starts]
     deltas: list[list[float]] = [[] for _ in starts]
-    first = steps(df, [Candidate(c, m) for c, m in zip(current, fuzziness)])
-    ahead = [s.centers for s in first]
-    active = list(range(size))
-    for _ in range(max_iter):
+    done = [] if log is None else _logged(spark, log, max_iter)
+    if done:
+        _check_log(done[0], current, fuzziness, tol)
+        ahead = [np.empty(0)] * size
+        for rows in done:
+            for i, r in rows.items():
+                current[i], ahead[i] = (np.array(r[c]).reshape(current[i].shape) for c in ("current", "ahead"))
+                if r["iteration"]:
+                    objectives[i].append(r["objective"])
+                    deltas[i].append(r["delta"])
+    else:
+        ahead = [s.centers for s in steps(df, [Candidate(c, m) for c, m in zip(current, fuzziness)])]
+        if log is not None:
+            _write_log(spark, log, 0, [(i, fuzziness[i], tol, current[i], ahead[i], None, None) for i in range(size)])
+    active = [i for i in range(size) if not deltas[i] or deltas[i][-1] >= tol]
+    for iteration in range(max(1, len(done)), max_iter + 1):
         if not active:
             break
+        running = list(active)
         results = steps(df, [Candidate(ahead[i], fuzziness[i], current[i]) for i in active])
         for i, result in zip(list(active), results):
             current[i], ahead[i] = ahead[i], result.centers
@@ -230,11 +252,47 @@ def fit_many(
             deltas[i].append(result.delta)
             if result.delta < tol:
                 active.remove(i)
+        if log is not None:
+            kept = [(i, fuzziness[i], tol, current[i], ahead[i], objectives[i][-1], deltas[i][-1]) for i in running]
+            _write_log(spark, log, iteration, kept)
     return [
         FuzzyModel(current[i], fuzziness[i], tuple(objectives[i]), tuple(deltas[i])) for i in range(size)
     ]
 
 
+_LOG = (
+    "iteration int, fit int, m double, tol double, current array<double>, ahead array<double>, objective double, delta double"
+)
+
+
+def _write_log(spark: SparkSession, log: str, iteration: int, fits: Sequence[tuple]) -> None:
+    """One iteration of the fits still running as a table of its own."""
+    rows = [(iteration, i, m, tol, c.ravel().tolist(), a.ravel().tolist(), o, d) for i, m, tol, c, a, o, d in fits]
+    spark.createDataFrame(rows, _LOG).coalesce(1).write.mode("overwrite").parquet(f"{log}/{iteration:06d}")
+
+
+def _logged(spark: SparkSession, log: str, last: int) -> list[dict[int, Row]]:
+    """The iterations 0, 1, ... written to the end without a gap, as rows by fit."""
+    names = complete_tables(spark, log)
+    n = next((i for i, name in enumerate(names) if name != f"{i:06d}"), len(names))
+    found: list[dict[int, Row]] = [{} for _ in range(min(n, last + 1))]
+    if found:
+        for r in spark.read.schema(_LOG).parquet(*[f"{log}/{i:06d}" for i in range(len(found))]).collect():
+            found[r["iteration"]][r["fit"]] = r
+    return found
+
+
+def _check_log(first: dict[int, Row], starts: Sequence[np.ndarray], fuzziness: Sequence[float], tol: float) -> None:
+    """Refuse a log of other starts; those of a fit made anew may differ in the last digits."""
+    same = sorted(first) == list(range(len(starts))) and all(
+        r["m"] == fuzziness[i] and r["tol"] == tol and len(r["current"]) == starts[i].size
+        and np.allclose(r["current"], starts[i].ravel(), rtol=1e-6, atol=1e-9)
+        for i, r in first.items()
+    )
+    if not same:
+        raise ValueError("the log belongs to a fit with other starts, m or tol")
+
+
 def distance_seeding(df: DataFrame, k: int, seed: int = 42, id_col: str = "id") -> np.ndarray:
     """k distinct rows as starting centres, each drawn ∝ squared distance so far.
 

@@ -70,6 +70,22 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written to the end."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+
+
+def complete_tables(spark: SparkSession, path: str) -> list[str]:
+    """The names of the tables below a folder that were written to the end, in order."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(folder):
+        return []
+    names = sorted(s.getPath().getName() for s in system.listStatus(folder) if s.isDirectory())
+    return [name for name in names if is_complete(spark, f"{path}/{name}")]
+
+
 _scratch: set[str] = set()
 
 

@@ -87,6 +87,34 @@ def test_fit_converges_and_objective_falls(data):
         fuzzy.fit(df, x[:3], 4)
 
 
+def test_stopped_fit_goes_on(data, tmp_path, monkeypatch):
+    x, df = data
+    starts, log = [(x[:4], 2.0), (x[:3], 1.5)], str(tmp_path / "fit")
+    whole = fuzzy.fit_many(df, starts, 30, 1e-2)
+    fuzzy.fit_many(df, starts, 2, 1e-2, log)
+    # The third iteration is lost half-way through.
+    (tmp_path / "fit" / "000003").mkdir()
+    scans = []
+    counted = fuzzy.steps
+    monkeypatch.setattr(fuzzy, "steps", lambda *a: scans.append(1) or counted(*a))
+    resumed = fuzzy.fit_many(df, starts, 30, 1e-2, log)
+    assert len(scans) == max(m.n_iter for m in whole) - 2
+    for a, b in zip(whole, resumed):
+        assert a.n_iter == b.n_iter
+        np.testing.assert_allclose(a.centers, b.centers, rtol=1e-9)
+        np.testing.assert_allclose(a.objective_trace, b.objective_trace, rtol=1e-9)
+        np.testing.assert_allclose(a.delta_trace, b.delta_trace, rtol=1e-6)
+    scans.clear()
+    again = fuzzy.fit_many(df, starts, 30, 1e-2, log)
+    cut = fuzzy.fit_many(df, starts, 1, 1e-2, log)
+    assert not scans
+    assert [m.objective_trace for m in again] == [m.objective_trace for m in resumed]
+    assert [m.objective_trace for m in cut] == [m.objective_trace[:1] for m in resumed]
+    for other in ([(x[4:8], 2.0), (x[:3], 1.5)], starts[:1], [(x[:4], 2.0), (x[:3], 1.6)]):
+        with pytest.raises(ValueError, match="log"):
+            fuzzy.fit_many(df, other, 30, 1e-2, log)
+
+
 def test_side_by_side_fits_equal_single_ones(data):
     x, df = data
     together = fuzzy.fit_many(df, [(x[:4], 2.0), (x[:3], 1.5)], 30, 1e-2)
