@@ -11,11 +11,11 @@ from ..functions import text
 from ..functions.vectors import as_vector, l2_normalise
 from ..operators import cells, diagnostics, fuzzy, kmeans, reduction, replay, reuse, search, tfidf
 from ..session import checkpoint_root, scratch_path
-from ..sources import corpus, vector_table
+from ..sources import corpus, vector_log, vector_table
 from ..streaming import reuse_stream
 from . import answer, build, sweeps
 from .oracle import (
-    BUILD_BOUNDARY, BUILD_CLUSTERS, CAP, CAPPED_FEATURES, CELLS, DIGITS, FUZZINESS, KMEANS_STARTS, LSA_RESIDUAL, PROFILE_M, REPLAY_CAP, SEED_CAP, SEEDS,
+    BUILD_BOUNDARY, BUILD_CLUSTERS, CAP, CAPPED_FEATURES, CELLS, DIGITS, FUZZINESS, KMEANS_STARTS, LSA_RESIDUAL, PROFILE_M, READER_BLOCK, REPLAY_CAP, SEED_CAP, SEEDS,
     SWEEP_STEPS, THETA, THETA_GRID, TURN_THETA,
 )
 
@@ -177,6 +177,29 @@ def vocabulary_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _vocabulary(spark, sf_dir, CAPPED_FEATURES)
 
 
+def vocabulary_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of vocabulary, with terms that a sketch proves rare left out of the shuffle."""
+    path = scratch_path(spark, "counts")
+    _counted(spark, sf_dir).write.parquet(path)
+    counted = spark.read.parquet(path)
+    return _tidy(tfidf.build_vocabulary(counted, counted.count(), sketch_width=tfidf.SKETCH_WIDTH))
+
+
+def corpus_readers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents through both JSON forms, written in several files and read back."""
+    docs = _documents(spark, sf_dir).select("doc_id", "text", "label")
+    lines, arrays = scratch_path(spark, "lines"), scratch_path(spark, "arrays")
+    docs.write.json(lines)
+    blocks = docs.withColumn("block", F.format_string("%012d", F.floor(F.col("doc_id") / READER_BLOCK)))
+    entry = F.sort_array(F.collect_list(F.struct("doc_id", F.struct("text", "label").alias("d"))))
+    files = blocks.groupBy("block").agg(entry.alias("e")).select("block", F.col("e.d.text").alias("documents"), F.col("e.d.label").alias("labels"))
+    files.write.partitionBy("block").json(arrays)
+    both = corpus.read_json_lines(spark, lines).withColumn("form", F.lit("lines")).unionByName(
+        corpus.read_parallel_arrays(spark, arrays).withColumn("form", F.lit("arrays"))
+    )
+    return _tidy(both.select("form", "doc_id", "label", F.md5("text").alias("text_md5")))
+
+
 def tfidf_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, weighed = _weighed(spark, sf_dir)
     return _tidy(tfidf.weight_postings(weighed))
@@ -292,6 +315,23 @@ def vector_by_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tidy(found.select("position", "id", "label", F.get("vector", F.lit(0)).alias("first_value")))
 
 
+def vector_log_get(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requested vectors from a log: overwritten twice, one batch sent again, compacted between."""
+    wanted = _table(spark, sf_dir, "events").select(F.col("event_id").alias("position"), F.col("user_id").alias("id"))
+    rows, path = _vectors(spark, sf_dir), scratch_path(spark, "vector-log")
+
+    def relabelled(divisor: int, more: int) -> DataFrame:
+        return rows.filter(F.col("id") % divisor == 0).withColumn("label", F.col("label") + more)
+
+    vector_log.append(path, rows, 0)
+    vector_log.append(path, relabelled(2, 100), 1)
+    vector_log.append(path, relabelled(1, 500), 1)
+    vector_log.compact(spark, path)
+    vector_log.append(path, relabelled(4, 200), 2)
+    found = vector_log.get(spark, path, wanted)
+    return _tidy(found.select("position", "id", "label", F.get("vector", F.lit(0)).alias("first_value")))
+
+
 def vector_save_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "vectors")
     vector_table.save(_vectors(spark, sf_dir), path)
@@ -342,6 +382,25 @@ def fuzzy_fit_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tidy(model.trace(spark))
 
 
+def fuzzy_fit_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trace of a fit that was stopped after two iterations and went on from its log."""
+    rows = _vectors(spark, sf_dir).persist()
+    centers, log = _centers(spark, sf_dir), scratch_path(spark, "fit")
+    fuzzy.fit(rows, centers, len(centers), FUZZINESS, max_iter=2, tol=0.0, log=log)
+    model = fuzzy.fit(rows, centers, len(centers), FUZZINESS, max_iter=4, tol=0.0, log=log)
+    rows.unpersist()
+    return _tidy(model.trace(spark))
+
+
+def fuzzy_fit_converged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trace of a fit to the default tolerance."""
+    rows = _vectors(spark, sf_dir).persist()
+    centers = _centers(spark, sf_dir)
+    model = fuzzy.fit(rows, centers, len(centers), FUZZINESS, log=scratch_path(spark, "fit"))
+    rows.unpersist()
+    return _tidy(model.trace(spark))
+
+
 def distance_seeding(spark: SparkSession, sf_dir: str) -> DataFrame:
     centers = fuzzy.distance_seeding(_vectors(spark, sf_dir), SEEDS)
     table = fuzzy.centers_table(spark, centers)
@@ -697,12 +756,12 @@ def staged_build(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        clean_documents, clean_pages, clean_queries, token_counts, vocabulary, vocabulary_capped,
+        clean_documents, clean_pages, clean_queries, token_counts, vocabulary, vocabulary_capped, vocabulary_sketched, corpus_readers,
         tfidf_weights, encode_queries, sparse_topk, category_distribution, lsa_projection,
         explained_variance, lsa_embed, lsa_quality, vector_normalise, vector_table_build, vector_topk, vector_topk_cells,
-        vector_topk_filtered, vector_topk_padded, vector_append_count, vector_by_ids,
+        vector_topk_filtered, vector_topk_padded, vector_append_count, vector_by_ids, vector_log_get,
         vector_save_load, retrieve_formatted, fuzzy_membership, fuzzy_membership_query, fuzzy_step,
-        fuzzy_objective, fuzzy_fit_trace, distance_seeding, hard_assignment, certainty_metrics,
+        fuzzy_objective, fuzzy_fit_trace, fuzzy_fit_resumed, fuzzy_fit_converged, distance_seeding, hard_assignment, certainty_metrics,
         row_sample, silhouette_exact, cluster_profile_hard, cluster_summary, cluster_profile_soft,
         cluster_report, cluster_label_table, boundary_docs, pca_reduce, pca_axes, kmeans_restarts, kmeans_steps, k_sweep, k_sweep_steps,
         fuzziness_sweep, fuzziness_sweep_steps, pca_norms, answer_turns, reuse_seed, reuse_lookup, threshold_sweep, reuse_stats, bucket_sizes,

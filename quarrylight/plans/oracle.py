@@ -31,6 +31,8 @@ COMPONENTS = 300
 BUILD_BOUNDARY = 15
 KMEANS_STARTS = 10
 CELLS = 32
+# Documents of one file of parallel arrays.
+READER_BLOCK = 300
 
 
 def _r(expression: str, name: str, digits: int = DIGITS) -> str:
@@ -434,6 +436,11 @@ LEFT JOIN hr ON hr.cluster = l.cluster AND hr.rank = 1""",
     + f"SELECT term_id, term, df, cf, {_r('idf', 'idf')} FROM vocab",
     "vocabulary_capped": _with(_CLEAN, _POSTS, _vocabulary(CAPPED_FEATURES))
     + f"SELECT term_id, term, df, cf, {_r('idf', 'idf')} FROM vocab",
+    "vocabulary_sketched": _with(_CLEAN, _POSTS, _vocabulary(MAX_FEATURES))
+    + f"SELECT term_id, term, df, cf, {_r('idf', 'idf')} FROM vocab",
+    "corpus_readers": """SELECT form, CASE form WHEN 'lines' THEN doc_id ELSE row_number() OVER (PARTITION BY form ORDER BY doc_id) - 1 END AS doc_id,
+  lang AS label, md5(text) AS text_md5
+FROM documents, (VALUES ('lines'), ('arrays')) f(form)""",
     "tfidf_weights": _with(_FEATURES) + f"SELECT doc_id, term_id, {_r('w', 'weight')} FROM weights",
     "encode_queries": _with(_FEATURES, _QUERY_FEATURES) + f"SELECT query_id, term_id, {_r('w', 'weight')} FROM q",
     "sparse_topk": _with(
@@ -484,6 +491,10 @@ LEFT JOIN hr ON hr.cluster = l.cluster AND hr.rank = 1""",
     "vector_by_ids": "SELECT ev.event_id AS position, e.vec_id AS id, CAST(e.label + CASE WHEN e.vec_id % 2 = 0 THEN 100 ELSE 0 END AS BIGINT) AS label, "
     + _r("CAST(e.embedding[1] AS DOUBLE)", "first_value")
     + " FROM events ev JOIN embeddings e ON e.vec_id = ev.user_id",
+    "vector_log_get": "SELECT ev.event_id AS position, e.vec_id AS id, "
+    "CAST(e.label + CASE WHEN e.vec_id % 4 = 0 THEN 200 WHEN e.vec_id % 2 = 0 THEN 100 ELSE 0 END AS BIGINT) AS label, "
+    + _r("CAST(e.embedding[1] AS DOUBLE)", "first_value")
+    + " FROM events ev JOIN embeddings e ON e.vec_id = ev.user_id",
     "vector_save_load": "SELECT CAST(label AS BIGINT) AS label, count(*) AS n_rows, "
     + _r("sum(CAST(embedding[1] AS DOUBLE))", "first_sum")
     + " FROM embeddings GROUP BY 1",
@@ -497,6 +508,7 @@ LEFT JOIN hr ON hr.cluster = l.cluster AND hr.rank = 1""",
     "fuzzy_step": _STEP + f"SELECT CAST(cluster AS BIGINT) AS cluster, d AS dim, {_r('x', 'value')} FROM nxt_x",
     "fuzzy_objective": _STEP + f"SELECT {_r(f'sum(pow(u, {FUZZINESS}) * d * d)', 'objective')} FROM u",
     "fuzzy_fit_trace": _fit_trace(3),
+    "fuzzy_fit_resumed": _fit_trace(4),
     "distance_seeding": _seeding(SEEDS),
     "hard_assignment": _with(_VECTORS, _memberships(2.0), _HARD)
     + "SELECT id, CAST(cluster AS BIGINT) AS cluster FROM hard",
