@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarrylight.llm.common import same, staged, table, text_hash, whole
+from quarrylight.llm.common import rows, same, staged, table, text_hash, whole
 
 WINDOW = 10
 BROADCAST_BYTES = 8 << 20
@@ -159,24 +159,24 @@ def report(docs: DataFrame, bench: DataFrame, size: int = WINDOW) -> DataFrame:
 def remove_documents(docs: DataFrame, bench: DataFrame, size: int = WINDOW) -> DataFrame:
     """The rows without any window, with all their columns."""
     found = _small(search(docs, bench, size).select("doc_id", "hash"))
-    tagged = docs.withColumn("__ql_hash", text_hash(docs["text"]))
-    match = tagged["doc_id"].eqNullSafe(found["doc_id"]) & (tagged["__ql_hash"] == found["hash"])
-    return tagged.join(found, match, "left_anti").drop("__ql_hash")
+    base = rows(docs, text_hash(docs["text"]).alias("of"))
+    match = F.col("row.doc_id").eqNullSafe(found["doc_id"]) & (base["of"] == found["hash"])
+    return base.join(found, match, "left_anti").select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def remove_spans(docs: DataFrame, bench: DataFrame, size: int = WINDOW) -> DataFrame:
     """All rows, texts without the hit words; what stands between words stays."""
-    found = _small(search(docs, bench, size).select(F.col("doc_id").alias("__ql_id"), F.col("hash").alias("__ql_of"), F.col("spans").alias("__ql_spans")))
-    tagged = docs.withColumn("__ql_hash", text_hash(docs["text"]))
-    match = tagged["doc_id"].eqNullSafe(found["__ql_id"]) & (tagged["__ql_hash"] == found["__ql_of"])
-    joined = tagged.join(found, match, "left")
-    hit = F.array_distinct(F.flatten(F.transform("__ql_spans", lambda s: F.sequence(s["pos"], s["pos"] + s["n"] - 1))))
-    words = F.regexp_extract_all("text", F.lit(_WORD), F.lit(0))
+    found = _small(search(docs, bench, size).select("doc_id", "hash", "spans"))
+    base = rows(docs, text_hash(docs["text"]).alias("of"))
+    match = F.col("row.doc_id").eqNullSafe(found["doc_id"]) & (base["of"] == found["hash"])
+    joined = base.join(found, match, "left").select("row", "spans")
+    hit = F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(s["pos"], s["pos"] + s["n"] - 1))))
+    words = F.regexp_extract_all("row.text", F.lit(_WORD), F.lit(0))
     left = F.transform(words, lambda w, i: F.when(F.array_contains(hit, i), F.lit("")).otherwise(w))
-    between = F.split("text", _WORD, -1)
+    between = F.split("row.text", _WORD, -1)
     rebuilt = F.array_join(F.zip_with(between, left, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-    text = F.when(F.col("__ql_spans").isNull(), F.col("text")).otherwise(rebuilt)
-    return joined.withColumn("text", text).drop("__ql_hash", "__ql_id", "__ql_of", "__ql_spans")
+    text = F.when(F.col("spans").isNull(), F.col("row.text")).otherwise(rebuilt)
+    return joined.select(*[(text if c == "text" else F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def query(spark, sf_dir: str) -> DataFrame:

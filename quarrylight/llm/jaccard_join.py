@@ -17,8 +17,8 @@ exactly: distances to a pivot, links within r, and for the next pivot only those
 whose distance to the earlier pivots lies within r of its own. Regions of more than a
 fixed number of rows or shingles are dealt out as pairs of blocks.
 
-Sets are hashed to 64 bits per shingle, and equal sets are joined once as a class; copies
-never meet in pairs. Null text is empty; documents without words have no shingles and link
+Shingles are hashed to 64 bits, and equal sets are joined once as a class, named by 128
+bits; copies never meet in pairs. Null text is empty; documents without words have no shingles and link
 with nothing. Repeated rows and equal doc_ids are rows of their own. A component without a
 doc_id has a null id. An empty table gives no rows. Extra columns pass ``keep_one``.
 """
@@ -83,9 +83,9 @@ def shingle_sets(column: pa.Array, size: int = SHINGLE) -> list[np.ndarray]:
     return found
 
 
-def _class_of(shingles: np.ndarray) -> int:
-    digest = xxhash.xxh3_64_intdigest(shingles.tobytes())
-    return digest - (1 << 64) if digest >> 63 else digest
+def _class_of(shingles: np.ndarray) -> bytes:
+    """128 bits: of ten billion sets no two different ones may have one name."""
+    return xxhash.xxh3_128_digest(shingles.tobytes())
 
 
 def parity(shingles: np.ndarray) -> bytes:
@@ -107,14 +107,14 @@ def _signatures(size: int):
             bits = [parity(s) if len(s) else None for s in sets]
             none = pa.nulls(len(n), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("hash"), pa.array(n, pa.int64()), pa.array(of, pa.int64()),
+                [part.column("doc_id"), part.column("hash"), pa.array(n, pa.int64()), pa.array(of, pa.binary()),
                  pa.array(bits, pa.binary()), none, none], names=names,
             )
             keys, counts = np.unique(np.concatenate(sets), return_counts=True)
             often = counts >= LOCAL
             if often.any():
                 k = int(often.sum())
-                nothing = [pa.nulls(k, t) for t in (part.schema.field("doc_id").type, pa.int64(), pa.int64(), pa.int64(), pa.binary())]
+                nothing = [pa.nulls(k, t) for t in (part.schema.field("doc_id").type, pa.int64(), pa.int64(), pa.binary(), pa.binary())]
                 yield pa.RecordBatch.from_arrays(
                     nothing + [pa.array(keys[often].view(np.int64)), pa.array(counts[often], pa.int64())], names=names
                 )
@@ -134,7 +134,7 @@ def band_width(percent: int = PERCENT) -> float:
 def _prefixes(frequent_keys, frequent_ranks, size: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, ranks = frequent_keys.value, frequent_ranks.value
-        seen: set[int] = set()  # classes of this task
+        seen: set[bytes] = set()  # classes of this task
         for part in slices(batches):
             keys, classes, sizes, counts = [], [], [], []
             for s in shingle_sets(part.column("text"), size):
@@ -153,7 +153,7 @@ def _prefixes(frequent_keys, frequent_ranks, size: int, percent: int):
                 counts.append(len(keys[-1]))
             if keys:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(keys)), pa.array(np.repeat(np.array(classes, np.int64), counts)),
+                    [pa.array(np.concatenate(keys)), pa.array(classes, pa.binary()).take(pa.array(np.repeat(np.arange(len(classes)), counts))),
                      pa.array(np.repeat(np.array(sizes, np.int64), counts))],
                     names=["key", "class", "n"],
                 )
@@ -198,7 +198,7 @@ def _coarse(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = [], []
         for region in groups(batches, ["pivot", "band", "i", "j"]):
-            classes = region.column("class").to_numpy()
+            classes = np.array(region.column("class").to_pylist(), object)
             if len(classes) < 2:
                 continue
             n = region.column("n").to_numpy()
@@ -214,13 +214,13 @@ def _coarse(percent: int):
                     near = (100 + percent) * apart <= (100 - percent) * (n[left] + n[x])
                     queue += left[near].tolist()
                     b += classes[left[near]].tolist()
-                    a += [int(classes[root])] * int(near.sum())
+                    a += [classes[root]] * int(near.sum())
                     left = left[~near]
             if len(a) > 50_000:
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
                 a, b = [], []
         if a:
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
     return run
 
@@ -280,7 +280,7 @@ def _exact(percent: int):
             links = region_join(sets, percent) if len(sets) > 1 else []
             if links:
                 a, b = zip(*[(classes[x], classes[y]) for x, y in links])
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
     return run
 
@@ -290,7 +290,7 @@ def _full_sets(size: int):
         for part in slices(batches, 1 << 20):
             sets = shingle_sets(part.column("text"), size)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([_class_of(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
+                [pa.array([_class_of(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())],
                 names=["class", "shingles"],
             )
 
@@ -317,7 +317,7 @@ def _in_blocks(df: DataFrame, keys: list[str], weight, limit: int) -> DataFrame:
 
 def _dealt(df: DataFrame, keys: list[str], function: Callable) -> DataFrame:
     """``function`` over the groups of ``keys``, sorted within partitions."""
-    return df.repartition(*keys).sortWithinPartitions(*keys, "n", "class").mapInArrow(function, "a long, b long")
+    return df.repartition(*keys).sortWithinPartitions(*keys, "n", "class").mapInArrow(function, "a binary, b binary")
 
 
 def signatures(docs: DataFrame, size: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
@@ -325,7 +325,7 @@ def signatures(docs: DataFrame, size: int = SHINGLE) -> tuple[DataFrame, DataFra
     ship(docs.sparkSession)
     docs = docs.select("doc_id", text_hash().alias("hash"), docs["text"].cast("string").alias("text"))
     schema = T.StructType(
-        [T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("hash", T.LongType()), T.StructField("n", T.LongType()), T.StructField("class", T.LongType()),
+        [T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("hash", T.LongType()), T.StructField("n", T.LongType()), T.StructField("class", T.BinaryType()),
          T.StructField("bits", T.BinaryType()), T.StructField("key", T.LongType()), T.StructField("count", T.LongType())]
     )
     found = staged(docs.mapInArrow(_signatures(size), schema), "signatures")
@@ -342,7 +342,7 @@ def _regions(docs: DataFrame, frequent: DataFrame, size: int, percent: int) -> D
     order = np.argsort(keys)
     known, ranks = spark.sparkContext.broadcast(keys[order]), spark.sparkContext.broadcast(counts[order])
     texts = docs.select(docs["text"].cast("string").alias("text"))
-    places = texts.mapInArrow(_prefixes(known, ranks, size, percent), "key long, class long, n long")
+    places = texts.mapInArrow(_prefixes(known, ranks, size, percent), "key long, class binary, n long")
     # Places are dealt by key once; both windows read them so. A key in very many documents
     # is among the frequent ones, and what is left of it streams through its task and may spill.
     of_key, of_region = Window.partitionBy("key"), Window.partitionBy("key", "band")
@@ -367,7 +367,7 @@ def links(docs: DataFrame, signed: DataFrame, frequent: DataFrame, size: int = S
     texts = docs.select("doc_id", text_hash().alias("hash"), docs["text"].cast("string").alias("text"))
     few = _small(first.select("doc_id", "hash"))
     texts = texts.join(few, same(texts, few, "doc_id", "hash"), "left_semi").select("text")
-    sets = texts.mapInArrow(_full_sets(size), "class long, shingles binary").dropDuplicates(["class"])
+    sets = texts.mapInArrow(_full_sets(size), "class binary, shingles binary").dropDuplicates(["class"])
     members = _in_blocks(first.select("class", "region", "n"), ["region"], F.col("n"), SHINGLES)
     return staged(_dealt(members.join(sets, "class"), ["region", "i", "j"], _exact(percent)), "links")
 

@@ -4,6 +4,7 @@ from collections import Counter
 
 import brute
 import pytest
+from pyspark.sql import functions as F
 from quarrylight.llm import decontaminate, licences, quality, secret_scan
 
 
@@ -105,6 +106,12 @@ def test_contamination(documents, odd_texts, bench, spark):
         words_left = [w for k, w in enumerate(brute.ITEM_WORD.findall(brute.lower(t))) if k not in hit]
         assert brute.ITEM_WORD.findall(brute.lower(left[i])) == words_left
 
+    named = docs.withColumns({"__ql_hash": F.lit("mine"), "hash": F.lit(5), "row": F.lit("r"), "spans": F.lit(None).cast("string")})
+    for kept, plain in ((decontaminate.remove_documents(named, table), clean), (decontaminate.remove_spans(named, table), cut)):
+        assert kept.columns == named.columns
+        assert kept.filter("`__ql_hash` = 'mine' AND hash = 5 AND row = 'r' AND spans IS NULL").count() == plain.count()
+        assert sorted(map(repr, kept.select(*docs.columns).collect())) == sorted(map(repr, plain.collect()))
+
 
 def test_licences(documents, odd_texts):
     mit = "The MIT Licence text\n"
