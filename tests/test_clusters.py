@@ -277,3 +277,29 @@ def test_sweeps(data):
     assert [r["m"] for r in m] == [1.2, 1.5, 2.0, 2.5, 3.0]
     assert [r["mean_certainty"] for r in m] == sorted((r["mean_certainty"] for r in m), reverse=True)
     assert m[2]["interpretation"].startswith("STANDARD")
+
+
+def test_tile_memory_is_bounded():
+    """Many short rows under many clusters: beside points and sums, a tile holds a few MB."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    n, ks = 12_000, (8, 10, 12, 15, 18, 20)
+    rng = np.random.default_rng(2)
+    points, labels = rng.standard_normal((2 * n, 2)), np.stack([np.arange(2 * n) % k for k in ks], axis=1).astype(np.int32)
+    lists = lambda x: pa.ListArray.from_arrays(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32), pa.array(x.ravel()))
+    pairs = pa.table({
+        "row": np.arange(2 * n), "low": np.zeros(2 * n, np.int32), "high": np.ones(2 * n, np.int32),
+        "block": (np.arange(2 * n) >= n).astype(np.int32), "vector": lists(points), "labels": lists(labels),
+    })
+    known = diagnostics._Labellings(tuple(np.arange(k) for k in ks), tuple(np.full(k, 2.0 * n / k) for k in ks))
+    tracemalloc.start()
+    out = diagnostics._tile(known, pairs)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 75e6
+    first = np.array(out.column("sums")[0].as_py())
+    gaps = np.sqrt(((points[0] - points[n:]) ** 2).sum(axis=1))
+    want = np.concatenate([np.bincount(labels[n:, j], gaps, minlength=k) for j, k in enumerate(ks)])
+    np.testing.assert_allclose(first, want)
