@@ -33,6 +33,8 @@ from quarrylight.session import ship
 LENGTH = 4096
 END_ID = 1
 BLOCK = 100_000
+#: Text that is tokenized at a time.
+SLICE = 3 << 20
 _COLUMNS = ("piece", "start", "length", "ids_crc32")
 
 
@@ -113,7 +115,7 @@ def tokenize(column: pa.Array, encoder: _Encoder, end_id: int = END_ID) -> tuple
 def _pieces(path: str, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _Encoder(path)
-        for part in slices(batches, 8 << 20):
+        for part in slices(batches, SLICE):
             ids, offsets = tokenize(part.column("text"), encoder)
             ids = ids.astype("<u4")
             totals = np.diff(offsets)

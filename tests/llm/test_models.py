@@ -290,3 +290,16 @@ def test_held_out_documents_gain(spark, tmp_path):
     assert row["score"] > row["base"] + 0.05 * row["n"]
     checksums = found.select((F.crc32(F.col("doc_id").cast("string")) % 5 == 1).alias("c"), "held_out").distinct().collect()
     assert sorted(map(tuple, checksums)) == [(False, False), (True, True)]
+
+
+def test_packing_tokenizes_small_slices():
+    """A task tokenizes a few MB at a time, whatever the size of its batches."""
+    import pyarrow as pa
+
+    from quarrylight.llm import packing
+
+    texts = ["some words of a text " * 50_000] * 9  # 1 MB each
+    batch = pa.RecordBatch.from_arrays([pa.array(range(9), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    found = list(packing._pieces(packing.vocabulary_path(), 4096)(iter([batch])))
+    assert len(found) >= 3 and max(len(set(b.column("doc_id").to_pylist())) for b in found) <= 3
+    assert sorted({x for b in found for x in b.column("doc_id").to_pylist()}) == list(range(9))
