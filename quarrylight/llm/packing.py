@@ -1,7 +1,7 @@
 """Packing of token pieces into sequences: best fit, then swaps until bins empty.
 
-Words between ASCII spaces and marks are tokenized once per slice, as no token spans
-those; slices that hold the name of a special token are only split at spaces. Id 1 ends each document. Documents
+Words between ASCII spaces and marks are tokenized once for several slices, as no token spans
+those, and remembered up to a bound; slices that hold the name of a special token are only split at spaces. Id 1 ends each document. Documents
 longer than a sequence are cut; whole pieces of one sequence need no packing. The others
 are dealt into blocks of at most ``BLOCK`` pieces by an exact shuffle; each block is packed
 by best fit and then improved: moves, one-for-one and two-for-one exchanges that raise the
@@ -17,6 +17,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from heapq import heappop, heappush
 
 import numpy as np
@@ -35,6 +36,8 @@ END_ID = 1
 BLOCK = 100_000
 #: Text that is tokenized at a time.
 SLICE = 3 << 20
+#: Bytes of words and ids that are remembered from slice to slice.
+REMEMBERED = 12 << 20
 _COLUMNS = ("piece", "start", "length", "ids_crc32")
 
 
@@ -54,6 +57,11 @@ class _Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
         self.ends[[i for word, i in self.tokenizer.get_vocab().items() if word.endswith("</w>")]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words = pa.array([], pa.large_string())
+        self.ids, self.starts, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def _each(self, words: list[str]) -> list[np.ndarray]:
         found = []
@@ -78,9 +86,8 @@ class _Encoder:
                 sizes.append(np.array([len(x) for x in each]))
         return np.concatenate(flat), np.concatenate(sizes)
 
-    def __call__(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _tokenized(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All ids, and start and number of those of each word."""
-        words = words.cast(pa.large_string())
         letters = pc.utf8_is_alpha(words).to_numpy(zero_copy_only=False).astype(bool)
         sizes = np.zeros(len(words), np.int64)
         starts = np.zeros(len(words), np.int64)
@@ -97,6 +104,31 @@ class _Encoder:
             sizes[~letters], starts[~letters] = n, at + np.cumsum(n) - n
         return (np.concatenate(flat) if flat else np.zeros(0, np.uint32)), starts, sizes
 
+    def __call__(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and start and number of those of each of the distinct words."""
+        words = words.cast(pa.large_string())
+        if self.words.nbytes + self.ids.nbytes + self.starts.nbytes + self.sizes.nbytes > REMEMBERED:
+            self._forget()
+        at = pc.index_in(words, value_set=self.words)
+        new = at.is_null()
+        if at.null_count:
+            ids, starts, sizes = self._tokenized(words.filter(new))
+            n = len(self.words)
+            self.words = pa.concat_arrays([self.words, words.filter(new)])
+            self.starts = np.concatenate((self.starts, len(self.ids) + starts))
+            self.ids, self.sizes = np.concatenate((self.ids, ids)), np.concatenate((self.sizes, sizes))
+            place = pc.fill_null(at, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            place[new.to_numpy(zero_copy_only=False).astype(bool)] = np.arange(n, len(self.words))
+        else:
+            place = at.to_numpy(zero_copy_only=False)
+        return self.ids, self.starts[place], self.sizes[place]
+
+
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> _Encoder:
+    """One for all tasks of a worker."""
+    return _Encoder(path)
+
 
 def tokenize(column: pa.Array, encoder: _Encoder, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
     """All ids of a slice, one document after the other, and the n + 1 offsets."""
@@ -114,7 +146,7 @@ def tokenize(column: pa.Array, encoder: _Encoder, end_id: int = END_ID) -> tuple
 
 def _pieces(path: str, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _Encoder(path)
+        encoder = _encoder(path)
         for part in slices(batches, SLICE):
             ids, offsets = tokenize(part.column("text"), encoder)
             ids = ids.astype("<u4")

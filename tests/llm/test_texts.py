@@ -243,6 +243,27 @@ def test_tokens_are_the_tokenizers_own(tokenizer):
         assert ids[a:b].tolist() == [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
 
 
+def test_words_are_tokenized_once_for_several_slices(tokenizer, monkeypatch):
+    """Ids of earlier slices are used again, and are the same after a full memory was given up."""
+    encoder = packing._Encoder(packing.vocabulary_path())
+    asked = []
+    tokenized = packing._Encoder._tokenized
+    monkeypatch.setattr(packing._Encoder, "_tokenized", lambda self, words: (asked.append(len(words)), tokenized(self, words))[1])
+    words = [["one", "two's", "é"], ["two's", "one"], ["three", "é", "12"], []]
+
+    def check():
+        for some in words:
+            ids, starts, sizes = encoder(pa.array([w.encode() for w in some], pa.large_binary()))
+            got = [ids[a : a + n].tolist() for a, n in zip(starts, sizes)]
+            assert got == [tokenizer.encode(w, add_special_tokens=False).ids for w in some]
+
+    check()
+    assert asked == [3, 2]
+    monkeypatch.setattr(packing, "REMEMBERED", 0)
+    check()
+    assert asked == [3, 2, 3, 2, 3]
+
+
 def check_packing(rows, texts, tokenizer, length):
     """Rows are gapless sequences of at most ``length`` tokens and hold every text."""
     by_sequence, by_doc = defaultdict(list), Counter()
