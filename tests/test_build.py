@@ -116,3 +116,40 @@ def test_seeded_table_and_expectations(spark, built, tmp_path):
     assert counts == {(True, True): 2, (False, False): 1}
     reuse.save_entries(reuse.flush(entries), str(tmp_path / "entries"), "overwrite")
     assert reuse.load_entries(spark, str(tmp_path / "entries")).count() == 0
+
+
+def test_features_are_built_from_texts(spark, built):
+    """The vocabulary and the sparse rows of counted texts, without a table of counts."""
+    import os
+
+    from quarrylight.operators import tfidf
+    from quarrylight.sources.corpus import clean_corpus
+
+    corpus, out, small, _ = built
+    assert not os.path.exists(f"{out}/counts")
+    counted = tfidf.count_terms(clean_corpus(corpus)).select("doc_id", "terms")
+    model = tfidf.TfidfModel.fit(counted, small.min_df, small.max_df, small.max_features)
+    vocabulary = spark.read.parquet(f"{out}/vocabulary").orderBy("term_id").collect()
+    assert tuple(r["term"] for r in vocabulary) == model.terms and [r["idf"] for r in vocabulary] == model.idf.tolist()
+    by_id = lambda df: sorted((r["doc_id"], r["term_ids"], r["weights"]) for r in df.collect())
+    assert by_id(spark.read.parquet(f"{out}/sparse")) == by_id(model.weigh(counted))
+
+
+def test_distances_hold_one_array():
+    """Close pairs beside large rows keep their digits, and the peak is about one array of the result."""
+    import tracemalloc
+
+    from quarrylight.functions.vectors import pair_distances
+
+    rng = np.random.default_rng(0)
+    left, right = rng.standard_normal((300, 8)) * 1000, rng.standard_normal((2000, 8))
+    right[:300] = left + 1e-5
+    right[300:600] = left
+    want = np.sqrt(((left[:, None, :] - right[None, :, :]) ** 2).sum(axis=2))
+    np.testing.assert_allclose(pair_distances(left, right), want, rtol=1e-9)
+    assert pair_distances(left[:0], right).shape == (0, 2000) and pair_distances(left, right[:0]).shape == (300, 0)
+    tracemalloc.start()
+    pair_distances(left, right)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1.6 * want.nbytes
