@@ -3,7 +3,8 @@
 Entries live in buckets, one per dominant cluster, and a bucket is cut to ``cap``
 rows. The whole table is therefore at most clusters × cap rows, which is what makes
 sending it to the tasks safe; each lookup is then a map over the incoming queries
-without any shuffle. A table that was not cut is joined in parts.
+without any shuffle. A table that was not cut is joined in parts; for a stream, whose rows
+cannot be grouped, the tasks go through its parts one after the other.
 
 Entry columns: entry_id, query, vector, membership, cluster, result, arrival,
 hit_count and position (place within the bucket, the first one wins ties).
@@ -17,6 +18,7 @@ from collections.abc import Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -67,19 +69,42 @@ def compact(entries: DataFrame, cap: int = BUCKET_CAP) -> DataFrame:
     return entries.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= cap)
 
 
-def seed_entries(answered: DataFrame, cap: int = BUCKET_CAP) -> DataFrame:
-    """Store fresh entries in arrival order under the bucket limit.
+def seed_entries(answered: DataFrame, cap: int | None = BUCKET_CAP) -> DataFrame:
+    """Store fresh entries in arrival order under the bucket limit; without ``cap`` all of them.
 
     Adds hit_count 0 and ``position``. A bucket that never overflowed keeps arrival
     order; one that did was sorted newest first when it last overflowed.
     """
     fresh = answered.withColumn("hit_count", F.lit(0).cast("bigint"))
+    if cap is None:
+        return _numbered_in_buckets(fresh)
     sizes = answered.groupBy("cluster").agg(F.count("*").alias("_offered"))
     kept = compact(fresh, cap).join(sizes, "cluster")
     position = F.when(F.col("_offered") > cap, F.col("place")).otherwise(F.col("_offered") - F.col("place") + 1)
     return kept.withColumn("position", position.cast("bigint")).drop("place", "_offered")
 
 
+def _numbered_in_buckets(fresh: DataFrame) -> DataFrame:
+    """All entries with their place in arrival order within the bucket.
+
+    The table is sorted in ranges, so a hot bucket is spread over several tasks, and written;
+    a place is that within the range behind the entries of the ranges before.
+    """
+    spark = fresh.sparkSession
+    path = scratch_path(spark, "entries")
+    order = [F.asc("cluster"), F.asc("arrival"), F.desc("entry_id")]
+    ranges = fresh.repartitionByRange(*order).sortWithinPartitions(*order)
+    numbered = ranges.withColumn("_at", F.monotonically_increasing_id())
+    numbered.write.parquet(path)
+    rows = spark.read.schema(numbered.schema).parquet(path).withColumn("_range", F.shiftright("_at", 33))
+    pieces = rows.groupBy("cluster", "_range").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    # One row per bucket and range.
+    before = F.sum("_n").over(Window.partitionBy("cluster").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+    starts = pieces.select("cluster", "_range", (F.coalesce(before, F.lit(0)) + 1 - F.col("_first")).alias("_start"))
+    placed = rows.join(F.broadcast(starts), ["cluster", "_range"]).withColumn("position", F.col("_at") + F.col("_start"))
+    return placed.select(*fresh.columns, "position")
+
+
 def save_entries(entries: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Write the table by bucket, so a lookup for some clusters reads only those."""
     entries.write.mode(mode).partitionBy("cluster").parquet(path)
@@ -98,11 +123,14 @@ def _found_fields(entries: DataFrame) -> list[T.StructField]:
     ]
 
 
-def _search_part(queries: DataFrame, part: pa.Table, exclude_self: bool, fields: list[T.StructField]) -> DataFrame:
-    """Best entry of the query's bucket in one part of the table, or the best one so far."""
-    buckets: dict[int, tuple[np.ndarray, np.ndarray, pa.Array]] = {}
+_Stored = tuple[np.ndarray, np.ndarray, pa.Array]
+
+
+def _buckets(part: pa.Table) -> dict[int, _Stored]:
+    """Vectors, positions and ids of a part of the table by bucket, each in bucket order."""
+    buckets: dict[int, _Stored] = {}
     if part.num_rows:
-        part = part.combine_chunks()
+        part = part.filter(pc.is_valid(part.column("cluster"))).combine_chunks()
         cluster = part.column("cluster").to_numpy()
         position = part.column("position").to_numpy()
         ids = pa.concat_arrays(part.column("entry_id").chunks)
@@ -111,45 +139,52 @@ def _search_part(queries: DataFrame, part: pa.Table, exclude_self: bool, fields:
         for c in np.unique(cluster):
             mine = order[cluster[order] == c]
             buckets[int(c)] = (vectors[mine], position[mine], ids.take(pa.array(mine)))
-    shared = queries.sparkSession.sparkContext.broadcast(buckets)
-    names = [f.name for f in fields]
-    so_far = names if names[0] in queries.columns else []
+    return buckets
+
+
+def _search_parts(
+    queries: DataFrame, parts: Sequence[Broadcast[dict[int, _Stored]]], exclude_self: bool, fields: list[T.StructField]
+) -> DataFrame:
+    """Best entry of the query's bucket in the parts of the table, of which a task holds one at a time."""
+    kind = to_arrow_type(fields[2].dataType)
 
-    def find(query_id: pa.Array, cluster_of: pa.Array, vector: pa.Array, *known: pa.Array) -> list[pa.Array]:
+    def find(query_id: pa.Array, cluster_of: pa.Array, vector: pa.Array) -> list[pa.Array]:
         rows = to_matrix(vector)
         clusters = cluster_of.to_numpy(zero_copy_only=False)
         ids_of = query_id.to_numpy(zero_copy_only=False)
-        if known:
-            best = known[0].to_numpy(zero_copy_only=False).copy()
-            place = pc.fill_null(known[1], -1).to_numpy(zero_copy_only=False).copy()
-        else:
-            best = np.full(len(rows), NOTHING)
-            place = np.full(len(rows), -1, dtype=np.int64)
-        name = known[2] if known else None
-        for c in np.unique(clusters[cluster_of.is_valid().to_numpy(zero_copy_only=False)]):
-            if int(c) not in shared.value:
-                continue
-            stored, positions, entry_ids = shared.value[int(c)]
-            mine = np.flatnonzero(clusters == c)
-            sims = np.round(rows[mine] @ stored.T, SIMILARITY_DIGITS)
-            if exclude_self:
-                sims[ids_of[mine][:, None] == entry_ids.to_numpy(zero_copy_only=False)[None, :]] = -np.inf
-            # Entries are in bucket order, and argmax takes the first of equals.
-            top = sims.argmax(axis=1)
-            value = sims[np.arange(len(mine)), top]
-            held, at = best[mine], place[mine]
-            better = (value > held) | ((value == held) & (at >= 0) & (positions[top] < at))
-            best[mine[better]] = value[better]
-            place[mine[better]] = positions[top[better]]
-            chosen = np.full(len(rows), -1, dtype=np.int64)
-            chosen[mine[better]] = top[better]
-            taken = entry_ids.take(pa.array(chosen, mask=chosen < 0))
-            name = taken if name is None else pc.if_else(pa.array(chosen >= 0), taken, name)
-        if name is None:
-            name = pa.nulls(len(rows), to_arrow_type(fields[2].dataType))
+        best, place = np.full(len(rows), NOTHING), np.full(len(rows), -1, dtype=np.int64)
+        name = pa.nulls(len(rows), kind)
+        asked = np.unique(clusters[cluster_of.is_valid().to_numpy(zero_copy_only=False)])
+        for shared in parts:
+            part = shared.value
+            for c in asked:
+                if int(c) not in part:
+                    continue
+                stored, positions, entry_ids = part[int(c)]
+                chosen = np.full(len(rows), -1, dtype=np.int64)
+                whole = np.flatnonzero(clusters == c)
+                step = max(1, _CELLS // len(stored))
+                for start in range(0, len(whole), step):
+                    mine = whole[start : start + step]
+                    sims = np.round(rows[mine] @ stored.T, SIMILARITY_DIGITS)
+                    if exclude_self:
+                        sims[ids_of[mine][:, None] == entry_ids.to_numpy(zero_copy_only=False)[None, :]] = -np.inf
+                    # Entries are in bucket order, and argmax takes the first of equals.
+                    top = sims.argmax(axis=1)
+                    value = sims[np.arange(len(mine)), top]
+                    held, at = best[mine], place[mine]
+                    better = (value > held) | ((value == held) & (at >= 0) & (positions[top] < at))
+                    best[mine[better]] = value[better]
+                    place[mine[better]] = positions[top[better]]
+                    chosen[mine[better]] = top[better]
+                taken = entry_ids.take(pa.array(chosen, mask=chosen < 0))
+                name = pc.if_else(pa.array(chosen >= 0), taken, name)
+            del part
+            if len(parts) > 1 and getattr(shared, "_path", None):
+                shared.__dict__.pop("_value", None)  # read again from the executor's disk for the next batch
         return [pa.array(best), pa.array(place, mask=place < 0), name]
 
-    return add_columns(queries, ["query_id", "cluster", "vector", *so_far], fields, find)
+    return add_columns(queries, ["query_id", "cluster", "vector"], fields, find)
 
 
 def _join_parts(queries: DataFrame, stored: DataFrame, exclude_self: bool, fields: list[T.StructField]) -> DataFrame:
@@ -235,8 +270,8 @@ def _best_entries(queries: DataFrame, entries: DataFrame, exclude_self: bool) ->
     """The lookups, and whether the entries, texts included, are proven small.
 
     A small table is sent to the tasks. A larger one is joined in parts, and no entry
-    passes the driver. Streams cannot be grouped again, so for them a table of several parts makes a chain
-    of maps over the same rows, each of which carries the best entry so far on. Repeated
+    passes the driver. Streams cannot be grouped again, so for them the parts of a larger table
+    are sent one after the other, and a task goes through all of them with each batch of queries. Repeated
     and null query ids are looked up the same way as anything else.
     """
     columns = ["entry_id", "cluster", "position", as_vector("vector").alias("vector")]
@@ -249,12 +284,13 @@ def _best_entries(queries: DataFrame, entries: DataFrame, exclude_self: bool) ->
         parts = max(1, math.ceil(size / ENTRY_BLOCK_BYTES))
         if parts > 1 and not queries.isStreaming:
             return _join_parts(found, plain, exclude_self, fields), False
+        shared = []
         for number in range(parts):
             part = stored if parts == 1 else stored.filter(F.pmod(F.xxhash64("entry_id"), F.lit(parts)) == number)
-            found = _search_part(found, part.drop("chars").toArrow(), exclude_self, fields)
+            shared.append(queries.sparkSession.sparkContext.broadcast(_buckets(part.drop("chars").toArrow())))
     finally:
         stored.unpersist()
-    return found, parts == 1
+    return _search_parts(found, shared, exclude_self, fields), parts == 1
 
 
 def decide(found: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -322,3 +322,37 @@ def test_replay_of_text_ids(spark):
         q: (hit, tag(source), tag(evicted)) for q, (hit, source, evicted) in want.items()
     }
     assert replay.surviving_entries(got.checkpoint()).schema["entry_id"].dataType.simpleString() == "string"
+
+
+def test_stream_lookup_reads_all_entries(spark, monkeypatch, tmp_path):
+    """A bucket beyond any capacity, in one part and in many: each vector finds the first of its equals."""
+    from quarrylight.plans import catalogue
+
+    x = np.repeat(unit(620, d=8, groups=620), 2, axis=0)
+    rows = [(i, [float(z) for z in v], 0 if i < 1100 else 1) for i, v in enumerate(x)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").coalesce(1).write.parquet(str(tmp_path / "t"))
+    (tmp_path / "sf").mkdir()
+    next((tmp_path / "t").glob("*.parquet")).rename(tmp_path / "sf" / "embeddings.parquet")
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").repartition(3).write.parquet(str(tmp_path / "sf3" / "embeddings.parquet"))
+    for block, folder in ((64 << 20, "sf"), (10_000, "sf3")):  # one file, several files
+        monkeypatch.setattr(reuse, "ENTRY_BLOCK_BYTES", block)
+        found = {r["query_id"]: (r["hit"], r["matched_id"]) for r in catalogue.stream_lookup(spark, str(tmp_path / folder)).collect()}
+        assert found == {i: (True, i // 2 * 2) for i in range(1240)}
+
+
+def test_seeding_without_a_capacity(spark, monkeypatch):
+    """Places are those of the arrivals in each bucket, also where a bucket is sorted by several tasks."""
+    cluster = np.where(np.arange(300) % 7 == 0, 1, 0)
+    df = entries_frame(spark, unit(300), cluster).drop("position", "hit_count").withColumn("arrival", -F.col("arrival"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = reuse.seed_entries(df, None)
+        assert got.columns == reuse.seed_entries(df).columns
+        got = {r["entry_id"]: (r["cluster"], r["position"], r["hit_count"]) for r in got.collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    want = {}
+    for c in (0, 1):
+        mine = [i for i in range(299, -1, -1) if cluster[i] == c]
+        want |= {i: (c, place + 1, 0) for place, i in enumerate(mine)}
+    assert got == want
