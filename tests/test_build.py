@@ -62,6 +62,17 @@ def test_other_settings_and_texts_are_built_anew(spark, built, tmp_path):
     assert build.corpus_digest(corpus.union(corpus.limit(1))) != build.corpus_digest(corpus)
 
 
+def test_features_leave_no_shuffle_files(spark, built, tmp_path):
+    corpus, out, small, _ = built
+    blocks = lambda: spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ").split()
+    before = {name for name in blocks() if "shuffle_" in name}
+    build.features_stage(spark, corpus, str(tmp_path), small)
+    assert not {name for name in blocks() if "shuffle_" in name} - before
+    for name in ("vocabulary", "sparse"):
+        mine, first = (spark.read.parquet(f"{folder}/{name}") for folder in (tmp_path, out))
+        assert mine.schema == first.schema and sorted(map(str, mine.collect())) == sorted(map(str, first.collect()))
+
+
 def test_answers_end_to_end(spark, built):
     _, out, _, _ = built
     encoder, router = build.load_encoder(spark, out), build.load_router(spark, out)
